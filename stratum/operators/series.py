@@ -131,11 +131,12 @@ def adjust_to_totals(wide: DataFrame, keys, years_to_fit, totals: DataFrame | No
     # one row per (scenario, scheme, indicator): bounded by the run settings
     factors = sums.select(*keys, *gaps, *[F.col(f"_d_{y}") for y in adj])
     out = wide.join(bounded(factors), keys, "left")
-    for y in adj:
+    new = {}
+    for y in adj:  # all years from the unadjusted columns, in one projection
         g = F.col(f"_g_{y}")
         moved = clip0(F.col(_v(y)) + ratio(dif[y], F.col(f"_d_{y}")) * g)
-        out = out.withColumn(_v(y), F.when(g.isNull() | (g == 0), F.col(_v(y))).otherwise(moved))
-    return out.drop(*[f"_g_{y}" for y in adj], *[f"_d_{y}" for y in adj])
+        new[_v(y)] = F.when(g.isNull() | (g == 0), F.col(_v(y))).otherwise(moved)
+    return out.select(*[new[c].alias(c) if c in new else F.col(c) for c in wide.columns])
 
 
 def round_wide(wide: DataFrame, years) -> DataFrame:
@@ -172,19 +173,19 @@ def _draw_counts(need: DataFrame, G, seed: int) -> DataFrame:
     """
     ranked = rank_in_groups(need, G, [F.col(GEO)], running={"_lo": F.col("_w")},
                             totals={"_npos": F.when(F.col("_w") > 0, 1).otherwise(0)})
-    ranked = ranked.withColumn("_bw", F.greatest(F.lit(1.0), F.floor(F.col("_W") / F.col("_npos"))))
+    ranked = ranked.withColumn("_bw", F.greatest(F.lit(1.0), F.floor(F.col("_wtot") / F.col("_npos"))))
     geo = (ranked.where(F.col("_w") > 0)
                  .withColumn("_hi", F.col("_lo") + F.col("_w"))
                  .withColumn("_bucket", F.explode(F.sequence(
                      F.floor(F.col("_lo") / F.col("_bw")).cast("long"),
                      F.floor((F.col("_hi") - 1) / F.col("_bw")).cast("long")))))
-    groups = ranked.select(*G, "_d", "_W", "_bw").dropDuplicates(G)
+    groups = ranked.select(*G, "_d", "_wtot", "_bw").dropDuplicates(G)
     draws = (groups.withColumn("_draw", F.explode(F.sequence(F.lit(1).cast("long"),
                                                              F.abs(F.col("_d")).cast("long"))))
                    .withColumn("_u", F.shiftrightunsigned(
                        F.xxhash64(F.lit(seed), *[F.col(c) for c in G], F.col("_draw")), 11)
                        / F.lit(float(2 ** 53)))
-                   .withColumn("_x", F.floor(F.col("_u") * F.col("_W")))
+                   .withColumn("_x", F.floor(F.col("_u") * F.col("_wtot")))
                    .withColumn("_bucket", F.floor(F.col("_x") / F.col("_bw")).cast("long"))
                    .select(*G, "_bucket", "_x"))
     hits = (draws.join(geo.select(*G, "_bucket", GEO, "_lo", "_hi"), G + ["_bucket"], "inner")
@@ -208,20 +209,20 @@ def round_to_total(long: DataFrame, keys, totals: DataFrame, method: str = "larg
     G = keys + ["year"]
     df = long.withColumn("_r", half_even(F.col("value"))) \
              .withColumn("_w", F.when(F.col("_r") > 0, F.col("_r")).otherwise(F.lit(0.0)))
-    grp = df.groupBy(*G).agg(F.sum("_r").alias("_rsum"), F.sum("_w").alias("_W"))
+    grp = df.groupBy(*G).agg(F.sum("_r").alias("_rsum"), F.sum("_w").alias("_wtot"))
     tk = common_keys(grp, totals, G)
     grp = (grp.join(totals.select(*tk, "total"), tk, "inner")
-              .select(*G, (half_even(F.col("total")) - F.col("_rsum")).alias("_d"), "_W"))
+              .select(*G, (half_even(F.col("total")) - F.col("_rsum")).alias("_d"), "_wtot"))
     # one row per (scenario, scheme, indicator, year): bounded by the run settings
     df = df.join(bounded(grp), G, "left")
-    need = F.col("_d").isNotNull() & (F.col("_d") != 0) & (F.col("_W") > 0)
+    need = F.col("_d").isNotNull() & (F.col("_d") != 0) & (F.col("_wtot") > 0)
     if method == "draw":
         hits = _draw_counts(df.where(need), G, seed)
         out = df.join(hits, G + [GEO], "left")
         value = F.col("_r") + F.signum(F.col("_d")) * F.coalesce(F.col("_hits"), F.lit(0))
         return (out.withColumn("value", F.when(need, value).otherwise(F.col("_r")))
                    .select(*keys, GEO, "year", "value"))
-    quota = F.abs(F.col("_d")) * F.col("_w") / F.col("_W")
+    quota = F.abs(F.col("_d")) * F.col("_w") / F.col("_wtot")
     df = (df.withColumn("_b", F.when(need, F.floor(quota).cast("double")))
             .withColumn("_frac", F.when(need, (quota - F.floor(quota)).cast("decimal(38,10)"))))
     ranked = rank_in_groups(df, G, [F.col("_frac").desc_nulls_last(), F.col(GEO)],

@@ -30,3 +30,20 @@ def hier_inputs(spark, annex=False):
     xwalk = spark.createDataFrame([("x", r[0], r[2]) for r in rows], SC.CROSSWALK)
     names = spark.createDataFrame([(r[0], f"City {r[0]}") for r in rows], SC.NAMES)
     return HierInputs(ref, rgs_county, rgs_rg, xwalk, names, emp, pop, None)
+
+
+def series_anchors(spark):
+    """FIXTURES §3: anchors 2018, 2020, 2050 for three geographies."""
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField(n, t) for n, t in [
+        ("scenario", T.StringType()), ("scheme", T.StringType()), ("indicator", T.StringType()),
+        ("geo_id", T.LongType()), ("a_2018", T.DoubleType()), ("a_2020", T.DoubleType()),
+        ("a_2050", T.DoubleType())]])
+    return spark.createDataFrame([("s", "x", "pop", 1, 100.0, 110.0, 140.0),
+                                  ("s", "x", "pop", 2, 50.0, 50.0, 80.0),
+                                  ("s", "x", "pop", 3, 10.0, 8.0, 2.0)], schema)
+
+
+def totals(spark, pairs, indicator="pop"):
+    from stratum.sources import schemas as SC
+    return spark.createDataFrame([("s", indicator, y, float(t)) for y, t in pairs], SC.TOTALS)
