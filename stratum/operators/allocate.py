@@ -114,8 +114,8 @@ def growth_floor(rg_plan: DataFrame, rg_observed: DataFrame, measure: str) -> Da
     Returns ``(…, <measure>_gro_rg)`` = adjusted plan - observed.
     """
     keys = ["scenario", "scheme", "county", "rg_id"]
-    obs_keys = [k for k in keys if k in rg_observed.columns]
-    df = rg_plan.join(rg_observed, obs_keys, "inner")
+    on = [k for k in keys if k in rg_plan.columns and k in rg_observed.columns]
+    df = rg_plan.join(rg_observed, on, "inner")
     df = df.withColumn("_rem", F.col("plan") - F.col("observed"))
     short = F.col("_rem") < 0
     ck = ["scenario", "scheme", "county"]

@@ -20,6 +20,7 @@ from stratum.operators.joins import bounded, common_keys
 from stratum.operators.ranking import rank_in_groups
 
 GEO = "geo_id"
+DRAW_CHUNK = 100_000
 
 
 def _a(y):
@@ -180,15 +181,21 @@ def _draw_counts(need: DataFrame, G, seed: int) -> DataFrame:
                      F.floor(F.col("_lo") / F.col("_bw")).cast("long"),
                      F.floor((F.col("_hi") - 1) / F.col("_bw")).cast("long")))))
     groups = ranked.select(*G, "_d", "_wtot", "_bw").dropDuplicates(G)
-    draws = (groups.withColumn("_draw", F.explode(F.sequence(F.lit(1).cast("long"),
-                                                             F.abs(F.col("_d")).cast("long"))))
+    # draws are made in chunks spread over tasks, so a large residual is not
+    # generated (or broadcast) by one task
+    n = F.abs(F.col("_d")).cast("long")
+    chunks = (groups.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                               F.floor((n - 1) / DRAW_CHUNK).cast("long"))))
+                    .repartition(*G, "_chunk"))
+    draws = (chunks.withColumn("_draw", F.explode(F.sequence(
+                 F.col("_chunk") * DRAW_CHUNK + 1, F.least(n, (F.col("_chunk") + 1) * DRAW_CHUNK))))
                    .withColumn("_u", F.shiftrightunsigned(
                        F.xxhash64(F.lit(seed), *[F.col(c) for c in G], F.col("_draw")), 11)
                        / F.lit(float(2 ** 53)))
                    .withColumn("_x", F.floor(F.col("_u") * F.col("_wtot")))
                    .withColumn("_bucket", F.floor(F.col("_x") / F.col("_bw")).cast("long"))
                    .select(*G, "_bucket", "_x"))
-    hits = (draws.join(geo.select(*G, "_bucket", GEO, "_lo", "_hi"), G + ["_bucket"], "inner")
+    hits = (draws.hint("merge").join(geo.select(*G, "_bucket", GEO, "_lo", "_hi"), G + ["_bucket"], "inner")
                  .where((F.col("_x") >= F.col("_lo")) & (F.col("_x") < F.col("_hi")))
                  .groupBy(*G, GEO).agg(F.count(F.lit(1)).alias("_hits")))
     return hits

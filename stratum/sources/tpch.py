@@ -100,12 +100,16 @@ def names(base: DataFrame) -> DataFrame:
 
 
 def ref(spark: SparkSession, sf: str, scenarios=("base",)) -> DataFrame:
-    """Regional forecast by year from all orders (one copy per scenario)."""
-    o = _t(spark, sf, "orders").select("o_totalprice", "o_orderdate")
+    """Regional forecast by year: sums over all orders of the same per-customer
+    measures the city tables use (one copy per scenario)."""
+    o = _t(spark, sf, "orders").select("o_custkey", "o_totalprice", "o_orderdate")
+    k = F.col("o_custkey")
+    pop = F.col("o_totalprice") / 100.0
+    gq = (k % 5 + 1) / 100.0
+    pph = 2.0 + (k % 9) / 10.0
     by_year = o.groupBy(F.year("o_orderdate").alias("year")).agg(
-        F.sum(F.col("o_totalprice") / 100.0).alias("pop"), F.sum(F.lit(10.0)).alias("emp"))
-    by_year = by_year.select("year", "pop", (F.col("pop") * 0.96).alias("hhpop"),
-                             (F.col("pop") * 0.96 / 2.5).alias("hh"), "emp")
+        F.sum(pop).alias("pop"), F.sum(pop * (1 - gq)).alias("hhpop"),
+        F.sum(pop * (1 - gq) / pph).alias("hh"), F.sum(F.lit(10.0)).alias("emp"))
     return reduce(lambda a, b: a.unionByName(b),
                   [by_year.select(F.lit(s).alias("scenario"), "*") for s in scenarios])
 
