@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from stratum.functions.expr import cond_sum, ratio, ratio0, strict_sum
 from stratum.operators.joins import bounded, common_keys
+from stratum.session import materialize
 
 RUN = ["scenario", "scheme"]
 COUNTY = RUN + ["county"]
@@ -99,23 +100,23 @@ def hierarchical_rake(city_pop: DataFrame, rgs_county: DataFrame, rgs_rg: DataFr
     rr = rgs_rg.select("scenario", "county", "rg_id",
                        F.col("gq_pct_target").alias("_gq"), F.col("pph_target").alias("_pph"))
     rg = rg.join(rr, ["scenario", "county", "rg_id"], "left")
-    rg = household_population(rg, "pop_target", "_gq", "hhpop_p")                        # step 8
+    rg = materialize(household_population(rg, "pop_target", "_gq", "hhpop_p"))         # step 8
     county = rg.groupBy(*COUNTY).agg(strict_sum("pop_target").alias("pop_target"))
     cr = rgs_county.select("scenario", "county",
                            F.col("gq_pct_target").alias("_gq"), F.col("pph_target").alias("_pph"))
     county = county.join(cr, ["scenario", "county"], "left")
     county = household_population(county, "pop_target", "_gq", "hhpop_p")               # step 6
     county = rake_to_control(county, "hhpop_p", region_control, "hhpop", "hhpop_target")  # step 7
+    county = households(county, "hhpop_target", "_pph", "hh_p")                          # step 12
+    county = materialize(rake_to_control(county, "hh_p", region_control, "hh", "hh_target"))  # step 13
     rg = rake_to_parent(rg, "hhpop_p", county, "hhpop_target", COUNTY, "hhpop_target")   # step 9
+    rg = households(rg, "hhpop_target", "_pph", "hh_p")                                  # step 14
+    rg = materialize(rake_to_parent(rg, "hh_p", county, "hh_target", COUNTY, "hh_target"))  # step 15
     # step 11: the per-RG sum of city prelims comes from the first aggregation
     rg_ctl = rg.select(*RG, F.col("_city_p_sum").alias("_psum"), F.col("hhpop_target").alias("_ctl"))
     city = (city.join(rg_ctl, RG, "left")
                 .withColumn("hhpop_target", F.col("hhpop_p") / F.col("_psum") * F.col("_ctl"))
                 .drop("_psum", "_ctl"))
-    county = households(county, "hhpop_target", "_pph", "hh_p")                          # step 12
-    county = rake_to_control(county, "hh_p", region_control, "hh", "hh_target")          # step 13
-    rg = households(rg, "hhpop_target", "_pph", "hh_p")                                  # step 14
-    rg = rake_to_parent(rg, "hh_p", county, "hh_target", COUNTY, "hh_target")            # step 15
     city = households(city, "hhpop_target", "pph_target", "hh_p", missing_to_zero=True)  # step 16
     city = rake_to_parent(city, "hh_p", rg, "hh_target", RG, "hh_target")                # step 17
     city = city.withColumn("hh_gro", F.col("hh_target") - F.col("hh_base"))

@@ -17,6 +17,7 @@ from stratum.operators import allocate as A
 from stratum.operators import control as C
 from stratum.operators import report as R
 from stratum.operators import series as S
+from stratum.session import materialize
 
 RUN = ["scenario", "scheme"]
 SERIES_KEYS = RUN + ["indicator"]
@@ -50,7 +51,8 @@ def allocated_cities(inp: HierInputs, cfg: HierConfig, with_annex: bool) -> tupl
     pop = A.share_within(pop, F.col("target") + annex)
     emp = A.long_growth(A.project(A.allocate(emp, growth, "emp"), "emp"), "emp")
     pop = A.project(A.allocate(pop, growth, "pop"), "pop", with_hhpop=with_annex)
-    return emp, pop
+    # the allocated cities feed the levels, the reports and the series
+    return materialize(emp), materialize(pop)
 
 
 def _series(pop: DataFrame, hh: DataFrame, emp: DataFrame, cfg: HierConfig, totals) -> dict:

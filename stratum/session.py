@@ -53,3 +53,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="stratum-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path
+
+
+def materialize(df):
+    """Cut lineage at a stage boundary: a reliable checkpoint into the
+    session's ``spark.checkpoint.dir`` (survives executor loss; never a
+    machine-local checkpoint).  Used where one result feeds several later
+    joins, so it is computed once and the later plans stay small."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
