@@ -18,7 +18,8 @@ def attach_group(city: DataFrame, crosswalk: DataFrame) -> DataFrame:
     drop out (inner join), cities in several schemes appear once per scheme.
     """
     own = [c for c in city.columns if c == "rg_id" or c.lower().startswith("rgid")]
-    return city.drop(*own).join(crosswalk.select("scheme", "city_id", "rg_id"), "city_id", "inner")
+    on = ["city_id"] + [k for k in ("scenario",) if k in city.columns and k in crosswalk.columns]
+    return city.drop(*own).join(crosswalk.select(*on, "scheme", "rg_id"), on, "inner")
 
 
 def period_delta(ref: DataFrame, y1: int, y2: int, measures=MEASURES) -> DataFrame:
@@ -52,7 +53,7 @@ def disaggregate(county_growth: DataFrame, rgs_rg: DataFrame) -> DataFrame:
                     (F.col("emp") * F.col("rgs_emp")).alias("emp_gro_rg")))
 
 
-def share_within(city: DataFrame, weight, keys=("scheme", "county", "rg_id"),
+def share_within(city: DataFrame, weight, keys=("scenario", "scheme", "county", "rg_id"),
                  out: str = "share") -> DataFrame:
     """a city's share of its group's weight, ``w / sum(w)`` by group.
 
@@ -74,7 +75,8 @@ def allocate(city: DataFrame, rg_growth: DataFrame, kind: str) -> DataFrame:
     """
     src = "emp_gro_rg" if kind == "emp" else "pop_gro_rg"
     g = rg_growth.select("scenario", "county", "rg_id", F.col(src).alias("_rg_gro"))
-    df = city.join(g, ["county", "rg_id"], "inner")
+    on = ["county", "rg_id"] + (["scenario"] if "scenario" in city.columns else [])
+    df = city.join(g, on, "inner")
     if kind == "emp":
         df = df.withColumn("emp_gro", F.col("share") * F.col("_rg_gro"))
     else:
@@ -112,6 +114,7 @@ def growth_floor(rg_plan: DataFrame, rg_observed: DataFrame, measure: str) -> Da
     plan is raised to the observed value and the county's deficit is taken from
     its other RGs by their share of planned growth (county total unchanged).
     Returns ``(…, <measure>_gro_rg)`` = adjusted plan - observed.
+    City tables (and so the crosswalk) may carry their own ``scenario``.
     """
     keys = ["scenario", "scheme", "county", "rg_id"]
     on = [k for k in keys if k in rg_plan.columns and k in rg_observed.columns]

@@ -61,7 +61,7 @@ def rake_to_control(df: DataFrame, value_p: str, control: DataFrame, control_col
     keys = common_keys(tot, control, RUN)
     tot = tot.join(bounded(control.select(*keys, F.col(control_col).alias("_ctl"))), keys, "left")
     return (df.join(bounded(tot), RUN, "left")
-              .withColumn(out, F.col("_ctl") * (F.col(value_p) / F.col("_psum")))
+              .withColumn(out, F.col("_ctl") * ratio(F.col(value_p), F.col("_psum")))
               .drop("_psum", "_ctl"))
 
 
@@ -78,7 +78,7 @@ def rake_to_parent(child: DataFrame, value_p: str, parent: DataFrame, parent_col
     ctl = parent.select(*parent_keys, F.col(parent_col).alias("_ctl"))
     factors = child_sum.join(ctl, parent_keys, "left")
     return (child.join(factors, parent_keys, "left")
-                 .withColumn(out, F.col(value_p) / F.col("_psum") * F.col("_ctl"))
+                 .withColumn(out, ratio(F.col(value_p), F.col("_psum")) * F.col("_ctl"))
                  .drop("_psum", "_ctl"))
 
 
@@ -115,7 +115,7 @@ def hierarchical_rake(city_pop: DataFrame, rgs_county: DataFrame, rgs_rg: DataFr
     # step 11: the per-RG sum of city prelims comes from the first aggregation
     rg_ctl = rg.select(*RG, F.col("_city_p_sum").alias("_psum"), F.col("hhpop_target").alias("_ctl"))
     city = (city.join(rg_ctl, RG, "left")
-                .withColumn("hhpop_target", F.col("hhpop_p") / F.col("_psum") * F.col("_ctl"))
+                .withColumn("hhpop_target", ratio(F.col("hhpop_p"), F.col("_psum")) * F.col("_ctl"))
                 .drop("_psum", "_ctl"))
     city = households(city, "hhpop_target", "pph_target", "hh_p", missing_to_zero=True)  # step 16
     city = rake_to_parent(city, "hh_p", rg, "hh_target", RG, "hh_target")                # step 17

@@ -136,24 +136,24 @@ def rake_ctes() -> list[str]:
     a.pop_target - a.pop_target * c.gq_pct_target AS hhpop_p
   FROM co1 a LEFT JOIN rgs_county c ON a.scenario = c.scenario AND a.county = c.county)""",
         f"ctl AS (SELECT scenario, hhpop, hh FROM ref WHERE year = {TGT_Y})",
-        """co3 AS (SELECT a.*, t.hhpop * (a.hhpop_p / sum(a.hhpop_p) OVER (PARTITION BY a.scenario, a.scheme))
+        """co3 AS (SELECT a.*, t.hhpop * (a.hhpop_p / NULLIF(sum(a.hhpop_p) OVER (PARTITION BY a.scenario, a.scheme), 0))
     AS hhpop_target FROM co2 a JOIN ctl t ON a.scenario = t.scenario)""",
-        """rg3 AS (SELECT a.*, a.hhpop_p / sum(a.hhpop_p) OVER (PARTITION BY a.scenario, a.scheme, a.county)
+        """rg3 AS (SELECT a.*, a.hhpop_p / NULLIF(sum(a.hhpop_p) OVER (PARTITION BY a.scenario, a.scheme, a.county), 0)
     * c.hhpop_target AS hhpop_target
   FROM rg2 a JOIN co3 c ON a.scenario = c.scenario AND a.scheme = c.scheme AND a.county = c.county)""",
-        """city3 AS (SELECT a.*, a.hhpop_p / r.city_p_sum * r.hhpop_target AS hhpop_target
+        """city3 AS (SELECT a.*, a.hhpop_p / NULLIF(r.city_p_sum, 0) * r.hhpop_target AS hhpop_target
   FROM city_p a JOIN rg3 r ON a.scenario = r.scenario AND a.scheme = r.scheme AND a.county = r.county
     AND a.rg_id = r.rg_id)""",
         "co4 AS (SELECT *, CASE WHEN pph <> 0 THEN hhpop_target / pph END AS hh_p FROM co3)",
-        """co5 AS (SELECT a.*, t.hh * (a.hh_p / sum(a.hh_p) OVER (PARTITION BY a.scenario, a.scheme)) AS hh_target
+        """co5 AS (SELECT a.*, t.hh * (a.hh_p / NULLIF(sum(a.hh_p) OVER (PARTITION BY a.scenario, a.scheme), 0)) AS hh_target
   FROM co4 a JOIN ctl t ON a.scenario = t.scenario)""",
         "rg4 AS (SELECT *, CASE WHEN pph <> 0 THEN hhpop_target / pph END AS hh_p FROM rg3)",
-        """rg5 AS (SELECT a.*, a.hh_p / sum(a.hh_p) OVER (PARTITION BY a.scenario, a.scheme, a.county)
+        """rg5 AS (SELECT a.*, a.hh_p / NULLIF(sum(a.hh_p) OVER (PARTITION BY a.scenario, a.scheme, a.county), 0)
     * c.hh_target AS hh_target
   FROM rg4 a JOIN co5 c ON a.scenario = c.scenario AND a.scheme = c.scheme AND a.county = c.county)""",
         f"city4 AS (SELECT *, {ratio0('hhpop_target', 'pph_target')} AS hh_p FROM city3)",
-        """city5 AS (SELECT a.*, a.hh_p / sum(a.hh_p) OVER (PARTITION BY a.scenario, a.scheme, a.county, a.rg_id)
-    * r.hh_target AS hh_target, a.hh_p / sum(a.hh_p) OVER (PARTITION BY a.scenario, a.scheme, a.county, a.rg_id)
+        """city5 AS (SELECT a.*, a.hh_p / NULLIF(sum(a.hh_p) OVER (PARTITION BY a.scenario, a.scheme, a.county, a.rg_id), 0)
+    * r.hh_target AS hh_target, a.hh_p / NULLIF(sum(a.hh_p) OVER (PARTITION BY a.scenario, a.scheme, a.county, a.rg_id), 0)
     * r.hh_target - a.hh_base AS hh_gro
   FROM city4 a JOIN rg5 r ON a.scenario = r.scenario AND a.scheme = r.scheme AND a.county = r.county
     AND a.rg_id = r.rg_id)""",

@@ -27,15 +27,12 @@ def totals_long(wide: DataFrame, indicators=("hhpop", "hh", "emp", "pop"), after
     """Regional totals ``(scenario?, year, <indicator>…)`` -> long
     ``(scenario, indicator, year, total)``; optionally only years after the base year."""
     cols = {c.lower(): c for c in wide.columns}
-    ids = [cols[k] for k in ("scenario", "year") if k in cols]
     vals = [cols[i] for i in indicators if i in cols]
+    ids = [F.col(cols["year"]).cast("int").alias("year")]
+    ids.append(F.col(cols["scenario"]).alias("scenario") if "scenario" in cols
+               else F.lit("default").alias("scenario"))
     df = wide.select(*ids, *[F.col(v).cast("double").alias(v.lower()) for v in vals])
-    long = df.unpivot(ids, [v.lower() for v in vals], "indicator", "total")
-    long = long.withColumn("year", F.col(cols["year"]).cast("int"))
-    if cols["year"] != "year":
-        long = long.drop(cols["year"])
-    if "scenario" not in cols:
-        long = long.withColumn("scenario", F.lit("default"))
+    long = df.unpivot(["scenario", "year"], [v.lower() for v in vals], "indicator", "total")
     if after_year is not None:
         long = long.where(F.col("year") > after_year)
     return long.select("scenario", "indicator", "year", "total")

@@ -32,6 +32,12 @@ TARGETS = TargetsConfig(ref_base_year=REF_YEAR, base_year=BASE_YEAR, target_year
                         annual_years=tuple(range(1995, 2001)))
 
 
+def _scenarios(scenarios):
+    """One copy of a row per scenario (a generated column, so single-scenario
+    plans keep ``scenario`` as a real join key)."""
+    return F.explode(F.array(*[F.lit(s) for s in scenarios])).alias("scenario")
+
+
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
@@ -110,19 +116,21 @@ def ref(spark: SparkSession, sf: str, scenarios=("base",)) -> DataFrame:
     by_year = o.groupBy(F.year("o_orderdate").alias("year")).agg(
         F.sum(pop).alias("pop"), F.sum(pop * (1 - gq)).alias("hhpop"),
         F.sum(pop * (1 - gq) / pph).alias("hh"), F.sum(F.lit(10.0)).alias("emp"))
-    return reduce(lambda a, b: a.unionByName(b),
-                  [by_year.select(F.lit(s).alias("scenario"), "*") for s in scenarios])
+    return by_year.select(_scenarios(scenarios), "*")
 
 
 def rgs_county(spark: SparkSession, sf: str, scenarios=("base",)) -> DataFrame:
     """County shares and rates from the nation table; ``flat`` gives every county 1/25."""
     n = _t(spark, sf, "nation").select(F.col("n_nationkey").cast("long").alias("county"))
     k = F.col("county")
-    share = {"base": ((k + 1) / 325.0, (25 - k) / 325.0), "flat": (F.lit(1 / 25.0), F.lit(1 / 25.0))}
-    return reduce(lambda a, b: a.unionByName(b), [
-        n.select(F.lit(s).alias("scenario"), "county", share[s][0].alias("rgs_pop"),
-                 share[s][1].alias("rgs_emp"), ((k % 5 + 1) / 100.0).alias("gq_pct_target"),
-                 (2.0 + (k % 7) / 10.0).alias("pph_target")) for s in scenarios])
+    flat = F.lit(1 / 25.0)
+    scen = n.select(_scenarios(scenarios), "county")
+    s = F.col("scenario")
+    return scen.select("scenario", "county",
+                       F.when(s == "flat", flat).otherwise((k + 1) / 325.0).alias("rgs_pop"),
+                       F.when(s == "flat", flat).otherwise((25 - k) / 325.0).alias("rgs_emp"),
+                       ((k % 5 + 1) / 100.0).alias("gq_pct_target"),
+                       (2.0 + (k % 7) / 10.0).alias("pph_target"))
 
 
 def rgs_rg(spark: SparkSession, sf: str, scenarios=("base",)) -> DataFrame:
@@ -136,8 +144,7 @@ def rgs_rg(spark: SparkSession, sf: str, scenarios=("base",)) -> DataFrame:
     g = g.select("county", "rg_id", "rgs_pop", "rgs_emp",
                  ((F.col("i") + 2) / 100.0).alias("gq_pct_target"),
                  ((F.col("i") + 22) / 10.0).alias("pph_target"))
-    return reduce(lambda a, b: a.unionByName(b),
-                  [g.select(F.lit(s).alias("scenario"), "*") for s in scenarios])
+    return g.select(_scenarios(scenarios), "*")
 
 
 def totals(ref_df: DataFrame, after_year: int | None = None) -> DataFrame:
