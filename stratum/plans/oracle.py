@@ -17,6 +17,46 @@ ANNUAL = tuple(range(1995, 2001))
 D = "::DOUBLE"
 
 
+def ssum(x: str) -> str:
+    """Strict sum (one NULL makes the group NULL), as the library's strict_sum."""
+    return f"CASE WHEN count(*) = count({x}) THEN sum({x}) END"
+
+
+def wsum(x: str, part: str) -> str:
+    """Strict window sum over ``PARTITION BY part``."""
+    return (f"CASE WHEN count(*) OVER (PARTITION BY {part}) = count({x}) OVER (PARTITION BY {part}) "
+            f"THEN sum({x}) OVER (PARTITION BY {part}) END")
+
+
+def nz(sql: str) -> str:
+    """Wrap every ``round(…, 6)`` as ``(round(…, 6) + 0.0)``: no negative zero."""
+    out, i = [], 0
+    while True:
+        j = s_find = sql.find("round(", i)
+        if j < 0 or (j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k = 0, j + 5
+        while True:
+            ch = sql[k]
+            depth += ch == "("
+            depth -= ch == ")"
+            if depth == 0:
+                break
+            k += 1
+        inner = sql[j:k + 1]
+        if inner.endswith(", 6)"):
+            out.append(sql[i:j] + "(" + inner + " + 0.0)")
+        else:
+            out.append(sql[i:k + 1])
+        i = k + 1
+        del s_find
+
+
 def r6(c: str, alias: str | None = None) -> str:
     return f"round({c}, 6) AS {alias or c}"
 
@@ -103,8 +143,8 @@ def alloc_ctes(annex=False, y1=BASE_Y, y2=TGT_Y) -> list[str]:
   FROM co_growth g LEFT JOIN rgs_rg r ON r.scenario = g.scenario AND r.county = g.county)""",
         f"""emp_x AS (SELECT x.scheme, e.city_id, e.county, x.rg_id, e.emp_ref, e.emp_base,
     e.target{wa} + e.cr_add AS w FROM city_emp e JOIN xwalk x ON e.city_id = x.city_id)""",
-        """emp_s AS (SELECT *, CASE WHEN wsum <> 0 THEN w / wsum END AS share
-  FROM (SELECT *, sum(w) OVER (PARTITION BY scheme, county, rg_id) AS wsum FROM emp_x))""",
+        f"""emp_s AS (SELECT *, CASE WHEN wsum <> 0 THEN w / wsum END AS share
+  FROM (SELECT *, {wsum('w', 'scheme, county, rg_id')} AS wsum FROM emp_x))""",
         """emp_a AS (SELECT g.scenario, e.scheme, e.county, e.rg_id, e.city_id, e.emp_ref, e.emp_base,
     e.share * g.emp_gro_rg AS emp_gro, e.share * g.emp_gro_rg + e.emp_base AS emp_target,
     e.share * g.emp_gro_rg + e.emp_base - e.emp_ref AS emp_long
@@ -112,8 +152,8 @@ def alloc_ctes(annex=False, y1=BASE_Y, y2=TGT_Y) -> list[str]:
         f"""pop_x AS (SELECT x.scheme, p.city_id, p.county, x.rg_id, p.pop_ref, p.pop_base, p.hhpop_ref,
     p.hhpop_base, p.hh_ref, p.hh_base, p.gq_pct, p.gq_pct_target, p.pph_target, p.pph, p.target{wa} AS w
   FROM city_pop p JOIN xwalk x ON p.city_id = x.city_id)""",
-        """pop_s AS (SELECT *, CASE WHEN wsum <> 0 THEN w / wsum END AS share
-  FROM (SELECT *, sum(w) OVER (PARTITION BY scheme, county, rg_id) AS wsum FROM pop_x))""",
+        f"""pop_s AS (SELECT *, CASE WHEN wsum <> 0 THEN w / wsum END AS share
+  FROM (SELECT *, {wsum('w', 'scheme, county, rg_id')} AS wsum FROM pop_x))""",
         """pop_a AS (SELECT g.scenario, p.scheme, p.county, p.rg_id, p.city_id, p.pop_ref, p.pop_base, p.hhpop_ref,
     p.hhpop_base, p.hh_ref, p.hh_base, p.gq_pct_target, p.pph_target, p.pph,
     p.share * g.pop_gro_rg AS pop_gro, (p.share * g.pop_gro_rg) * (1 - p.gq_pct) AS hhpop_gro,
@@ -125,35 +165,36 @@ def alloc_ctes(annex=False, y1=BASE_Y, y2=TGT_Y) -> list[str]:
 def rake_ctes() -> list[str]:
     return [
         "city_p AS (SELECT *, pop_target - pop_target * gq_pct_target AS hhpop_p FROM pop_a)",
-        """rg1 AS (SELECT scenario, scheme, county, rg_id, sum(pop_target) AS pop_target, sum(hhpop_p) AS city_p_sum
+        f"""rg1 AS (SELECT scenario, scheme, county, rg_id, {ssum('pop_target')} AS pop_target,
+    {ssum('hhpop_p')} AS city_p_sum
   FROM city_p GROUP BY scenario, scheme, county, rg_id)""",
         """rg2 AS (SELECT a.*, r.gq_pct_target AS gq, r.pph_target AS pph,
     a.pop_target - a.pop_target * r.gq_pct_target AS hhpop_p
   FROM rg1 a LEFT JOIN rgs_rg r ON a.scenario = r.scenario AND a.county = r.county AND a.rg_id = r.rg_id)""",
-        """co1 AS (SELECT scenario, scheme, county, sum(pop_target) AS pop_target FROM rg2
+        f"""co1 AS (SELECT scenario, scheme, county, {ssum('pop_target')} AS pop_target FROM rg2
   GROUP BY scenario, scheme, county)""",
         """co2 AS (SELECT a.*, c.gq_pct_target AS gq, c.pph_target AS pph,
     a.pop_target - a.pop_target * c.gq_pct_target AS hhpop_p
   FROM co1 a LEFT JOIN rgs_county c ON a.scenario = c.scenario AND a.county = c.county)""",
         f"ctl AS (SELECT scenario, hhpop, hh FROM ref WHERE year = {TGT_Y})",
-        """co3 AS (SELECT a.*, t.hhpop * (a.hhpop_p / NULLIF(sum(a.hhpop_p) OVER (PARTITION BY a.scenario, a.scheme), 0))
+        f"""co3 AS (SELECT a.*, t.hhpop * (a.hhpop_p / NULLIF({wsum('a.hhpop_p', 'a.scenario, a.scheme')}, 0))
     AS hhpop_target FROM co2 a JOIN ctl t ON a.scenario = t.scenario)""",
-        """rg3 AS (SELECT a.*, a.hhpop_p / NULLIF(sum(a.hhpop_p) OVER (PARTITION BY a.scenario, a.scheme, a.county), 0)
+        f"""rg3 AS (SELECT a.*, a.hhpop_p / NULLIF({wsum('a.hhpop_p', 'a.scenario, a.scheme, a.county')}, 0)
     * c.hhpop_target AS hhpop_target
   FROM rg2 a JOIN co3 c ON a.scenario = c.scenario AND a.scheme = c.scheme AND a.county = c.county)""",
         """city3 AS (SELECT a.*, a.hhpop_p / NULLIF(r.city_p_sum, 0) * r.hhpop_target AS hhpop_target
   FROM city_p a JOIN rg3 r ON a.scenario = r.scenario AND a.scheme = r.scheme AND a.county = r.county
     AND a.rg_id = r.rg_id)""",
         "co4 AS (SELECT *, CASE WHEN pph <> 0 THEN hhpop_target / pph END AS hh_p FROM co3)",
-        """co5 AS (SELECT a.*, t.hh * (a.hh_p / NULLIF(sum(a.hh_p) OVER (PARTITION BY a.scenario, a.scheme), 0)) AS hh_target
+        f"""co5 AS (SELECT a.*, t.hh * (a.hh_p / NULLIF({wsum('a.hh_p', 'a.scenario, a.scheme')}, 0)) AS hh_target
   FROM co4 a JOIN ctl t ON a.scenario = t.scenario)""",
         "rg4 AS (SELECT *, CASE WHEN pph <> 0 THEN hhpop_target / pph END AS hh_p FROM rg3)",
-        """rg5 AS (SELECT a.*, a.hh_p / NULLIF(sum(a.hh_p) OVER (PARTITION BY a.scenario, a.scheme, a.county), 0)
+        f"""rg5 AS (SELECT a.*, a.hh_p / NULLIF({wsum('a.hh_p', 'a.scenario, a.scheme, a.county')}, 0)
     * c.hh_target AS hh_target
   FROM rg4 a JOIN co5 c ON a.scenario = c.scenario AND a.scheme = c.scheme AND a.county = c.county)""",
         f"city4 AS (SELECT *, {ratio0('hhpop_target', 'pph_target')} AS hh_p FROM city3)",
-        """city5 AS (SELECT a.*, a.hh_p / NULLIF(sum(a.hh_p) OVER (PARTITION BY a.scenario, a.scheme, a.county, a.rg_id), 0)
-    * r.hh_target AS hh_target, a.hh_p / NULLIF(sum(a.hh_p) OVER (PARTITION BY a.scenario, a.scheme, a.county, a.rg_id), 0)
+        f"""city5 AS (SELECT a.*, a.hh_p / NULLIF({wsum('a.hh_p', 'a.scenario, a.scheme, a.county, a.rg_id')}, 0)
+    * r.hh_target AS hh_target, a.hh_p / NULLIF({wsum('a.hh_p', 'a.scenario, a.scheme, a.county, a.rg_id')}, 0)
     * r.hh_target - a.hh_base AS hh_gro
   FROM city4 a JOIN rg5 r ON a.scenario = r.scenario AND a.scheme = r.scheme AND a.county = r.county
     AND a.rg_id = r.rg_id)""",
@@ -214,7 +255,7 @@ def series_ctes(anc: str, years, totals: str | None, adjust: str | None, relabel
     """Long-form series: anchors ``anc(scenario, scheme, indicator, geo_id, year, value)``."""
     K = "scenario, scheme, indicator, geo_id"
     ctes = [
-        f"""s_g AS (SELECT {K}, year, sum(value) AS value FROM {anc} GROUP BY {K}, year)""",
+        f"""s_g AS (SELECT {K}, year, {ssum('value')} AS value FROM {anc} GROUP BY {K}, year)""",
         f"""s_n AS (SELECT {K}, count(value) AS n FROM s_g GROUP BY {K})""",
         f"""s_seg AS (SELECT *, lead(year) OVER w AS y1, lead(value) OVER w AS v1 FROM s_g WHERE value IS NOT NULL
   WINDOW w AS (PARTITION BY {K} ORDER BY year))""",
@@ -233,8 +274,8 @@ def series_ctes(anc: str, years, totals: str | None, adjust: str | None, relabel
         adj = ys[1:-1] if adjust == "interior" else ys[1:]
         ctes += [
             f"""s_dif AS (SELECT *, value - lag(value) OVER (PARTITION BY {K} ORDER BY year) AS dif FROM s_fit)""",
-            """s_sum AS (SELECT scenario, scheme, indicator, year, sum(value) AS s, sum(dif) AS d FROM s_dif
-  GROUP BY scenario, scheme, indicator, year)""",
+            f"""s_sum AS (SELECT scenario, scheme, indicator, year, {ssum('value')} AS s, {ssum('dif')} AS d
+  FROM s_dif GROUP BY scenario, scheme, indicator, year)""",
             f"""s_adj AS (SELECT a.scenario, a.scheme, a.indicator, a.geo_id, a.year,
     CASE WHEN a.year IN ({", ".join(map(str, adj))}) AND t.total IS NOT NULL AND t.total - s.s <> 0 THEN
       CASE WHEN a.value + (CASE WHEN s.d <> 0 THEN a.dif / s.d END) * (t.total - s.s) IS NULL THEN NULL
@@ -376,14 +417,14 @@ def oracle_sql() -> dict:
         "AND e.rg_id = p.rg_id AND e.city_id = p.city_id")
 
     lv = [
-        """g_rg AS (SELECT e.scenario, e.scheme, e.county, e.rg_id, e.emp_base, e.emp_target, p.pop_base, p.pop_target
-  FROM (SELECT scenario, scheme, county, rg_id, sum(emp_base) AS emp_base, sum(emp_target) AS emp_target
+        f"""g_rg AS (SELECT e.scenario, e.scheme, e.county, e.rg_id, e.emp_base, e.emp_target, p.pop_base, p.pop_target
+  FROM (SELECT scenario, scheme, county, rg_id, {ssum('emp_base')} AS emp_base, {ssum('emp_target')} AS emp_target
         FROM emp_a GROUP BY scenario, scheme, county, rg_id) e
-  JOIN (SELECT scenario, scheme, county, rg_id, sum(pop_base) AS pop_base, sum(pop_target) AS pop_target
+  JOIN (SELECT scenario, scheme, county, rg_id, {ssum('pop_base')} AS pop_base, {ssum('pop_target')} AS pop_target
         FROM pop_a GROUP BY scenario, scheme, county, rg_id) p
   ON e.scenario = p.scenario AND e.scheme = p.scheme AND e.county = p.county AND e.rg_id = p.rg_id)""",
-        """g_co AS (SELECT scenario, scheme, county, sum(emp_base) AS emp_base, sum(emp_target) AS emp_target,
-    sum(pop_base) AS pop_base, sum(pop_target) AS pop_target FROM g_rg GROUP BY scenario, scheme, county)"""]
+        f"""g_co AS (SELECT scenario, scheme, county, {ssum('emp_base')} AS emp_base, {ssum('emp_target')} AS emp_target,
+    {ssum('pop_base')} AS pop_base, {ssum('pop_target')} AS pop_target FROM g_rg GROUP BY scenario, scheme, county)"""]
     m4 = ", ".join(r6(c) for c in ("emp_base", "emp_target", "pop_base", "pop_target"))
     q["q06_aggregate_levels"] = with_(b + al + lv,
         f"SELECT scenario, scheme, 'rg' AS level, county, rg_id, {m4} FROM g_rg UNION ALL "
@@ -438,11 +479,12 @@ def oracle_sql() -> dict:
     summ = f"""SELECT p.scenario, p.scheme, p.county, p.rg_id, {r6('p.pop_long', 'pop_long')}, {r6('p.pop_gro', 'pop_gro')},
     {r6('p.pop_end', 'pop_end')}, {r6('p.hh_long', 'hh_long')}, {r6('p.hh_gro', 'hh_gro')}, {r6('p.hh_end', 'hh_end')},
     {r6('e.emp_long', 'emp_long')}, {r6('e.emp_gro', 'emp_gro')}, {r6('e.emp_end', 'emp_end')}
-  FROM (SELECT scenario, scheme, county, rg_id, sum(pop_target - pop_ref) AS pop_long,
-      sum(pop_target - pop_base) AS pop_gro, sum(pop_target) AS pop_end, sum(hh_target - hh_ref) AS hh_long,
-      sum(hh_target - hh_base) AS hh_gro, sum(hh_target) AS hh_end FROM city5 GROUP BY scenario, scheme, county, rg_id) p
-  JOIN (SELECT scenario, scheme, county, rg_id, sum(emp_target - emp_ref) AS emp_long,
-      sum(emp_target - emp_base) AS emp_gro, sum(emp_target) AS emp_end FROM emp_a
+  FROM (SELECT scenario, scheme, county, rg_id, {ssum('pop_target - pop_ref')} AS pop_long,
+      {ssum('pop_target - pop_base')} AS pop_gro, {ssum('pop_target')} AS pop_end,
+      {ssum('hh_target - hh_ref')} AS hh_long, {ssum('hh_target - hh_base')} AS hh_gro, {ssum('hh_target')} AS hh_end
+      FROM city5 GROUP BY scenario, scheme, county, rg_id) p
+  JOIN (SELECT scenario, scheme, county, rg_id, {ssum('emp_target - emp_ref')} AS emp_long,
+      {ssum('emp_target - emp_base')} AS emp_gro, {ssum('emp_target')} AS emp_end FROM emp_a
       GROUP BY scenario, scheme, county, rg_id) e
   ON p.scenario = e.scenario AND p.scheme = e.scheme AND p.county = e.county AND p.rg_id = e.rg_id"""
     q["q17_group_summary"] = with_(b_nt + al + rake_ctes(), summ)
@@ -480,7 +522,7 @@ def oracle_sql() -> dict:
     q["q28_regional_rollup"] = with_(pa + ["asm AS (" + assemble_sql("s_out", ("hhpop", "hh", "emp", "pop"), "outer",
                                                                      "subreg_id") + ")"],
         "SELECT scenario, scheme, year, " + ", ".join(
-            f"round(sum(total_{i}), 6) AS total_{i}" for i in ("hhpop", "hh", "emp", "pop"))
+            f"round({ssum(f'total_{i}')}, 6) AS total_{i}" for i in ("hhpop", "hh", "emp", "pop"))
         + " FROM asm GROUP BY scenario, scheme, year")
     q["q29_forecast_normalise"] = with_(b, "SELECT year, round(pop, 6) AS pop, round(hhpop, 6) AS hhpop, "
                                            "round(hh, 6) AS hh, round(emp, 6) AS emp FROM ref "
@@ -494,16 +536,16 @@ def oracle_sql() -> dict:
   FROM city_pop p JOIN xwalk x ON p.city_id = x.city_id GROUP BY x.scheme, p.county, x.rg_id)""",
         """j AS (SELECT g.scenario, o.scheme, g.county, g.rg_id, g.pop_gro_rg AS plan, o.observed,
     g.pop_gro_rg - o.observed AS rem FROM rg_growth g JOIN obs o ON g.county = o.county AND g.rg_id = o.rg_id)""",
-        """c AS (SELECT scenario, scheme, county, sum(plan) AS plan_sum, sum(CASE WHEN rem < 0 THEN rem END) AS deficit,
+        f"""c AS (SELECT scenario, scheme, county, {ssum('plan')} AS plan_sum, sum(CASE WHEN rem < 0 THEN rem END) AS deficit,
     max(CASE WHEN rem < 0 THEN 1 END) AS anyshort FROM j GROUP BY scenario, scheme, county)""",
         """s AS (SELECT j.*, c.deficit, c.anyshort, CASE WHEN j.rem < 0 THEN 0.0 ELSE
     CASE WHEN c.plan_sum <> 0 THEN j.plan / c.plan_sum END END AS share
   FROM j JOIN c ON j.scenario = c.scenario AND j.scheme = c.scheme AND j.county = c.county)""",
-        "s2 AS (SELECT *, sum(share) OVER (PARTITION BY scenario, scheme, county) AS share_sum FROM s)",
+        f"s2 AS (SELECT *, {wsum('share', 'scenario, scheme, county')} AS share_sum FROM s)",
     ]
     q["q31_growth_floor"] = with_(base_ctes() + alloc_ctes(y1=REF_Y) + gf, """SELECT scenario, scheme, county, rg_id,
   round(plan, 6) AS plan, round(observed, 6) AS observed,
   round((plan - CASE WHEN anyshort IS NULL THEN 0.0 WHEN rem < 0 THEN rem
     ELSE -deficit * (CASE WHEN share_sum <> 0 THEN share / share_sum END) END) - observed, 6) AS pop_gro_rg
 FROM s2""")
-    return q
+    return {k: nz(v) for k, v in q.items()}
