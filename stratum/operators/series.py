@@ -12,15 +12,17 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.functions.expr import clip0, half_even, ratio, strict_sum
 from stratum.operators.joins import bounded, common_keys
 from stratum.operators.ranking import rank_in_groups
+from stratum.session import materialize
 
 GEO = "geo_id"
 DRAW_CHUNK = 100_000
+REM_BINS = 4096
 
 
 def _a(y):
@@ -201,6 +203,39 @@ def _draw_counts(need: DataFrame, G, seed: int) -> DataFrame:
     return hits
 
 
+def _largest_remainder_extra(df: DataFrame, G) -> DataFrame:
+    """H4a helper: ``_extra`` = 1 for the ``m = |d| - sum(floor(quota))``
+    rows of each group with the largest remainders (ties by id), else 0.
+
+    Remainders are binned (``REM_BINS`` bins per group); one aggregation
+    gives the count per bin, a window over that small table finds the bin
+    where the top ``m`` ends.  Rows above it get one more unit, rows below
+    none, and only the rows inside the cut bin are ranked exactly
+    (``rank_in_groups``), so no group is ever sorted whole in one task.
+    """
+    bins = F.floor(F.col("_frac") * REM_BINS).cast("long")
+    df = df.withColumn("_bin", F.when(F.col("_need"), bins))
+    hist = (df.where(F.col("_need")).groupBy(*G, "_bin")
+              .agg(F.count(F.lit(1)).alias("_cnt"), F.sum("_b").alias("_bs")))
+    above = Window.partitionBy(*G).orderBy(F.col("_bin").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    hist = (hist.withColumn("_above", F.coalesce(F.sum("_cnt").over(above), F.lit(0)))
+                .withColumn("_m", F.sum("_bs").over(Window.partitionBy(*G))))
+    # per group: the cut bin and how many of its rows still get one more
+    cut = hist.join(bounded(df.where(F.col("_need")).select(*G, "_d").dropDuplicates(G)), G, "inner")
+    cut = (cut.withColumn("_m", F.abs(F.col("_d")) - F.col("_m"))
+              .where((F.col("_above") < F.col("_m")) & (F.col("_above") + F.col("_cnt") >= F.col("_m")))
+              .select(*G, F.col("_bin").alias("_cut"), (F.col("_m") - F.col("_above")).alias("_take")))
+    # one row per (scenario, scheme, indicator, year): bounded by the run settings
+    df = df.join(bounded(cut), G, "left")
+    in_cut = F.col("_need") & (F.col("_bin") == F.col("_cut"))
+    rest = df.where(~in_cut | F.col("_cut").isNull()).withColumn(
+        "_extra", F.when(F.col("_need") & F.col("_cut").isNotNull() & (F.col("_bin") > F.col("_cut")), 1.0)
+                   .otherwise(0.0))
+    cand = rank_in_groups(df.where(in_cut), G, [F.col("_frac").desc(), F.col(GEO)])
+    cand = cand.withColumn("_extra", F.when(F.col("_rank") <= F.col("_take"), 1.0).otherwise(0.0)).drop("_rank")
+    return rest.unionByName(cand).drop("_bin", "_cut", "_take")
+
+
 def round_to_total(long: DataFrame, keys, totals: DataFrame, method: str = "largest_remainder",
                    seed: int = 0) -> DataFrame:
     """H4: after half-even rounding, hand the residual ``d = total - sum(round(v))``
@@ -214,6 +249,8 @@ def round_to_total(long: DataFrame, keys, totals: DataFrame, method: str = "larg
     """
     keys = list(keys)
     G = keys + ["year"]
+    # read several times below (sums, bins, the cut bin): computed once
+    long = materialize(long)
     df = long.withColumn("_r", half_even(F.col("value"))) \
              .withColumn("_w", F.when(F.col("_r") > 0, F.col("_r")).otherwise(F.lit(0.0)))
     grp = df.groupBy(*G).agg(F.sum("_r").alias("_rsum"), F.sum("_w").alias("_wtot"))
@@ -230,14 +267,13 @@ def round_to_total(long: DataFrame, keys, totals: DataFrame, method: str = "larg
         return (out.withColumn("value", F.when(need, value).otherwise(F.col("_r")))
                    .select(*keys, GEO, "year", "value"))
     quota = F.abs(F.col("_d")) * F.col("_w") / F.col("_wtot")
-    df = (df.withColumn("_b", F.when(need, F.floor(quota).cast("double")))
+    df = (df.withColumn("_need", need)
+            .withColumn("_b", F.when(need, F.floor(quota).cast("double")))
             .withColumn("_frac", F.when(need, (quota - F.floor(quota)).cast("decimal(38,10)"))))
-    ranked = rank_in_groups(df, G, [F.col("_frac").desc_nulls_last(), F.col(GEO)],
-                            totals={"_bsum": F.col("_b")})
-    extra = F.when(F.col("_rank") <= F.abs(F.col("_d")) - F.col("_bsum"), 1.0).otherwise(0.0)
-    value = F.col("_r") + F.signum(F.col("_d")) * (F.col("_b") + extra)
-    return (ranked.withColumn("value", F.when(need, value).otherwise(F.col("_r")))
-                  .select(*keys, GEO, "year", "value"))
+    df = _largest_remainder_extra(df, G)
+    value = F.col("_r") + F.signum(F.col("_d")) * (F.col("_b") + F.col("_extra"))
+    return (df.withColumn("value", F.when(F.col("_need"), value).otherwise(F.col("_r")))
+              .select(*keys, GEO, "year", "value"))
 
 
 def unroll(wide: DataFrame, keys, years, totals: DataFrame | None = None,

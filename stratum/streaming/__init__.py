@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference reads every input once and writes every output once; it has
+no watermarks, windows over event time, state or late data (SURVEY §2.I).
+All methods here are batch plans; a streaming source could feed them through
+``foreachBatch`` but no such operator exists to be rebuilt.
+"""
