@@ -23,6 +23,7 @@ from stratum.session import materialize
 GEO = "geo_id"
 DRAW_CHUNK = 100_000
 REM_BINS = 4096
+WINDOW_RANK_MAX = 200_000   # rows of one cut bin that one task may sort
 
 
 def _a(y):
@@ -212,6 +213,8 @@ def _largest_remainder_extra(df: DataFrame, G) -> DataFrame:
     where the top ``m`` ends.  Rows above it get one more unit, rows below
     none, and only the rows inside the cut bin are ranked exactly
     (``rank_in_groups``), so no group is ever sorted whole in one task.
+    When the histogram shows every cut bin below ``WINDOW_RANK_MAX`` rows a
+    window over those rows does the ranking instead.
     """
     bins = F.floor(F.col("_frac") * REM_BINS).cast("long")
     df = df.withColumn("_bin", F.when(F.col("_need"), bins))
@@ -224,14 +227,24 @@ def _largest_remainder_extra(df: DataFrame, G) -> DataFrame:
     cut = hist.join(bounded(df.where(F.col("_need")).select(*G, "_d").dropDuplicates(G)), G, "inner")
     cut = (cut.withColumn("_m", F.abs(F.col("_d")) - F.col("_m"))
               .where((F.col("_above") < F.col("_m")) & (F.col("_above") + F.col("_cnt") >= F.col("_m")))
-              .select(*G, F.col("_bin").alias("_cut"), (F.col("_m") - F.col("_above")).alias("_take")))
+              .select(*G, F.col("_bin").alias("_cut"), (F.col("_m") - F.col("_above")).alias("_take"),
+                      F.col("_cnt").alias("_cut_rows")))
+    # the largest cut bin, from a table with one row per group: a checked size
+    biggest = cut.agg(F.max("_cut_rows")).first()[0]
     # one row per (scenario, scheme, indicator, year): bounded by the run settings
-    df = df.join(bounded(cut), G, "left")
+    df = df.join(bounded(cut.drop("_cut_rows")), G, "left")
     in_cut = F.col("_need") & (F.col("_bin") == F.col("_cut"))
     rest = df.where(~in_cut | F.col("_cut").isNull()).withColumn(
         "_extra", F.when(F.col("_need") & F.col("_cut").isNotNull() & (F.col("_bin") > F.col("_cut")), 1.0)
                    .otherwise(0.0))
-    cand = rank_in_groups(df.where(in_cut), G, [F.col("_frac").desc(), F.col(GEO)])
+    if biggest is None:
+        return rest.drop("_bin", "_cut", "_take")
+    order = [F.col("_frac").desc(), F.col(GEO)]
+    if biggest <= WINDOW_RANK_MAX:
+        # every group's cut bin holds at most WINDOW_RANK_MAX rows: a window is safe
+        cand = df.where(in_cut).withColumn("_rank", F.row_number().over(Window.partitionBy(*G).orderBy(*order)))
+    else:
+        cand = rank_in_groups(df.where(in_cut), G, order)
     cand = cand.withColumn("_extra", F.when(F.col("_rank") <= F.col("_take"), 1.0).otherwise(0.0)).drop("_rank")
     return rest.unionByName(cand).drop("_bin", "_cut", "_take")
 

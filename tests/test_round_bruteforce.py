@@ -34,8 +34,9 @@ def brute(df: pd.DataFrame, totals: dict) -> dict:
     return out
 
 
-@pytest.mark.parametrize("tied", [False, True])
-def test_largest_remainder_matches_brute_force(spark, tied):
+@pytest.mark.parametrize("tied,window_max", [(False, 200_000), (True, 200_000), (True, 10), (False, 0)])
+def test_largest_remainder_matches_brute_force(spark, tied, window_max, monkeypatch):
+    monkeypatch.setattr(S, "WINDOW_RANK_MAX", window_max)
     rng = np.random.default_rng(3)
     rows, totals = [], {}
     for ind in ("a", "b"):
