@@ -37,15 +37,21 @@ def _v(y):
 def stack_anchors(parts: dict, keys, geo: str) -> DataFrame:
     """Union per-indicator tables into ``(keys, indicator, geo_id, a_<year>…)``.
 
-    ``parts``: ``{indicator: (df, {year: column})}``.
+    ``parts``: ``{indicator: (df, {year: column})}``.  Indicators read from
+    the same DataFrame are stacked in one projection (``inline`` of an array
+    of structs), so that input is scanned and computed once.
     """
     years = sorted({y for _, m in parts.values() for y in m})
-    frames = []
+    by_df: dict = {}
     for ind, (df, m) in parts.items():
-        cols = [F.col(k) for k in keys] + [F.lit(ind).alias("indicator"), F.col(geo).alias(GEO)]
-        cols += [(F.col(m[y]).cast("double") if y in m else F.lit(None).cast("double")).alias(_a(y))
-                 for y in years]
-        frames.append(df.select(*cols))
+        by_df.setdefault(id(df), (df, []))[1].append((ind, m))
+    frames = []
+    for df, items in by_df.values():
+        rows = F.array(*[F.struct(F.lit(ind).alias("indicator"),
+                                  *[(F.col(m[y]).cast("double") if y in m else F.lit(None).cast("double"))
+                                    .alias(_a(y)) for y in years]) for ind, m in items])
+        frames.append(df.select(*[F.col(k) for k in keys], F.col(geo).alias(GEO), F.inline(rows))
+                        .select(*keys, "indicator", GEO, *[_a(y) for y in years]))
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
