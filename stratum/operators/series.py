@@ -235,6 +235,8 @@ def _largest_remainder_extra(df: DataFrame, G) -> DataFrame:
               .where((F.col("_above") < F.col("_m")) & (F.col("_above") + F.col("_cnt") >= F.col("_m")))
               .select(*G, F.col("_bin").alias("_cut"), (F.col("_m") - F.col("_above")).alias("_take"),
                       F.col("_cnt").alias("_cut_rows")))
+    # one row per group, written once (it is read by the size check and by two joins)
+    cut = materialize(cut)
     # the largest cut bin, from a table with one row per group: a checked size
     biggest = cut.agg(F.max("_cut_rows")).first()[0]
     # one row per (scenario, scheme, indicator, year): bounded by the run settings
@@ -276,7 +278,9 @@ def round_to_total(long: DataFrame, keys, totals: DataFrame, method: str = "larg
     tk = common_keys(grp, totals, G)
     grp = (grp.join(totals.select(*tk, "total"), tk, "inner")
               .select(*G, (half_even(F.col("total")) - F.col("_rsum")).alias("_d"), "_wtot"))
-    # one row per (scenario, scheme, indicator, year): bounded by the run settings
+    # one row per (scenario, scheme, indicator, year): bounded by the run settings;
+    # written once so later branches neither re-aggregate the series nor re-read the totals
+    grp = materialize(grp)
     df = df.join(bounded(grp), G, "left")
     need = F.col("_d").isNotNull() & (F.col("_d") != 0) & (F.col("_wtot") > 0)
     if method == "draw":
