@@ -100,9 +100,10 @@ def run_factor(inp: HierInputs, cfg: HierConfig = HierConfig(), variant: str = "
 
 
 def run_targets(targets: DataFrame, totals: DataFrame | None, cfg: TargetsConfig = TargetsConfig(),
-                scenario: str = "default", scheme: str = "default") -> dict:
+                scenario: str = "default", scheme: str = "default", series: bool = True) -> dict:
     """TARGETS: end points from given targets, RG summary, anchored series
-    (fitted years and every year), full-outer assembly, regional roll-up."""
+    (fitted years and every year), full-outer assembly, regional roll-up.
+    ``series=False`` stops after the end points and the summary."""
     df = targets.withColumn("scenario", F.lit(scenario)).withColumn("scheme", F.lit(scheme))
     pop = C.households_from_targets(df)
     summary = R.targets_summary(pop, df)
@@ -114,6 +115,8 @@ def run_targets(targets: DataFrame, totals: DataFrame | None, cfg: TargetsConfig
         "pop": (df, {a0: "pop_by", a1: "pop_base", a2: "pop_target"}),
     }, RUN, "city_id")
     out = {"rg_summary": summary, "end_points": pop}
+    if not series:
+        return out
     for name, years in (("", cfg.years_to_fit), ("annual_", cfg.annual_years)):
         wide = S.fit_series(anchors, SERIES_KEYS, cfg.anchors, years, totals, "after_first",
                             cfg.round_interpolated)

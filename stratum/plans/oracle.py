@@ -527,6 +527,21 @@ def oracle_sql() -> dict:
     q["q29_forecast_normalise"] = with_(b, "SELECT year, round(pop, 6) AS pop, round(hhpop, 6) AS hhpop, "
                                            "round(hh, 6) AS hh, round(emp, 6) AS emp FROM ref "
                                            "WHERE scenario = 'base' AND year IN (1998, 1999, 2000)")
+    q["q17d_targets_summary"] = with_(tg, "SELECT 'base' AS scenario, 'existing' AS scheme, county, rg_id, " + ", ".join(
+        f"round({ssum(e)}, 6) AS {a}" for e, a in (
+            ("pop_target - pop_base", "pop_delta"), ("pop_target", "pop_end"), ("hh_target - hh_base", "hh_delta"),
+            ("hh_target", "hh_end"), ("emp_target - emp_base", "emp_delta"), ("emp_target", "emp_end")))
+        + " FROM tg4 GROUP BY county, rg_id")
+    fanc = f"""anc AS (
+  SELECT scenario, scheme, 'hhpop' AS indicator, city_id AS geo_id, {BASE_Y} AS year, hhpop_base AS value FROM fp3
+  UNION ALL SELECT scenario, scheme, 'hhpop', city_id, {TGT_Y}, hhpop_target FROM fp3
+  UNION ALL SELECT scenario, scheme, 'hh', city_id, {BASE_Y}, hh_base FROM hh_stock
+  UNION ALL SELECT scenario, scheme, 'hh', city_id, {TGT_Y}, hh_target FROM pc_stock
+  UNION ALL SELECT scenario, scheme, 'emp', city_id, {BASE_Y}, emp_base FROM emp_a
+  UNION ALL SELECT scenario, scheme, 'emp', city_id, {TGT_Y}, emp_target FROM emp_a)"""
+    q["q32_factor_unrolled"] = with_(fc + [pos_ctl("hh_stock", "pc_stock"), fanc]
+                                     + series_ctes("anc", HIER_YEARS, "totals", "interior", {BASE_Y: BASE_Y + 1}, True),
+                                     assemble_sql("s_out", ("hhpop", "hh", "emp"), "inner", "city_id"))
     b22 = base_ctes(scenarios=("base", "flat"), schemes=("existing", "proposed"))
     q["q30_scenarios"] = with_(b22 + al + rake_ctes() + [hier_anchor_cte()]
                                + series_ctes("anc", HIER_YEARS, "totals", "interior", {BASE_Y: BASE_Y + 1}, True),

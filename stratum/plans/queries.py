@@ -19,6 +19,7 @@ from stratum.operators import control as C
 from stratum.operators import report as R
 from stratum.operators import series as S
 from stratum.plans import methods as M
+from stratum.session import materialize
 from stratum.sources import tpch
 
 KEYS = ["scenario", "scheme", "indicator"]
@@ -32,21 +33,19 @@ def publish(df: DataFrame) -> DataFrame:
 
 
 def inputs(spark: SparkSession, sf: str, scenarios=("base",), schemes=("existing",),
-           totals: bool = True) -> M.HierInputs:
-    base = tpch.customer_base(spark, sf)
-    ref = tpch.ref(spark, sf, scenarios)
+           totals: bool = True, annex: bool = False) -> M.HierInputs:
+    # each stand-in table feeds several inputs: written once instead of re-reading orders per use
+    base = materialize(tpch.customer_base(spark, sf))
+    ref = materialize(tpch.ref(spark, sf, scenarios))
     return M.HierInputs(
         ref=ref, rgs_county=tpch.rgs_county(spark, sf, scenarios), rgs_rg=tpch.rgs_rg(spark, sf, scenarios),
         crosswalk=tpch.crosswalk(base, schemes), names=tpch.names(base),
-        city_emp=tpch.city_emp(base), city_pop=tpch.city_pop(base),
+        city_emp=tpch.city_emp(base, annex), city_pop=tpch.city_pop(base, annex),
         totals=tpch.totals(ref) if totals else None)
 
 
 def factor_inputs(spark, sf) -> M.HierInputs:
-    inp = inputs(spark, sf)
-    base = tpch.customer_base(spark, sf)
-    inp.city_emp, inp.city_pop = tpch.city_emp(base, annex=True), tpch.city_pop(base, annex=True)
-    return inp
+    return inputs(spark, sf, annex=True)
 
 
 # ---- allocation --------------------------------------------------------------------------
@@ -332,6 +331,18 @@ def q29_forecast_normalise(spark, sf):
     return publish(read_forecast(tpch.forecast_wide(spark, sf), years))
 
 
+def q17d_targets_summary(spark, sf):
+    t = tpch.targets(tpch.customer_base(spark, sf))
+    return publish(M.run_targets(t, None, TGT, "base", "existing", series=False)["rg_summary"])
+
+
+def q32_factor_unrolled(spark, sf):
+    """FACTOR end to end: allocation with annexations, tolerance and
+    positive-growth controls, stock households, two-point series, interior
+    adjustment, whole numbers, inner assembly."""
+    return publish(M.run_factor(factor_inputs(spark, sf), HIER, "stock")["unrolled"])
+
+
 def q30_scenarios(spark, sf):
     inp = inputs(spark, sf, scenarios=tpch.SCENARIOS, schemes=("existing", "proposed"))
     return publish(M.run_scenarios(inp, HIER, "hier")["unrolled"])
