@@ -75,3 +75,16 @@ def publish_names(df: DataFrame, names: dict, rg_name: str | None = None) -> Dat
     if rg_name and "rg_id" in df.columns:
         m["rg_id"] = rg_name
     return df.withColumnsRenamed(m)
+
+
+def diagnostics(df: DataFrame, table: str, keys, checks: dict) -> DataFrame:
+    """Rows where a rule produced NULL on purpose: one row per
+    (table, check, key).  ``checks``: ``{name: condition}``."""
+    keys = list(keys)
+    parts = [df.where(cond).select(F.lit(table).alias("table"), F.lit(name).alias("check"),
+                                   F.to_json(F.struct(*[F.col(k) for k in keys])).alias("key"))
+             for name, cond in checks.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

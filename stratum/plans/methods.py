@@ -79,9 +79,25 @@ def run_hier(inp: HierInputs, cfg: HierConfig = HierConfig()) -> dict:
     out = {"rg_summary": R.group_summary(pop, pop, emp), **R.city_reports(pop, pop, emp),
            "rg_levels": raked["rg"], "county_levels": raked["county"]}
     out.update(_series(pop, pop, emp, cfg, inp.totals))
+    out["diagnostics"] = hier_diagnostics(pop, emp, out["series"])
     return out
 
 
+def hier_diagnostics(pop: DataFrame, emp: DataFrame, series: DataFrame) -> DataFrame:
+    """Cities whose values are NULL by the division and anchor rules."""
+    keys = RUN + ["county", "rg_id", "city_id"]
+    c = F.col
+    cities = R.diagnostics(pop, "people", keys, {
+        "zero group weight (share 0/0)": c("pop_gro").isNull(),
+        "households x/0 (pph = 0, hhpop != 0)": c("hh_p").isNull(),
+        "missing after raking": c("hh_target").isNull() & c("hh_p").isNotNull()})
+    jobs = R.diagnostics(emp, "jobs", keys, {"zero group weight (share 0/0)": c("emp_gro").isNull()})
+    value_cols = [x for x in series.columns if x.startswith("v_")]
+    ser = R.diagnostics(series, "series", SERIES_KEYS + ["geo_id"], {
+        "fewer than two anchors or x/0 in adjustment": F.greatest(*[c(x).isNull() for x in value_cols])})
+    return cities.unionByName(jobs).unionByName(ser)
+
+
 def run_factor(inp: HierInputs, cfg: HierConfig = HierConfig(), variant: str = "stock") -> dict:
     """FACTOR: allocation with annexations, tolerance control of HHPop growth,
     households by stock (data.table) or by growth (SQL), positive-growth control."""

@@ -14,6 +14,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # reliable checkpoints are removed once no DataFrame refers to them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -22,6 +22,16 @@ def read_table(spark: SparkSession, path: str, schema=None, fmt: str | None = No
     return r.format(fmt).load(path)
 
 
+def without_total_rows(df: DataFrame, keys) -> DataFrame:
+    """A2: a sheet may end in sum rows; keep only rows whose key columns are
+    all present (row positions do not exist in Spark)."""
+    cond = None
+    for k in keys:
+        c = F.col(k).isNotNull()
+        cond = c if cond is None else cond & c
+    return df.where(cond)
+
+
 def totals_long(wide: DataFrame, indicators=("hhpop", "hh", "emp", "pop"), after_year: int | None = None
                 ) -> DataFrame:
     """Regional totals ``(scenario?, year, <indicator>…)`` -> long

@@ -171,3 +171,29 @@ def test_targets_end_points_fixture(spark):
         .withColumn("hh_base", F.lit(0.0)).withColumn("hhpop_base", F.lit(0.0))
     got = [(r.hhpop_target, r.hh_target) for r in C.households_from_targets(df).collect()]
     assert got == [(950.0, 380.0), (0.0, 0.0), (None, 0.0), (950.0, None)]
+
+
+def test_diagnostics_and_total_rows(spark):
+    from stratum.sources import io
+    from tests.fixtures_data import hier_inputs
+
+    def checks_for(change):
+        inp = hier_inputs(spark)
+        inp.city_pop = change(inp.city_pop)
+        out = M.run_hier(inp, CFG)
+        return {(r.table, r.check) for r in out["diagnostics"].collect()}, out
+
+    # city 3 alone in RG (33, 2) gets zero weight
+    zero, out = checks_for(lambda d: d.withColumn(
+        "target", F.when(F.col("city_id") == 3, 0.0).otherwise(F.col("target"))))
+    assert ("people", "zero group weight (share 0/0)") in zero
+    assert {r.city_id: r.pop_gro for r in out["people"].collect()}[3] is None
+    # city 5 gets PPH = 0 with household population > 0
+    pph0, _ = checks_for(lambda d: d.withColumn(
+        "pph_target", F.when(F.col("city_id") == 5, 0.0).otherwise(F.col("pph_target"))))
+    assert ("people", "households x/0 (pph = 0, hhpop != 0)") in pph0
+    assert ("people", "zero group weight (share 0/0)") not in pph0
+    clean, _ = checks_for(lambda d: d)
+    assert clean == set()
+    sheet = spark.createDataFrame([(2016, 1.0), (2050, 2.0), (None, 3.0)], "Year int, Pop double")
+    assert io.without_total_rows(sheet, ["Year"]).count() == 2
