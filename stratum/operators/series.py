@@ -5,7 +5,9 @@ Internal shape: one row per ``(keys, indicator, geo_id)`` with one column per
 year (``a_<year>`` anchors, ``v_<year>`` fitted values).  The year lists are
 run settings, so interpolation and adjustment are column expressions: one
 aggregation per geography (duplicates summed), one per ``(keys, indicator)``
-for the yearly sums, no join on years and no window over geographies.
+for the yearly sums; interpolation and adjustment use no join on years and
+no window over geographies.  Whole-number rounding ranks only the rows of
+one remainder bin per group (see ``round_to_total``).
 """
 
 from __future__ import annotations
