@@ -197,3 +197,27 @@ def test_diagnostics_and_total_rows(spark):
     assert clean == set()
     sheet = spark.createDataFrame([(2016, 1.0), (2050, 2.0), (None, 3.0)], "Year int, Pop double")
     assert io.without_total_rows(sheet, ["Year"]).count() == 2
+
+
+def test_single_geography_series(spark):
+    """The reference fails with one geography and totals; here it hits the totals."""
+    anchors = spark.createDataFrame([("s", "x", "pop", 1, 100.0, 200.0)],
+                                    "scenario string, scheme string, indicator string, geo_id long, "
+                                    "a_2016 double, a_2050 double")
+    years = [2016, 2020, 2030, 2050]
+    tot = spark.createDataFrame([("s", "pop", 2020, 130.0), ("s", "pop", 2030, 150.0), ("s", "pop", 2050, 201.0)],
+                                SC.TOTALS)
+    w = S.fit_series(anchors, ["scenario", "scheme", "indicator"], (2016, 2050), years, tot, "after_first").first()
+    assert (w.v_2020, w.v_2030, w.v_2050) == pytest.approx((130.0, 150.0, 201.0))
+
+
+def test_positive_growth_control_with_shrinking_cities(spark):
+    city = spark.createDataFrame(
+        [("s", "x", 1, 10.0, 100.0, 90.0), ("s", "x", 2, 30.0, 50.0, 45.0), ("s", "x", 3, -20.0, 80.0, 85.0)],
+        "scenario string, scheme string, city_id long, hh_gro double, hh_base double, hh_ref double")
+    delta = spark.createDataFrame([("s", 60.0)], "scenario string, hh double")
+    out = {r.city_id: r for r in C.positive_growth_control(city, delta).collect()}
+    assert out[1].hh_factor == pytest.approx(1.5)
+    assert out[3].hh_gro == -20.0                      # shrinking city untouched
+    assert sum(r.hh_gro for r in out.values()) == pytest.approx(60.0 - 20.0)
+    assert out[1].hh_target == pytest.approx(115.0) and out[1].hh_long == pytest.approx(25.0)
