@@ -83,7 +83,7 @@ def rake_to_parent(child: DataFrame, value_p: str, parent: DataFrame, parent_col
 
 
 def hierarchical_rake(city_pop: DataFrame, rgs_county: DataFrame, rgs_rg: DataFrame,
-                      region_control: DataFrame) -> dict:
+                      region_control: DataFrame, city_emp: DataFrame | None = None) -> dict:
     """Steps 6-17 of HIER.
 
     ``city_pop``: allocated cities with ``pop_target, gq_pct_target,
@@ -91,17 +91,24 @@ def hierarchical_rake(city_pop: DataFrame, rgs_county: DataFrame, rgs_rg: DataFr
     pph_target``.  ``region_control``: ``(scenario, hhpop, hh)`` at the target
     year.  HHPop is raked county->region, RG->county, city->RG; HH starts at
     each level from that level's raked HHPop and is raked the same way.
+    With ``city_emp`` the county and RG tables keep only counties and RGs that
+    also have job cities (the level tables are merges of both aggregates);
+    cities of a dropped RG get NULL.
     Returns ``{"city", "rg", "county"}``.  ``hhpop_gro`` of the cities is left
     as allocated (the reference does not recompute it).
     """
     city = household_population(city_pop, "pop_target", "gq_pct_target", "hhpop_p")     # step 10
-    rg = city.groupBy(*RG).agg(strict_sum("pop_target").alias("pop_target"),
-                               strict_sum("hhpop_p").alias("_city_p_sum"))
+    rg_all = city.groupBy(*RG).agg(strict_sum("pop_target").alias("pop_target"),
+                                   strict_sum("hhpop_p").alias("_city_p_sum"))
+    county = rg_all.groupBy(*COUNTY).agg(strict_sum("pop_target").alias("pop_target"))
+    rg = rg_all
+    if city_emp is not None:
+        rg = rg.join(city_emp.select(*RG).distinct(), RG, "inner")
+        county = county.join(city_emp.select(*COUNTY).distinct(), COUNTY, "inner")
     rr = rgs_rg.select("scenario", "county", "rg_id",
                        F.col("gq_pct_target").alias("_gq"), F.col("pph_target").alias("_pph"))
     rg = rg.join(rr, ["scenario", "county", "rg_id"], "left")
     rg = materialize(household_population(rg, "pop_target", "_gq", "hhpop_p"))         # step 8
-    county = rg.groupBy(*COUNTY).agg(strict_sum("pop_target").alias("pop_target"))
     cr = rgs_county.select("scenario", "county",
                            F.col("gq_pct_target").alias("_gq"), F.col("pph_target").alias("_pph"))
     county = county.join(cr, ["scenario", "county"], "left")

@@ -73,7 +73,7 @@ def run_hier(inp: HierInputs, cfg: HierConfig = HierConfig()) -> dict:
     """HIER: allocation, hierarchical raking of HHPop and HH, reports, series."""
     emp, pop = allocated_cities(inp, cfg, with_annex=False)
     control = inp.ref.where(F.col("year") == cfg.target_year).select("scenario", "hhpop", "hh")
-    raked = C.hierarchical_rake(pop, inp.rgs_county, inp.rgs_rg, control)
+    raked = C.hierarchical_rake(pop, inp.rgs_county, inp.rgs_rg, control, emp)
     pop = R.attach_names(raked["city"], inp.names)
     emp = R.attach_names(emp, inp.names)
     out = {"rg_summary": R.group_summary(pop, pop, emp), **R.city_reports(pop, pop, emp),

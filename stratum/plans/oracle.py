@@ -170,8 +170,10 @@ def rake_ctes() -> list[str]:
   FROM city_p GROUP BY scenario, scheme, county, rg_id)""",
         """rg2 AS (SELECT a.*, r.gq_pct_target AS gq, r.pph_target AS pph,
     a.pop_target - a.pop_target * r.gq_pct_target AS hhpop_p
-  FROM rg1 a LEFT JOIN rgs_rg r ON a.scenario = r.scenario AND a.county = r.county AND a.rg_id = r.rg_id)""",
-        f"""co1 AS (SELECT scenario, scheme, county, {ssum('pop_target')} AS pop_target FROM rg2
+  FROM rg1 a LEFT JOIN rgs_rg r ON a.scenario = r.scenario AND a.county = r.county AND a.rg_id = r.rg_id
+  WHERE (a.scenario, a.scheme, a.county, a.rg_id) IN (SELECT scenario, scheme, county, rg_id FROM emp_a))""",
+        f"""co1 AS (SELECT scenario, scheme, county, {ssum('pop_target')} AS pop_target FROM rg1
+  WHERE (scenario, scheme, county) IN (SELECT scenario, scheme, county FROM emp_a)
   GROUP BY scenario, scheme, county)""",
         """co2 AS (SELECT a.*, c.gq_pct_target AS gq, c.pph_target AS pph,
     a.pop_target - a.pop_target * c.gq_pct_target AS hhpop_p

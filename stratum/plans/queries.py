@@ -137,7 +137,7 @@ def _raked(spark, sf, scenarios=("base",), schemes=("existing",)):
     inp = inputs(spark, sf, scenarios, schemes)
     emp, pop = M.allocated_cities(inp, HIER, with_annex=False)
     control = inp.ref.where(F.col("year") == HIER.target_year).select("scenario", "hhpop", "hh")
-    return C.hierarchical_rake(pop, inp.rgs_county, inp.rgs_rg, control)
+    return C.hierarchical_rake(pop, inp.rgs_county, inp.rgs_rg, control, emp)
 
 
 def q08_rake_top(spark, sf):
@@ -230,7 +230,7 @@ def _hier_anchors(spark, sf):
     inp = inputs(spark, sf)
     emp, pop = M.allocated_cities(inp, HIER, with_annex=False)
     control = inp.ref.where(F.col("year") == HIER.target_year).select("scenario", "hhpop", "hh")
-    pop = C.hierarchical_rake(pop, inp.rgs_county, inp.rgs_rg, control)["city"]
+    pop = C.hierarchical_rake(pop, inp.rgs_county, inp.rgs_rg, control, emp)["city"]
     y0, y1 = HIER.base_year, HIER.target_year
     anchors = S.stack_anchors({"hhpop": (pop, {y0: "hhpop_base", y1: "hhpop_target"}),
                                "hh": (pop, {y0: "hh_base", y1: "hh_target"}),

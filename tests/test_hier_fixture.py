@@ -49,3 +49,17 @@ def test_hier_chain(spark):
     assert sum(r.hhpop_target for r in people.values()) == pytest.approx(1880)
     assert sum(r.hh_target for r in hh.values()) == pytest.approx(800)
     assert people[1].juris == "City 1"
+
+
+def test_rg_without_job_cities_drops_out(spark):
+    """Level tables merge the jobs and people aggregates: an RG without job
+    cities is not raked and its cities get NULL household population."""
+    from pyspark.sql import functions as F
+    inp = hier_inputs(spark)
+    inp.city_emp = inp.city_emp.where(F.col("city_id") != 3)   # RG (33, 2) has no job city left
+    out = M.run_hier(inp, CFG)
+    rg = {(r.county, r.rg_id) for r in out["rg_levels"].collect()}
+    assert rg == {(33, "1"), (53, "1")}
+    people = {r.city_id: r for r in out["people"].collect()}
+    assert people[3].hhpop_target is None
+    assert people[1].hhpop_target is not None
