@@ -99,3 +99,26 @@ def test_missing_anchor_dropped(spark):
     one = series_anchors(spark).withColumn("a_2020", F.lit(None).cast("double")) \
                                .withColumn("a_2050", F.lit(None).cast("double"))
     assert all(v is None for v in _wide(S.interpolate(one, KEYS, [2018, 2020, 2050], [2018]), [2018])[1])
+
+
+def test_anchors_from_long_sums_duplicates(spark):
+    """Duplicate rows of a geography are summed per anchor year; a missing
+    value makes that anchor missing (strict), which interpolation then skips."""
+    long = spark.createDataFrame(
+        [("s", "x", "pop", 1, 2018, 60.0), ("s", "x", "pop", 1, 2018, 40.0), ("s", "x", "pop", 1, 2020, 110.0),
+         ("s", "x", "pop", 1, 2050, 140.0), ("s", "x", "pop", 2, 2018, 50.0), ("s", "x", "pop", 2, 2020, None),
+         ("s", "x", "pop", 2, 2050, 80.0), ("s", "x", "pop", 2, 2030, 999.0)],
+        "scenario string, scheme string, indicator string, city_id long, year int, value double")
+    a = S.anchors_from_long(long, KEYS, "city_id", "year", "value", [2018, 2020, 2050])
+    got = {r.geo_id: (r.a_2018, r.a_2020, r.a_2050) for r in a.collect()}
+    assert got == {1: (100.0, 110.0, 140.0), 2: (50.0, None, 80.0)}
+    w = _wide(S.interpolate(a, KEYS, [2018, 2020, 2050], [2020, 2034]), [2020, 2034])
+    assert w[2] == pytest.approx([50 + 30 * 2 / 32, 50 + 30 * 16 / 32])
+
+
+def test_lookup_join(spark):
+    from stratum.operators.joins import lookup
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "city_id long, x string")
+    names = spark.createDataFrame([(1, "One")], "city_id long, juris string")
+    got = {r.city_id: r.name for r in lookup(df, names, "city_id", {"name": "juris"}).collect()}
+    assert got == {1: "One", 2: None}
