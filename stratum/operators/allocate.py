@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratum.functions.expr import ratio, strict_sum
-from stratum.operators.joins import bounded, with_group_sums
+from stratum.operators.joins import bounded, join_checked, with_group_sums
 
 MEASURES = ("pop", "hhpop", "hh", "emp")
 
@@ -76,7 +76,7 @@ def allocate(city: DataFrame, rg_growth: DataFrame, kind: str) -> DataFrame:
     src = "emp_gro_rg" if kind == "emp" else "pop_gro_rg"
     g = rg_growth.select("scenario", "county", "rg_id", F.col(src).alias("_rg_gro"))
     on = ["county", "rg_id"] + (["scenario"] if "scenario" in city.columns else [])
-    df = city.join(g, on, "inner")
+    df = join_checked(city, g, on, "inner")
     if kind == "emp":
         df = df.withColumn("emp_gro", F.col("share") * F.col("_rg_gro"))
     else:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratum.functions.expr import cond_sum, ratio, ratio0, strict_sum
-from stratum.operators.joins import bounded, common_keys
+from stratum.operators.joins import bounded, common_keys, join_checked
 from stratum.session import materialize
 
 RUN = ["scenario", "scheme"]
@@ -77,7 +77,7 @@ def rake_to_parent(child: DataFrame, value_p: str, parent: DataFrame, parent_col
         child_sum = child.groupBy(*parent_keys).agg(strict_sum(value_p).alias("_psum"))
     ctl = parent.select(*parent_keys, F.col(parent_col).alias("_ctl"))
     factors = child_sum.join(ctl, parent_keys, "left")
-    return (child.join(factors, parent_keys, "left")
+    return (join_checked(child, factors, parent_keys, "left")
                  .withColumn(out, ratio(F.col(value_p), F.col("_psum")) * F.col("_ctl"))
                  .drop("_psum", "_ctl"))
 
@@ -121,7 +121,7 @@ def hierarchical_rake(city_pop: DataFrame, rgs_county: DataFrame, rgs_rg: DataFr
     rg = materialize(rake_to_parent(rg, "hh_p", county, "hh_target", COUNTY, "hh_target"))  # step 15
     # step 11: the per-RG sum of city prelims comes from the first aggregation
     rg_ctl = rg.select(*RG, F.col("_city_p_sum").alias("_psum"), F.col("hhpop_target").alias("_ctl"))
-    city = (city.join(rg_ctl, RG, "left")
+    city = (join_checked(city, rg_ctl, RG, "left", written=True)
                 .withColumn("hhpop_target", ratio(F.col("hhpop_p"), F.col("_psum")) * F.col("_ctl"))
                 .drop("_psum", "_ctl"))
     city = households(city, "hhpop_target", "pph_target", "hh_p", missing_to_zero=True)  # step 16
