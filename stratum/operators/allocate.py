@@ -66,17 +66,18 @@ def share_within(city: DataFrame, weight, keys=("scenario", "scheme", "county",
     return df.withColumn(out, ratio(F.col("_w"), F.col("_wsum"))).drop("_w", "_wsum")
 
 
-def allocate(city: DataFrame, rg_growth: DataFrame, kind: str) -> DataFrame:
+def allocate(city: DataFrame, rg_growth: DataFrame, kind: str, growth_written: bool = False) -> DataFrame:
     """RG growth to cities by share (inner join on ``(county, rg_id)``).
 
     ``kind='emp'`` gives ``emp_gro``; ``kind='pop'`` gives ``pop_gro`` and
     ``hhpop_gro = pop_gro * (1 - gq_pct)``.  Cities without an RG row and RG
-    rows without cities drop out.
+    rows without cities drop out.  ``growth_written``: ``rg_growth`` is already a
+    written table, so the size check only counts it.
     """
     src = "emp_gro_rg" if kind == "emp" else "pop_gro_rg"
     g = rg_growth.select("scenario", "county", "rg_id", F.col(src).alias("_rg_gro"))
     on = ["county", "rg_id"] + (["scenario"] if "scenario" in city.columns else [])
-    df = join_checked(city, g, on, "inner")
+    df = join_checked(city, g, on, "inner", written=growth_written)
     if kind == "emp":
         df = df.withColumn("emp_gro", F.col("share") * F.col("_rg_gro"))
     else:

@@ -66,18 +66,23 @@ def rake_to_control(df: DataFrame, value_p: str, control: DataFrame, control_col
 
 
 def rake_to_parent(child: DataFrame, value_p: str, parent: DataFrame, parent_col: str,
-                   parent_keys, out: str, child_sum: DataFrame | None = None) -> DataFrame:
+                   parent_keys, out: str, child_sum: DataFrame | None = None,
+                   child_is_small: bool = False) -> DataFrame:
     """Children to their parent's controlled value, ``p / sum_parent(p) * parent``.
 
     ``child_sum`` may supply the per-parent sum when it was already computed
-    in an earlier aggregation over the children.
+    in an earlier aggregation over the children.  City-level children join
+    the per-parent factors through the size check; a level table
+    (``child_is_small``) joins them directly.
     """
     parent_keys = list(parent_keys)
     if child_sum is None:
         child_sum = child.groupBy(*parent_keys).agg(strict_sum(value_p).alias("_psum"))
     ctl = parent.select(*parent_keys, F.col(parent_col).alias("_ctl"))
     factors = child_sum.join(ctl, parent_keys, "left")
-    return (join_checked(child, factors, parent_keys, "left")
+    joined = child.join(factors, parent_keys, "left") if child_is_small else \
+        join_checked(child, factors, parent_keys, "left")
+    return (joined
                  .withColumn(out, ratio(F.col(value_p), F.col("_psum")) * F.col("_ctl"))
                  .drop("_psum", "_ctl"))
 
@@ -116,9 +121,11 @@ def hierarchical_rake(city_pop: DataFrame, rgs_county: DataFrame, rgs_rg: DataFr
     county = rake_to_control(county, "hhpop_p", region_control, "hhpop", "hhpop_target")  # step 7
     county = households(county, "hhpop_target", "_pph", "hh_p")                          # step 12
     county = materialize(rake_to_control(county, "hh_p", region_control, "hh", "hh_target"))  # step 13
-    rg = rake_to_parent(rg, "hhpop_p", county, "hhpop_target", COUNTY, "hhpop_target")   # step 9
+    rg = rake_to_parent(rg, "hhpop_p", county, "hhpop_target", COUNTY, "hhpop_target",
+                        child_is_small=True)                                             # step 9
     rg = households(rg, "hhpop_target", "_pph", "hh_p")                                  # step 14
-    rg = materialize(rake_to_parent(rg, "hh_p", county, "hh_target", COUNTY, "hh_target"))  # step 15
+    rg = materialize(rake_to_parent(rg, "hh_p", county, "hh_target", COUNTY, "hh_target",
+                                    child_is_small=True))                                # step 15
     # step 11: the per-RG sum of city prelims comes from the first aggregation
     rg_ctl = rg.select(*RG, F.col("_city_p_sum").alias("_psum"), F.col("hhpop_target").alias("_ctl"))
     city = (join_checked(city, rg_ctl, RG, "left", written=True)
