@@ -40,8 +40,12 @@ def get_spark(master: str | None = None, app: str = "stratum",
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; only a local session
-    without one gets a scratch directory (tests, benches)."""
-    sc = spark.sparkContext
+    without one gets a scratch directory (tests, benches).  A Spark Connect
+    session has no SparkContext here: the server's setting applies."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
