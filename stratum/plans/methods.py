@@ -92,10 +92,7 @@ def hier_diagnostics(pop: DataFrame, emp: DataFrame, series: DataFrame) -> DataF
         "households x/0 (pph = 0, hhpop != 0)": c("hh_p").isNull(),
         "missing after raking": c("hh_target").isNull() & c("hh_p").isNotNull()})
     jobs = R.diagnostics(emp, "jobs", keys, {"zero group weight (share 0/0)": c("emp_gro").isNull()})
-    value_cols = [x for x in series.columns if x.startswith("v_")]
-    ser = R.diagnostics(series, "series", SERIES_KEYS + ["geo_id"], {
-        "fewer than two anchors or x/0 in adjustment": F.greatest(*[c(x).isNull() for x in value_cols])})
-    return cities.unionByName(jobs).unionByName(ser)
+    return cities.unionByName(jobs).unionByName(_series_diagnostics(series))
 
 
 def run_factor(inp: HierInputs, cfg: HierConfig = HierConfig(), variant: str = "stock") -> dict:
@@ -112,9 +109,24 @@ def run_factor(inp: HierInputs, cfg: HierConfig = HierConfig(), variant: str = "
     out = {"rg_summary": R.group_summary(pop, hh, emp),
            **R.city_reports(pop, hh, emp, with_hhpop_ref=(variant == "growth"))}
     out.update(_series(pop, hh, emp, cfg, inp.totals))
+    keys = RUN + ["county", "rg_id", "city_id"]
+    c = F.col
+    out["diagnostics"] = R.diagnostics(pop, "people", keys, {
+        "zero group weight (share 0/0)": c("pop_gro").isNull(),
+        "household-population control: zero denominator": c("hhpop_factor").isNull()}).unionByName(
+        R.diagnostics(hh, "households", keys, {
+            "households x/0 (pph = 0)": c("hh_target").isNull() & c("pph").isNotNull() & (c("pph") == 0),
+            "household control: no positive growth": c("hh_factor").isNull()})).unionByName(
+        _series_diagnostics(out["series"]))
     return out
 
 
+def _series_diagnostics(series: DataFrame) -> DataFrame:
+    value_cols = [x for x in series.columns if x.startswith("v_")]
+    return R.diagnostics(series, "series", SERIES_KEYS + ["geo_id"], {
+        "fewer than two anchors or x/0 in adjustment": F.greatest(*[F.col(x).isNull() for x in value_cols])})
+
+
 def run_targets(targets: DataFrame, totals: DataFrame | None, cfg: TargetsConfig = TargetsConfig(),
                 scenario: str = "default", scheme: str = "default", series: bool = True) -> dict:
     """TARGETS: end points from given targets, RG summary, anchored series
@@ -130,7 +142,9 @@ def run_targets(targets: DataFrame, totals: DataFrame | None, cfg: TargetsConfig
         "emp": (df, {a0: "emp_by", a1: "emp_base", a2: "emp_target"}),
         "pop": (df, {a0: "pop_by", a1: "pop_base", a2: "pop_target"}),
     }, RUN, "city_id")
-    out = {"rg_summary": summary, "end_points": pop}
+    out = {"rg_summary": summary, "end_points": pop,
+           "diagnostics": R.diagnostics(pop, "end_points", RUN + ["county", "rg_id", "city_id"], {
+               "households x/0 (pph = 0, hhpop != 0)": F.col("hh_target").isNull()})}
     if not series:
         return out
     for name, years in (("", cfg.years_to_fit), ("annual_", cfg.annual_years)):
@@ -140,6 +154,7 @@ def run_targets(targets: DataFrame, totals: DataFrame | None, cfg: TargetsConfig
         out[f"{name}series"] = wide
         out[f"{name}unrolled"] = S.assemble(long, SERIES_KEYS, cfg.indicators, "outer", "subreg_id")
     out["unrolled_regional"] = S.regional_rollup(out["annual_unrolled"], RUN, cfg.indicators)
+    out["diagnostics"] = out["diagnostics"].unionByName(_series_diagnostics(out["series"]))
     return out
 
 

@@ -19,9 +19,9 @@ from stratum.sources.io import write_tables
 
 TABLES = {
     "hier": ("rg_summary", "people", "households", "jobs", "series", "unrolled", "diagnostics"),
-    "factor_stock": ("rg_summary", "people", "households", "jobs", "series", "unrolled"),
-    "factor_growth": ("rg_summary", "people", "households", "jobs", "series", "unrolled"),
-    "targets": ("rg_summary", "series", "unrolled", "annual_unrolled", "unrolled_regional"),
+    "factor_stock": ("rg_summary", "people", "households", "jobs", "series", "unrolled", "diagnostics"),
+    "factor_growth": ("rg_summary", "people", "households", "jobs", "series", "unrolled", "diagnostics"),
+    "targets": ("rg_summary", "series", "unrolled", "annual_unrolled", "unrolled_regional", "diagnostics"),
 }
 
 

@@ -32,3 +32,22 @@ def test_households_growth(spark):
     assert [hh[c] for c in range(1, 6)] == pytest.approx(
         [245.830455, 141.477771, 113.478633, 163.242900, 135.970241], abs=1e-6)
     assert "hhpop_ref" in out["people"].columns
+
+
+def test_factor_and_targets_diagnostics(spark):
+    from pyspark.sql import functions as F
+    inp = hier_inputs(spark)
+    inp.city_pop = inp.city_pop.withColumn("pph", F.when(F.col("city_id") == 2, 0.0).otherwise(F.col("pph")))
+    out = M.run_factor(inp, HierConfig(), "stock")
+    checks = {(r.table, r.check, r.key) for r in out["diagnostics"].collect()}
+    assert any(t == "households" and c == "households x/0 (pph = 0)" and '"city_id":2' in k for t, c, k in checks)
+    clean = M.run_factor(hier_inputs(spark), HierConfig(), "stock")["diagnostics"]
+    assert clean.count() == 0
+    t = spark.createDataFrame([(1, 33, "1", "A", 1000.0, 5.0, 0.0, 0.0, 0.0),
+                               (2, 33, "1", "B", 1000.0, 5.0, 2.5, 0.0, 0.0)],
+                              "city_id long, county long, rg_id string, juris string, pop_target double, "
+                              "gq_pct_target double, pph_target double, hh_base double, hhpop_base double")
+    for c in ("emp_by", "emp_base", "emp_target", "pop_by", "pop_base", "hhpop_by", "hh_by"):
+        t = t.withColumn(c, F.lit(1.0))
+    d = M.run_targets(t, None, series=False)["diagnostics"].collect()
+    assert [r.key for r in d] == ['{"scenario":"default","scheme":"default","county":33,"rg_id":"1","city_id":1}']
