@@ -9,13 +9,16 @@ two city-sized tables stay shuffle joins, where AQE splits skewed keys.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import itertools
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stratum.functions.expr import strict_sum
 
 
 BROADCAST_MAX_ROWS = 2_000_000   # rows a checked side may have and still be broadcast
+_OBS = itertools.count()
 
 
 def bounded(df: DataFrame) -> DataFrame:
@@ -28,14 +31,20 @@ def join_checked(big: DataFrame, small: DataFrame, on, how: str = "left",
     """Join a side whose size is checked, not assumed.
 
     ``small`` (a group-total or level table) is written once unless it
-    already is (``written``), counted, and broadcast when it has at most
+    already is (``written``), its rows counted (observed while writing), and
+    broadcast when it has at most
     ``BROADCAST_MAX_ROWS`` rows, so the big side is never shuffled for it.
     Beyond that it stays a shuffle join, where AQE splits skewed keys.
     """
     from stratum.session import materialize
-    if not written:
-        small = materialize(small)
-    side = F.broadcast(small) if small.count() <= BROADCAST_MAX_ROWS else small
+    if written:
+        n = small.count()
+    else:
+        # the row count is observed while the table is written: no second job
+        obs = Observation(f"rows_{next(_OBS)}")
+        small = materialize(small.observe(obs, F.count(F.lit(1)).alias("rows")))
+        n = obs.get["rows"]
+    side = F.broadcast(small) if n <= BROADCAST_MAX_ROWS else small
     return big.join(side, list(on) if not isinstance(on, str) else on, how)
 
 

@@ -12,9 +12,10 @@ one remainder bin per group (see ``round_to_total``).
 
 from __future__ import annotations
 
+import itertools
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from stratum.functions.expr import clip0, half_even, ratio, strict_sum
@@ -25,6 +26,7 @@ from stratum.session import materialize
 GEO = "geo_id"
 DRAW_CHUNK = 100_000
 REM_BINS = 4096
+_OBS = itertools.count()
 WINDOW_RANK_MAX = 200_000   # rows of one cut bin that one task may sort
 
 
@@ -237,10 +239,11 @@ def _largest_remainder_extra(df: DataFrame, G) -> DataFrame:
               .where((F.col("_above") < F.col("_m")) & (F.col("_above") + F.col("_cnt") >= F.col("_m")))
               .select(*G, F.col("_bin").alias("_cut"), (F.col("_m") - F.col("_above")).alias("_take"),
                       F.col("_cnt").alias("_cut_rows")))
-    # one row per group, written once (it is read by the size check and by two joins)
-    cut = materialize(cut)
-    # the largest cut bin, from a table with one row per group: a checked size
-    biggest = cut.agg(F.max("_cut_rows")).first()[0]
+    # one row per group, written once (read by two joins); the largest cut bin is
+    # observed while it is written: a checked size without a second job
+    obs = Observation(f"cut_{next(_OBS)}")
+    cut = materialize(cut.observe(obs, F.max("_cut_rows").alias("biggest")))
+    biggest = obs.get["biggest"]
     # one row per (scenario, scheme, indicator, year): bounded by the run settings
     df = df.join(bounded(cut.drop("_cut_rows")), G, "left")
     in_cut = F.col("_need") & (F.col("_bin") == F.col("_cut"))

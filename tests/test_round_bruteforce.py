@@ -54,3 +54,12 @@ def test_largest_remainder_matches_brute_force(spark, tied, window_max, monkeypa
     assert got == exp
     for (ind, y), t in totals.items():
         assert sum(v for (i, yy, _), v in got.items() if i == ind and yy == y) == t
+
+
+def test_no_residual_leaves_rounded_values(spark):
+    long = spark.createDataFrame([("s", "x", "a", 1, 2020, 1.4), ("s", "x", "a", 2, 2020, 2.6)],
+                                 "scenario string, scheme string, indicator string, geo_id long, "
+                                 "year int, value double")
+    tot = spark.createDataFrame([("s", "a", 2020, 4.0), ("s", "a", 2030, 9.0)], SC.TOTALS)
+    got = {r.geo_id: r.value for r in S.round_to_total(long, KEYS, tot).collect()}
+    assert got == {1: 1.0, 2: 3.0}
