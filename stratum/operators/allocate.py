@@ -66,7 +66,8 @@ def share_within(city: DataFrame, weight, keys=("scenario", "scheme", "county",
     return df.withColumn(out, ratio(F.col("_w"), F.col("_wsum"))).drop("_w", "_wsum")
 
 
-def allocate(city: DataFrame, rg_growth: DataFrame, kind: str, growth_written: bool = False) -> DataFrame:
+def allocate(city: DataFrame, rg_growth: DataFrame, kind: str, growth_written: bool = False,
+             growth_rows: int | None = None) -> DataFrame:
     """RG growth to cities by share (inner join on ``(county, rg_id)``).
 
     ``kind='emp'`` gives ``emp_gro``; ``kind='pop'`` gives ``pop_gro`` and
@@ -77,7 +78,7 @@ def allocate(city: DataFrame, rg_growth: DataFrame, kind: str, growth_written: b
     src = "emp_gro_rg" if kind == "emp" else "pop_gro_rg"
     g = rg_growth.select("scenario", "county", "rg_id", F.col(src).alias("_rg_gro"))
     on = ["county", "rg_id"] + (["scenario"] if "scenario" in city.columns else [])
-    df = join_checked(city, g, on, "inner", written=growth_written)
+    df = join_checked(city, g, on, "inner", written=growth_written, rows=growth_rows)
     if kind == "emp":
         df = df.withColumn("emp_gro", F.col("share") * F.col("_rg_gro"))
     else:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from stratum.functions.expr import cond_sum, ratio, ratio0, strict_sum
 from stratum.operators.joins import bounded, common_keys, join_checked
-from stratum.session import materialize
+from stratum.session import materialize, materialize_counted
 
 RUN = ["scenario", "scheme"]
 COUNTY = RUN + ["county"]
@@ -124,11 +124,11 @@ def hierarchical_rake(city_pop: DataFrame, rgs_county: DataFrame, rgs_rg: DataFr
     rg = rake_to_parent(rg, "hhpop_p", county, "hhpop_target", COUNTY, "hhpop_target",
                         child_is_small=True)                                             # step 9
     rg = households(rg, "hhpop_target", "_pph", "hh_p")                                  # step 14
-    rg = materialize(rake_to_parent(rg, "hh_p", county, "hh_target", COUNTY, "hh_target",
-                                    child_is_small=True))                                # step 15
+    rg, rg_rows = materialize_counted(rake_to_parent(rg, "hh_p", county, "hh_target", COUNTY, "hh_target",
+                                                     child_is_small=True))               # step 15
     # step 11: the per-RG sum of city prelims comes from the first aggregation
     rg_ctl = rg.select(*RG, F.col("_city_p_sum").alias("_psum"), F.col("hhpop_target").alias("_ctl"))
-    city = (join_checked(city, rg_ctl, RG, "left", written=True)
+    city = (join_checked(city, rg_ctl, RG, "left", rows=rg_rows)
                 .withColumn("hhpop_target", ratio(F.col("hhpop_p"), F.col("_psum")) * F.col("_ctl"))
                 .drop("_psum", "_ctl"))
     city = households(city, "hhpop_target", "pph_target", "hh_p", missing_to_zero=True)  # step 16

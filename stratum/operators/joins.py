@@ -9,16 +9,13 @@ two city-sized tables stay shuffle joins, where AQE splits skewed keys.
 
 from __future__ import annotations
 
-import itertools
-
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratum.functions.expr import strict_sum
 
 
 BROADCAST_MAX_ROWS = 2_000_000   # rows a checked side may have and still be broadcast
-_OBS = itertools.count()
 
 
 def bounded(df: DataFrame) -> DataFrame:
@@ -27,7 +24,7 @@ def bounded(df: DataFrame) -> DataFrame:
 
 
 def join_checked(big: DataFrame, small: DataFrame, on, how: str = "left",
-                 written: bool = False) -> DataFrame:
+                 written: bool = False, rows: int | None = None) -> DataFrame:
     """Join a side whose size is checked, not assumed.
 
     ``small`` (a group-total or level table) is written once unless it
@@ -35,15 +32,16 @@ def join_checked(big: DataFrame, small: DataFrame, on, how: str = "left",
     broadcast when it has at most
     ``BROADCAST_MAX_ROWS`` rows, so the big side is never shuffled for it.
     Beyond that it stays a shuffle join, where AQE splits skewed keys.
+    ``rows``: the count of a table already written by ``materialize_counted``.
     """
-    from stratum.session import materialize
-    if written:
+    from stratum.session import materialize_counted
+    if rows is not None:
+        n = rows
+    elif written:
         n = small.count()
     else:
         # the row count is observed while the table is written: no second job
-        obs = Observation(f"rows_{next(_OBS)}")
-        small = materialize(small.observe(obs, F.count(F.lit(1)).alias("rows")))
-        n = obs.get["rows"]
+        small, n = materialize_counted(small)
     side = F.broadcast(small) if n <= BROADCAST_MAX_ROWS else small
     return big.join(side, list(on) if not isinstance(on, str) else on, how)
 

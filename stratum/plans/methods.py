@@ -17,7 +17,7 @@ from stratum.operators import allocate as A
 from stratum.operators import control as C
 from stratum.operators import report as R
 from stratum.operators import series as S
-from stratum.session import materialize
+from stratum.session import materialize, materialize_counted
 
 RUN = ["scenario", "scheme"]
 SERIES_KEYS = RUN + ["indicator"]
@@ -43,14 +43,14 @@ def rg_growth(inp: HierInputs, cfg: HierConfig) -> DataFrame:
 
 def allocated_cities(inp: HierInputs, cfg: HierConfig, with_annex: bool) -> tuple[DataFrame, DataFrame]:
     """Steps 3-5 (F1, F5-F8): shares, allocation, projection for jobs and people."""
-    growth = materialize(rg_growth(inp, cfg))   # one row per (scenario, county, RG), read twice
+    growth, n = materialize_counted(rg_growth(inp, cfg))   # one row per (scenario, county, RG), read twice
     emp = A.attach_group(inp.city_emp, inp.crosswalk)
     pop = A.attach_group(inp.city_pop, inp.crosswalk)
     annex = F.col("annex") if with_annex else F.lit(0.0)
     emp = A.share_within(emp, F.col("target") + annex + F.col("cr_add"))
     pop = A.share_within(pop, F.col("target") + annex)
-    emp = A.long_growth(A.project(A.allocate(emp, growth, "emp", growth_written=True), "emp"), "emp")
-    pop = A.project(A.allocate(pop, growth, "pop", growth_written=True), "pop", with_hhpop=with_annex)
+    emp = A.long_growth(A.project(A.allocate(emp, growth, "emp", growth_rows=n), "emp"), "emp")
+    pop = A.project(A.allocate(pop, growth, "pop", growth_rows=n), "pop", with_hhpop=with_annex)
     # the allocated cities feed the levels, the reports and the series
     return materialize(emp), materialize(pop)
 
