@@ -122,3 +122,28 @@ def test_lookup_join(spark):
     names = spark.createDataFrame([(1, "One")], "city_id long, juris string")
     got = {r.city_id: r.name for r in lookup(df, names, "city_id", {"name": "juris"}).collect()}
     assert got == {1: "One", 2: None}
+
+
+def test_interpolation_matches_numpy_on_random_anchors(spark):
+    """H2 against numpy.interp: random anchors (some missing), years inside
+    and outside the anchor range; fewer than two anchors -> NULL series."""
+    import numpy as np
+    from pyspark.sql import types as T
+    rng = np.random.default_rng(9)
+    anchor_years = [2018, 2020, 2030, 2050]
+    years = [2015, 2018, 2019, 2020, 2025, 2030, 2044, 2050, 2055]
+    rows = []
+    for g in range(300):
+        vals = [None if rng.random() < 0.25 else float(rng.uniform(-50, 500)) for _ in anchor_years]
+        rows.append(("s", "x", "pop", g, *vals))
+    schema = T.StructType([T.StructField(n, t) for n, t in [
+        ("scenario", T.StringType()), ("scheme", T.StringType()), ("indicator", T.StringType()),
+        ("geo_id", T.LongType())] + [(f"a_{y}", T.DoubleType()) for y in anchor_years]])
+    got = _wide(S.interpolate(spark.createDataFrame(rows, schema), KEYS, anchor_years, years), years)
+    for r in rows:
+        pts = [(y, v) for y, v in zip(anchor_years, r[4:]) if v is not None]
+        for y, v in zip(years, got[r[3]]):
+            if len(pts) < 2 or y < pts[0][0] or y > pts[-1][0]:
+                assert v is None
+            else:
+                assert v == pytest.approx(float(np.interp(y, [p[0] for p in pts], [p[1] for p in pts])))
