@@ -2,7 +2,9 @@
 
 Written independently of the Spark plans: series are computed in long form
 with ``lag``/``lead`` and ``row_number`` windows, group totals with window
-sums, as a plain SQL user would.  Doubles are published at 6 decimals.
+sums, as a plain SQL user would.  Doubles are published at 6 decimals
+(``round(x, 6) + 0.0``, so DuckDB's negative zero reads as zero).  Sums are
+strict (one missing value makes the group missing) wherever the library's are.
 """
 
 from __future__ import annotations
