@@ -63,3 +63,22 @@ def test_rg_without_job_cities_drops_out(spark):
     people = {r.city_id: r for r in out["people"].collect()}
     assert people[3].hhpop_target is None
     assert people[1].hhpop_target is not None
+
+
+def test_growth_floor_worked_example(spark):
+    """RG A planned 100 but already grew 150 -> raised to 150; the county's
+    deficit of 50 is taken from B and C by their share of planned growth
+    (200:100); the county total plan stays 400.  County 2 has no short RG."""
+    from stratum.operators.allocate import growth_floor
+    plan = spark.createDataFrame(
+        [("s", 1, "A", 100.0), ("s", 1, "B", 200.0), ("s", 1, "C", 100.0), ("s", 2, "A", 50.0)],
+        "scenario string, county long, rg_id string, plan double")
+    observed = spark.createDataFrame(
+        [("x", 1, "A", 150.0), ("x", 1, "B", 20.0), ("x", 1, "C", 10.0), ("x", 2, "A", 5.0)],
+        "scheme string, county long, rg_id string, observed double")
+    got = {(r.county, r.rg_id): r.pop_gro_rg for r in growth_floor(plan, observed, "pop").collect()}
+    assert got[(1, "A")] == pytest.approx(0.0)
+    assert got[(1, "B")] == pytest.approx(200 - 50 * 2 / 3 - 20)
+    assert got[(1, "C")] == pytest.approx(100 - 50 / 3 - 10)
+    assert got[(2, "A")] == pytest.approx(45.0)
+    assert sum(got[(1, k)] for k in "ABC") + 180 == pytest.approx(400)
