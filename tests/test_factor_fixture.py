@@ -51,3 +51,22 @@ def test_factor_and_targets_diagnostics(spark):
         t = t.withColumn(c, F.lit(1.0))
     d = M.run_targets(t, None, series=False)["diagnostics"].collect()
     assert [r.key for r in d] == ['{"scenario":"default","scheme":"default","county":33,"rg_id":"1","city_id":1}']
+
+
+def test_tolerance_control_threshold_asymmetry(spark):
+    """The denominator takes rows with no_gq != 0, scaling only rows with
+    no_gq > 0.02; a city with 0 < no_gq <= 0.02 is in the first set only."""
+    from stratum.operators.control import tolerance_control
+    city = spark.createDataFrame(
+        [("s", "x", 1, 100.0, 90.0, 10.0, 5.0), ("s", "x", 2, 50.0, 49.99, 10.0, 5.0),
+         ("s", "x", 3, 20.0, 20.0, 10.0, 5.0)],
+        "scenario string, scheme string, city_id long, pop_gro double, hhpop_gro double, "
+        "hhpop_base double, hhpop_ref double")
+    delta = spark.createDataFrame([("s", 200.0)], "scenario string, hhpop double")
+    out = {r.city_id: r for r in tolerance_control(city, delta).collect()}
+    f = (200 - 20) / (90 + 49.99)
+    assert out[1].hhpop_factor == pytest.approx(f)
+    assert out[1].hhpop_gro == pytest.approx(90 * f)
+    assert out[2].hhpop_gro == pytest.approx(49.99)     # in the denominator, not scaled
+    assert out[3].hhpop_gro == pytest.approx(20.0)      # no group quarters: not controlled
+    assert out[1].hhpop_target == pytest.approx(90 * f + 10) and out[1].hhpop_long == pytest.approx(90 * f + 5)
