@@ -147,3 +147,14 @@ def test_interpolation_matches_numpy_on_random_anchors(spark):
                 assert v is None
             else:
                 assert v == pytest.approx(float(np.interp(y, [p[0] for p in pts], [p[1] for p in pts])))
+
+
+def test_assemble_inner_vs_outer(spark):
+    """C8 keeps (geo, year) present for every indicator; C9 keeps all, with NULLs."""
+    long = spark.createDataFrame(
+        [("s", "x", "hh", 1, 2020, 5.0), ("s", "x", "emp", 1, 2020, 7.0), ("s", "x", "hh", 2, 2020, 3.0)],
+        "scenario string, scheme string, indicator string, geo_id long, year int, value double")
+    inner = S.assemble(long, KEYS, ("hh", "emp"), "inner", "city_id").collect()
+    outer = {r.city_id: (r.total_hh, r.total_emp) for r in S.assemble(long, KEYS, ("hh", "emp"), "outer").withColumnRenamed("geo_id", "city_id").collect()}
+    assert [(r.city_id, r.total_hh, r.total_emp) for r in inner] == [(1, 5.0, 7.0)]
+    assert outer == {1: (5.0, 7.0), 2: (3.0, None)}
