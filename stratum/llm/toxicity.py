@@ -35,6 +35,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from stratum.llm import storage
 from stratum.llm import text as T
@@ -203,7 +204,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, table_
     frequent = most_frequent(pairs, n, table_rows).select("left", "word", *classes).toPandas()
     key = pair_hash(frequent["left"].to_numpy(np.int64), frequent["word"].to_numpy(np.int64))
     order = np.argsort(key)
-    pad = lambda a, v: a if len(a) else np.array(v)
+    pad = lambda a, v: np.asarray(a) if len(a) else np.array(v)
     both = lambda t, *c: pad(t[list(c)].to_numpy(np.float32), [[0.0, 0.0]])
     models = [Model(
         words=pad(table["word"].to_numpy(np.int64), [0]), word_n=both(table, *classes), kept=both(table, *(f"kept_{c}_{i}" for c in classes)),
@@ -244,7 +245,7 @@ def logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def features_of(docs: DataFrame, models: list[Model], *keep: str) -> DataFrame:
     """``keep`` columns and ``x``, both features by each model, for every row."""
     sent = docs.sparkSession.sparkContext.broadcast([tuple(m) for m in models])   # TABLE_ROWS rows each at most
-    schema = docs.select(*keep).schema.add("x", "array<double>")
+    schema = docs.select(*keep).schema.add("x", ArrayType(DoubleType()))
 
     def measure(batches):
         ms = [Model(*m) for m in sent.value]
