@@ -35,6 +35,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,7 +46,8 @@ from stratum.llm.token_shards import whole_runs
 
 WORDS = 5
 PERCENT = 75
-SKETCH = 1 << 20        # counters
+SKETCH = 1 << 22        # counters
+FILTER_BITS = 1 << 24   # of the filter of classes whose sets are wanted
 SLICES = 16
 BINS = 4
 BITS = 1024             # of a set's bitmap
@@ -77,16 +79,20 @@ def shingle_sets(column) -> tuple[np.ndarray, np.ndarray]:
         words = w[offs[r]:offs[r + 1]]
         h = np.r_[h, np.uint64(xxhash.xxh64_intdigest(words.tobytes(), seed=len(words)))]
         rows = np.r_[rows, r]
-    order = np.lexsort((h, rows))
-    h, rows = h[order], rows[order]
+    if np.any(rows[1:] < rows[:-1]):
+        order = np.argsort(rows, kind="stable")
+        h, rows = h[order], rows[order]
+    cuts = np.searchsorted(rows, np.arange(len(column) + 1)).tolist()
+    for a, b in zip(cuts, cuts[1:]):
+        h[a:b].sort()
     first = np.r_[True, (h[1:] != h[:-1]) | (rows[1:] != rows[:-1])] if len(h) else np.zeros(0, bool)
     h, rows = h[first], rows[first]
     return h, np.searchsorted(rows, np.arange(len(column) + 1))
 
 
-def class_key(hashes: np.ndarray) -> int:
-    """64-bit name of a set; classes are told apart by it and the set's size."""
-    return int(np.array(xxhash.xxh3_64_intdigest(hashes.tobytes()), np.uint64).view(np.int64))
+def class_id(hashes: np.ndarray) -> int:
+    """64-bit name of a set, unsigned."""
+    return xxhash.xxh3_64_intdigest(hashes.tobytes(), seed=len(hashes))
 
 
 def bitmap(hashes: np.ndarray) -> np.ndarray:
@@ -102,20 +108,21 @@ def describe(docs: DataFrame) -> DataFrame:
     schema = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("c", pa.int64()), ("bits", pa.binary()), ("mins", pa.list_(pa.int64()))])
 
     def run(batches):
-        sketch = np.zeros(SKETCH, np.uint32)
+        sketch = np.zeros(SKETCH, np.uint8)          # saturates: only the order of shingles depends on it
         for batch in batches:
             for part in T.split_batch(batch, "text"):
                 h, offs = shingle_sets(part.column("text"))
-                sketch += np.bincount((h >> np.uint64(8)).astype(np.int64) % SKETCH, minlength=SKETCH).astype(np.uint32)
+                at, k = np.unique((h >> np.uint64(8)) % np.uint64(SKETCH), return_counts=True)
+                sketch[at] = np.minimum(sketch[at] + k, 255)
                 n, c, bits, mins = np.diff(offs), [], [], []
                 for a, b in zip(offs[:-1], offs[1:]):
                     own = h[a:b]
-                    c.append(class_key(own))
+                    c.append(class_id(own))
                     bits.append(bitmap(own).tobytes() if b > a else None)
                     cuts = np.searchsorted(own, [np.uint64(i << 62) for i in range(1, BINS)])
                     cuts = [0, *cuts.tolist(), len(own)]
                     mins.append([int(own[x].view(np.int64)) for x, y in zip(cuts, cuts[1:]) if y > x])
-                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(n), np.int32)), part.column("doc_id"), pa.array(n), pa.array(c, pa.int64()),
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(n), np.int32)), part.column("doc_id"), pa.array(n), pa.array(np.array(c, np.uint64).view(np.int64)),
                                                   pa.array(bits, pa.binary()), pa.array(mins, pa.list_(pa.int64()))], schema=schema)
         if sketch.any():
             none = pa.nulls(SLICES, pa.int64())
@@ -125,22 +132,25 @@ def describe(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, ddl)
 
 
-def total_sketch(described: DataFrame) -> np.ndarray:
-    """Sum of the tasks' sketches: ``SKETCH`` counters at any input size."""
+def total_slices(slices: DataFrame, wide) -> dict[int, np.ndarray]:
+    """Sums of equal slices (``c, bits``, bytes) as ``wide`` numbers; a slice is
+    summed in one task, batch by batch."""
     def add(batches):
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for c, bits in zip(batch.column("c").to_pylist(), batch.column("bits")):
-                own = np.frombuffer(bits.as_buffer(), np.uint32).astype(np.uint64)
+                own = np.frombuffer(bits.as_buffer(), np.uint8).astype(wide)
                 sums[c] = sums[c] + own if c in sums else own
         if sums:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([s.tobytes() for s in sums.values()], pa.binary())], ["c", "bits"])
 
-    slices = described.where("kind = 1").select("c", "bits").repartition(SLICES, "c").mapInArrow(add, "c long, bits binary").collect()
-    out = np.zeros((SLICES, SKETCH // SLICES), np.uint64)
-    for r in slices:
-        out[r["c"]] += np.frombuffer(r["bits"], np.uint64)
-    return np.minimum(out.ravel(), np.uint64(2**32 - 1)).astype(np.uint32)
+    return {r["c"]: np.frombuffer(r["bits"], wide) for r in slices.repartition(SLICES, "c").mapInArrow(add, "c long, bits binary").collect()}
+
+
+def total_sketch(described: DataFrame) -> np.ndarray:
+    """Sum of the tasks' sketches: ``SKETCH`` counters at any input size."""
+    sums = total_slices(described.where("kind = 1").select("c", "bits"), np.uint32)
+    return np.concatenate([sums.get(i, np.zeros(SKETCH // SLICES, np.uint32)) for i in range(SLICES)])
 
 
 def prefix_entries(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
@@ -154,19 +164,18 @@ def prefix_entries(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
             for part in T.split_batch(batch, "text"):
                 h, offs = shingle_sets(part.column("text"))
                 n = np.diff(offs)
-                names = [class_key(h[a:b]) for a, b in zip(offs[:-1], offs[1:])]
+                names = [class_id(h[a:b]) for a, b in zip(offs[:-1], offs[1:])]
                 fresh = np.zeros(len(n), bool)
                 for i, c in enumerate(names):
                     fresh[i] = n[i] > 0 and c not in seen
                     if len(seen) < 1 << 16:
                         seen.add(c)
-                rows = np.repeat(np.arange(len(n)), n)
-                order = np.lexsort((h, freq[(h >> np.uint64(8)).astype(np.int64) % SKETCH], rows))
-                rank = np.arange(len(h)) - offs[rows]
-                size = n - (n * PERCENT + 99) // 100 + 1
-                keep = (rank < size[rows]) & fresh[rows]
-                rows, token = rows[keep], h[order][keep].view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(np.array(names, np.int64)[rows]), pa.array(n[rows])], ["token", "c", "n"])
+                count = freq[((h >> np.uint64(8)) % np.uint64(SKETCH)).astype(np.int64)]
+                size = np.where(fresh, n - (n * PERCENT + 99) // 100 + 1, 0)
+                chosen = [a + np.argsort(count[a:b], kind="stable")[:k] for a, b, k in zip(offs[:-1], offs[1:], size) if k]
+                token = h[np.concatenate(chosen) if chosen else np.zeros(0, np.int64)].view(np.int64)
+                rows = np.repeat(np.arange(len(n)), size)
+                yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(np.array(names, np.uint64).view(np.int64)[rows]), pa.array(n[rows])], ["token", "c", "n"])
 
     return docs.select("text").mapInArrow(run, "token long, c long, n long")
 
@@ -202,21 +211,63 @@ def shared_entries(entries: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, "token long, c long, n long")
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``c, n, shingles`` of the classes ``wanted`` (``c, n``), from the text of
-    a member each (``doc_id`` and ``text_hash`` of it in ``wanted``)."""
-    asked = wanted.select("c", "n", F.col("doc_id").alias("m"))
-    rows = docs.join(asked, docs["doc_id"].eqNullSafe(asked["m"])).select("c", "n", "text")
+def filter_of(ids: DataFrame) -> np.ndarray:
+    """``FILTER_BITS`` bits, on at the places of ``id``: no id of ``ids`` is
+    ruled out by it, and most others are while ids are fewer than bits."""
+    each = FILTER_BITS // SLICES
 
     def run(batches):
+        on: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for c, part in ((c, batch.filter(pc.equal(batch.column("c"), c))) for c in pc.unique(batch.column("c")).to_pylist()):
+                on.setdefault(c, np.zeros(each, bool))[part.column("at").to_numpy()] = True
+        if on:
+            yield pa.RecordBatch.from_arrays([pa.array(list(on), pa.int64()), pa.array([np.packbits(x).tobytes() for x in on.values()], pa.binary())], ["c", "bits"])
+
+    # FILTER_BITS distinct places at most, whatever the number of ids
+    place = ids.select(F.pmod("id", F.lit(FILTER_BITS)).alias("p")).distinct()
+    slices = place.select(F.floor(F.col("p") / each).alias("c"), (F.col("p") % each).alias("at")).repartition(SLICES, "c")
+    out = np.zeros((SLICES, each // 8), np.uint8)
+    for r in slices.mapInArrow(run, "c long, bits binary").collect():
+        out[r["c"]] = np.frombuffer(r["bits"], np.uint8)
+    return out.ravel()
+
+
+def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``id, shingles`` of the classes ``ids``, and of few others, made from the
+    texts again: sets are not shuffled but for these classes."""
+    sent = docs.sparkSession.sparkContext.broadcast(filter_of(ids))     # FILTER_BITS / 8 bytes
+
+    def run(batches):
+        on, seen = np.unpackbits(sent.value).astype(bool), set()
         for batch in batches:
             for part in T.split_batch(batch, "text"):
                 h, offs = shingle_sets(part.column("text"))
-                ok = [class_key(h[a:b]) == c and b - a == n for a, b, c, n in zip(offs[:-1], offs[1:], part.column("c").to_pylist(), part.column("n").to_pylist())]
+                names = [class_id(h[a:b]) for a, b in zip(offs[:-1], offs[1:])]
+                keep = np.zeros(len(names), bool)
+                for i, c in enumerate(names):
+                    keep[i] = offs[i + 1] > offs[i] and on[c % FILTER_BITS] and c not in seen
+                    if keep[i] and len(seen) < 1 << 16:
+                        seen.add(c)
                 lists = pa.ListArray.from_arrays(offs.astype(np.int32), h.view(np.int64))
-                yield pa.RecordBatch.from_arrays([part.column("c"), part.column("n"), lists], ["c", "n", "shingles"]).filter(pa.array(ok, pa.bool_()))
+                yield pa.RecordBatch.from_arrays([pa.array(np.array(names, np.uint64).view(np.int64)), lists], ["id", "shingles"]).filter(pa.array(keep))
+
+    return docs.select("text").mapInArrow(run, "id long, shingles array<long>").join(ids.select("id"), "id", "left_semi").dropDuplicates(["id"])
+
 
-    return rows.mapInArrow(run, "c long, n long, shingles array<long>").dropDuplicates(["c", "n"])
+def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` that neither sizes nor bitmaps rule out."""
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("xa", "xb"))
+                na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
+                most = np.minimum(na - np.bitwise_count(x & ~y).sum(1), nb - np.bitwise_count(y & ~x).sum(1))
+                yield batch.select(["a", "b"]).filter(pa.array((100 + PERCENT) * most >= PERCENT * (na + nb)))
+
+    side = lambda k: classes.select(F.col("id").alias(k), F.col("n").alias(f"n{k}"), F.col("bits").alias(f"x{k}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").where("100 * least(na, nb) >= 75 * greatest(na, nb)".replace("75", str(PERCENT)))
+    return both.mapInArrow(run, "a long, b long")
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -300,8 +351,7 @@ def band(n):
 def candidate_pairs(members: DataFrame) -> DataFrame:
     """``a, b`` from ``members`` (``token, id, n, core, bits``): pairs that share
     a token, of different cores, that no bound rules out."""
-    cores = members.groupBy("token").agg(F.min("core").alias("lo"), F.max("core").alias("hi")).where("lo < hi").select("token")
-    rows = members.join(cores, "token").withColumn("own", band(F.col("n")))
+    rows = members.withColumn("own", band(F.col("n")))
     rows = rows.withColumn("band", F.explode(F.array(F.col("own"), F.col("own") + 1)))
     # a band's group holds its own sizes and those of the band below
     groups = rows.groupBy("token", "band").agg(F.count(F.lit(1)).alias("rows"), F.max(F.col("own") == F.col("band")).alias("used")).where("used and rows > 1")
@@ -341,24 +391,29 @@ def ngram_components(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     described = storage.stage(describe(docs), "ngram-docs")
     of_doc = described.where("kind = 0")
-    # one row a class: its smallest doc_id, a number as its name
-    classes = storage.stage(of_doc.where("n > 0").groupBy("c", "n").agg(F.min("doc_id").alias("doc_id"), F.first("bits").alias("bits"), F.first("mins").alias("mins"))
-                            .withColumn("id", F.xxhash64("c", "n")), "ngram-classes")
+    # one row a class
+    classes = storage.stage(of_doc.where("n > 0").groupBy(F.col("c").alias("id")).agg(
+        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("mins").alias("mins")), "ngram-classes")
     shared = storage.stage(shared_entries(prefix_entries(docs, total_sketch(described))), "ngram-shared")
     bins = classes.select("id", F.explode("mins").alias("m"))
     groups = bins.groupBy("m").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("k")).where("k > 1")
-    stars = storage.stage(bins.join(groups, "m").where("id <> a").select("a", F.col("id").alias("b")).distinct(), "ngram-stars")
-    active = shared.select(F.xxhash64("c", "n").alias("id")).union(stars.select("a")).union(stars.select("b")).distinct()
-    wanted = classes.select("id", "c", "n", "doc_id").join(active, "id")
-    sets = storage.stage(sets_of(docs, wanted).withColumn("id", F.xxhash64("c", "n")), "ngram-sets")
-    links = storage.stage(verified(stars, sets), "ngram-links")
+    stars = bins.join(groups, "m").where("id <> a").select("a", F.col("id").alias("b")).distinct()
+    links = links_of(docs, stars, classes, "stars")
     core = storage.stage(components(links), "ngram-cores")
-    members = shared.withColumn("id", F.xxhash64("c", "n")).join(classes.select("id", "bits"), "id").join(core, "id", "left")
-    members = members.select("token", "id", "n", F.coalesce("core", "id").alias("core"), "bits")
-    more = storage.stage(verified(storage.stage(candidate_pairs(members), "ngram-pairs"), sets), "ngram-more")
+    members = shared.withColumnRenamed("c", "id").join(core, "id", "left").withColumn("core", F.coalesce("core", "id"))
+    apart = members.groupBy("token").agg(F.min("core").alias("lo"), F.max("core").alias("hi")).where("lo < hi").select("token")
+    members = members.join(apart, "token").join(classes.select("id", "bits"), "id")
+    more = links_of(docs, candidate_pairs(members), classes, "pairs")
     final = components(links.union(more))
-    joined = classes.select("id", "c", "n", "doc_id").join(final, "id", "left").withColumn("core", F.coalesce("core", "id"))
+    joined = classes.select("id", "doc_id").join(final, "id", "left").withColumn("core", F.coalesce("core", "id"))
     least = joined.groupBy("core").agg(F.min("doc_id").alias("component_id"))
-    named = joined.join(least, "core").select("c", "n", "component_id")
-    full = of_doc.select("doc_id", "n", "c").join(named, ["c", "n"], "left")
+    named = joined.join(least, "core").select(F.col("id").alias("c"), "component_id")
+    full = of_doc.select("doc_id", "n", "c").join(named, "c", "left")
     return full.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def links_of(docs: DataFrame, pairs: DataFrame, classes: DataFrame, name: str) -> DataFrame:
+    """The pairs whose whole sets link, staged."""
+    pairs = storage.stage(plausible(pairs, classes), f"ngram-{name}")
+    ids = storage.stage(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), f"ngram-{name}-ids")
+    return storage.stage(verified(pairs, sets_of(docs, ids)), f"ngram-{name}-links")
