@@ -49,8 +49,8 @@ PERCENT = 75
 SKETCH = 1 << 22        # counters
 FILTER_BITS = 1 << 24   # of the filter of classes whose sets are wanted
 SLICES = 16
-BINS = 4
-BITS = 1024             # of a set's bitmap
+BINS = 16
+BITS = 1024, 32_768     # of a set's bitmap: least and most, by its size
 GROUP_ROWS = 2048
 FANOUT, LEAF = 8, 8
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0x85EBCA77C2B2AE63)]
@@ -96,11 +96,25 @@ def class_id(hashes: np.ndarray) -> int:
 
 
 def bitmap(hashes: np.ndarray) -> np.ndarray:
-    out = np.zeros(BITS, bool)
-    out[(hashes >> np.uint64(20)).astype(np.int64) % BITS] = True
+    """Token bitmap of two bits a shingle or more, within ``BITS``."""
+    size = BITS[0]
+    while size < min(2 * len(hashes), BITS[1]):
+        size *= 2
+    out = np.zeros(size, bool)
+    out[(hashes >> np.uint64(20)).astype(np.int64) % size] = True
     return np.packbits(out)
 
 
+def folded(bitmaps: list[bytes]) -> np.ndarray:
+    """Bitmaps as rows of the shortest one's length: the halves of longer ones
+    are OR-combined."""
+    size = min(map(len, bitmaps))
+    out = np.zeros((len(bitmaps), size), np.uint8)
+    for row, b in zip(out, bitmaps):
+        np.bitwise_or.reduce(np.frombuffer(b, np.uint8).reshape(-1, size), axis=0, out=row)
+    return out.view(np.uint64)
+
+
 def describe(docs: DataFrame) -> DataFrame:
     """``kind`` 0: ``doc_id, n, c`` (class), bitmap ``bits``, smallest hash of
     each bin ``mins``.  ``kind`` 1: a task's sketch slice ``c`` in ``bits``."""
@@ -119,7 +133,7 @@ def describe(docs: DataFrame) -> DataFrame:
                     own = h[a:b]
                     c.append(class_id(own))
                     bits.append(bitmap(own).tobytes() if b > a else None)
-                    cuts = np.searchsorted(own, [np.uint64(i << 62) for i in range(1, BINS)])
+                    cuts = np.searchsorted(own, [np.uint64(i * (2**64 // BINS)) for i in range(1, BINS)])
                     cuts = [0, *cuts.tolist(), len(own)]
                     mins.append([int(own[x].view(np.int64)) for x, y in zip(cuts, cuts[1:]) if y > x])
                 yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(n), np.int32)), part.column("doc_id"), pa.array(n), pa.array(np.array(c, np.uint64).view(np.int64)),
@@ -260,9 +274,10 @@ def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("xa", "xb"))
                 na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
-                most = np.minimum(na - np.bitwise_count(x & ~y).sum(1), nb - np.bitwise_count(y & ~x).sum(1))
+                off = [[int(np.bitwise_count(x & ~y).sum()) for x, y in (both, both[::-1])]
+                       for both in (folded(p) for p in zip(batch.column("xa").to_pylist(), batch.column("xb").to_pylist()))]
+                most = np.minimum(na - np.array([x for x, _ in off]), nb - np.array([y for _, y in off]))
                 yield batch.select(["a", "b"]).filter(pa.array((100 + PERCENT) * most >= PERCENT * (na + nb)))
 
     side = lambda k: classes.select(F.col("id").alias(k), F.col("n").alias(f"n{k}"), F.col("bits").alias(f"x{k}"))
@@ -366,7 +381,7 @@ def candidate_pairs(members: DataFrame) -> DataFrame:
             t = t.combine_chunks()
             get = lambda c: np.asarray(t.column(c).combine_chunks())
             block, ids, n, core = get("block"), get("id"), get("n"), get("core")
-            bits = np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint64).reshape(len(ids), -1)
+            bits = folded(t.column("bits").to_pylist())
             low = block == block.min()
             if low.all():
                 pairs = signature_pairs(ids, n, core, bits)
