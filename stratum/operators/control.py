@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratum.functions.expr import cond_sum, ratio, ratio0, strict_sum
-from stratum.operators.joins import bounded, common_keys, join_checked
-from stratum.session import materialize, materialize_counted
+from stratum.operators.joins import bounded, common_keys
+from stratum.session import materialize
 
 RUN = ["scenario", "scheme"]
 COUNTY = RUN + ["county"]
@@ -24,18 +24,16 @@ def aggregate_levels(emp: DataFrame, pop: DataFrame) -> tuple[DataFrame, DataFra
     """G1: city results summed to (county, RG) and to county.
 
     Returns ``(rg_totals, county_totals)`` with ``emp_base, emp_target,
-    pop_base, pop_target``; RG rows present in both city tables only.
-    County totals are rolled up from the RG totals (same sums, one pass
-    over the city rows).
+    pop_base, pop_target``; rows present in both city tables only.  Each side
+    is summed by county over all its own RGs before the counties are joined,
+    so a county keeps the people of RGs without job cities.
     """
-    e = emp.groupBy(*RG).agg(strict_sum("emp_base").alias("emp_base"),
-                             strict_sum("emp_target").alias("emp_target"))
-    p = pop.groupBy(*RG).agg(strict_sum("pop_base").alias("pop_base"),
-                             strict_sum("pop_target").alias("pop_target"))
-    rg = e.join(p, RG, "inner")
-    county = rg.groupBy(*COUNTY).agg(*[strict_sum(c).alias(c) for c in
-                                        ("emp_base", "emp_target", "pop_base", "pop_target")])
-    return rg, county
+    def by(df, m, keys):
+        return df.groupBy(*keys).agg(*[strict_sum(f"{m}_{r}").alias(f"{m}_{r}") for r in ("base", "target")])
+
+    e, p = by(emp, "emp", RG), by(pop, "pop", RG)
+    county = by(e, "emp", COUNTY).join(by(p, "pop", COUNTY), COUNTY, "inner")
+    return e.join(p, RG, "inner"), county
 
 
 def household_population(df: DataFrame, pop_col: str, gq_col: str, out: str = "hhpop_p") -> DataFrame:
@@ -66,23 +64,18 @@ def rake_to_control(df: DataFrame, value_p: str, control: DataFrame, control_col
 
 
 def rake_to_parent(child: DataFrame, value_p: str, parent: DataFrame, parent_col: str,
-                   parent_keys, out: str, child_sum: DataFrame | None = None,
-                   child_is_small: bool = False) -> DataFrame:
+                   parent_keys, out: str, child_sum: DataFrame | None = None) -> DataFrame:
     """Children to their parent's controlled value, ``p / sum_parent(p) * parent``.
 
     ``child_sum`` may supply the per-parent sum when it was already computed
-    in an earlier aggregation over the children.  City-level children join
-    the per-parent factors through the size check; a level table
-    (``child_is_small``) joins them directly.
+    in an earlier aggregation over the children.
     """
     parent_keys = list(parent_keys)
     if child_sum is None:
         child_sum = child.groupBy(*parent_keys).agg(strict_sum(value_p).alias("_psum"))
     ctl = parent.select(*parent_keys, F.col(parent_col).alias("_ctl"))
     factors = child_sum.join(ctl, parent_keys, "left")
-    joined = child.join(factors, parent_keys, "left") if child_is_small else \
-        join_checked(child, factors, parent_keys, "left")
-    return (joined
+    return (child.join(factors, parent_keys, "left")
                  .withColumn(out, ratio(F.col(value_p), F.col("_psum")) * F.col("_ctl"))
                  .drop("_psum", "_ctl"))
 
@@ -113,22 +106,20 @@ def hierarchical_rake(city_pop: DataFrame, rgs_county: DataFrame, rgs_rg: DataFr
     rr = rgs_rg.select("scenario", "county", "rg_id",
                        F.col("gq_pct_target").alias("_gq"), F.col("pph_target").alias("_pph"))
     rg = rg.join(rr, ["scenario", "county", "rg_id"], "left")
-    rg = materialize(household_population(rg, "pop_target", "_gq", "hhpop_p"))         # step 8
+    rg = household_population(rg, "pop_target", "_gq", "hhpop_p")                      # step 8
     cr = rgs_county.select("scenario", "county",
                            F.col("gq_pct_target").alias("_gq"), F.col("pph_target").alias("_pph"))
     county = county.join(cr, ["scenario", "county"], "left")
     county = household_population(county, "pop_target", "_gq", "hhpop_p")               # step 6
     county = rake_to_control(county, "hhpop_p", region_control, "hhpop", "hhpop_target")  # step 7
     county = households(county, "hhpop_target", "_pph", "hh_p")                          # step 12
-    county = materialize(rake_to_control(county, "hh_p", region_control, "hh", "hh_target"))  # step 13
-    rg = rake_to_parent(rg, "hhpop_p", county, "hhpop_target", COUNTY, "hhpop_target",
-                        child_is_small=True)                                             # step 9
+    county = rake_to_control(county, "hh_p", region_control, "hh", "hh_target")          # step 13
+    rg = rake_to_parent(rg, "hhpop_p", county, "hhpop_target", COUNTY, "hhpop_target")                                             # step 9
     rg = households(rg, "hhpop_target", "_pph", "hh_p")                                  # step 14
-    rg, rg_rows = materialize_counted(rake_to_parent(rg, "hh_p", county, "hh_target", COUNTY, "hh_target",
-                                                     child_is_small=True))               # step 15
+    rg = materialize(rake_to_parent(rg, "hh_p", county, "hh_target", COUNTY, "hh_target"))  # step 15
     # step 11: the per-RG sum of city prelims comes from the first aggregation
     rg_ctl = rg.select(*RG, F.col("_city_p_sum").alias("_psum"), F.col("hhpop_target").alias("_ctl"))
-    city = (join_checked(city, rg_ctl, RG, "left", rows=rg_rows)
+    city = (city.join(rg_ctl, RG, "left")
                 .withColumn("hhpop_target", ratio(F.col("hhpop_p"), F.col("_psum")) * F.col("_ctl"))
                 .drop("_psum", "_ctl"))
     city = households(city, "hhpop_target", "pph_target", "hh_p", missing_to_zero=True)  # step 16

@@ -1,10 +1,10 @@
 """Join and group-total helpers.
 
-Sizing policy (see README): a side is broadcast without a check only when
-its row count is bounded by the run configuration (one row per scenario,
-scheme, indicator and year).  Group-total and level tables joined back to
-city rows are written once and counted first (``join_checked``); joins of
-two city-sized tables stay shuffle joins, where AQE splits skewed keys.
+Sizing policy (see README): a side is broadcast by a hint only when its row
+count is bounded by the run configuration (one row per scenario, scheme,
+indicator and year).  Group-total and level tables joined back to city rows
+carry no hint: Spark broadcasts them by their size in bytes, at run time too,
+and otherwise shuffles, where AQE splits skewed keys.
 """
 
 from __future__ import annotations
@@ -15,37 +15,11 @@ from pyspark.sql import functions as F
 from stratum.functions.expr import strict_sum
 
 
-BROADCAST_MAX_ROWS = 2_000_000   # rows a checked side may have and still be broadcast
-
-
 def bounded(df: DataFrame) -> DataFrame:
     """Broadcast a side whose size is bounded by the run configuration."""
     return F.broadcast(df)
 
 
-def join_checked(big: DataFrame, small: DataFrame, on, how: str = "left",
-                 written: bool = False, rows: int | None = None) -> DataFrame:
-    """Join a side whose size is checked, not assumed.
-
-    ``small`` (a group-total or level table) is written once unless it
-    already is (``written``), its rows counted (observed while writing), and
-    broadcast when it has at most
-    ``BROADCAST_MAX_ROWS`` rows, so the big side is never shuffled for it.
-    Beyond that it stays a shuffle join, where AQE splits skewed keys.
-    ``rows``: the count of a table already written by ``materialize_counted``.
-    """
-    from stratum.session import materialize_counted
-    if rows is not None:
-        n = rows
-    elif written:
-        n = small.count()
-    else:
-        # the row count is observed while the table is written: no second job
-        small, n = materialize_counted(small)
-    side = F.broadcast(small) if n <= BROADCAST_MAX_ROWS else small
-    return big.join(side, list(on) if not isinstance(on, str) else on, how)
-
-
 def common_keys(left: DataFrame, right: DataFrame, keys) -> list:
     """Keys of ``keys`` present on both sides (e.g. totals carry no scheme)."""
     return [k for k in keys if k in left.columns and k in right.columns]
@@ -60,7 +34,7 @@ def with_group_sums(df: DataFrame, keys, sums: dict, strict: bool = True) -> Dat
     """
     agg = strict_sum if strict else (lambda c: F.sum(c))
     totals = df.groupBy(*keys).agg(*[agg(expr).alias(name) for name, expr in sums.items()])
-    return join_checked(df, totals, list(keys), "left")
+    return df.join(totals, list(keys), "left")
 
 
 def lookup(df: DataFrame, table: DataFrame, on, cols: dict | list, how: str = "left") -> DataFrame:

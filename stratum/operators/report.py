@@ -10,16 +10,27 @@ from stratum.functions.expr import strict_sum
 RG = ["scenario", "scheme", "county", "rg_id"]
 
 
-def group_summary(pop: DataFrame, hh: DataFrame, emp: DataFrame, keys=RG) -> DataFrame:
+def group_summary(pop: DataFrame, hh: DataFrame, emp: DataFrame, keys=RG, by_city: bool = False) -> DataFrame:
     """G12 (HIER, FACTOR): per (county, RG) long growth, growth and end value
-    of people, households and jobs; RG rows present in all three tables."""
+    of people, households and jobs; RG rows present in all three tables.
+    ``by_city`` (the growth variant) sums only cities present in all three,
+    grouped by the county and RG of the people table."""
     keys = list(keys)
 
-    def part(df, m):
+    def measures(m):
         t, r, b = F.col(f"{m}_target"), F.col(f"{m}_ref"), F.col(f"{m}_base")
-        return df.groupBy(*keys).agg(strict_sum(t - r).alias(f"{m}_long"),
-                                     strict_sum(t - b).alias(f"{m}_gro"),
-                                     strict_sum(t).alias(f"{m}_end"))
+        return {f"{m}_long": t - r, f"{m}_gro": t - b, f"{m}_end": t}
+
+    def part(df, *names):
+        return df.groupBy(*keys).agg(*[strict_sum(e).alias(k) for m in names for k, e in measures(m).items()])
+
+    if by_city:
+        city = [k for k in keys if k not in ("county", "rg_id")] + ["city_id"]
+        value = lambda m: [f"{m}_{r}" for r in ("target", "ref", "base")]
+        joined = pop.select("city_id", *keys, *value("pop"))
+        for df, m in ((emp, "emp"), (hh, "hh")):
+            joined = joined.join(df.select(*city, *value(m)), city, "inner")
+        return part(joined, "pop", "hh", "emp")
     return part(pop, "pop").join(part(hh, "hh"), keys, "inner").join(part(emp, "emp"), keys, "inner")
 
 

@@ -12,10 +12,9 @@ one remainder bin per group (see ``round_to_total``).
 
 from __future__ import annotations
 
-import itertools
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.functions.expr import clip0, half_even, ratio, strict_sum
@@ -26,8 +25,6 @@ from stratum.session import materialize
 GEO = "geo_id"
 DRAW_CHUNK = 100_000
 REM_BINS = 4096
-_OBS = itertools.count()
-WINDOW_RANK_MAX = 200_000   # rows of one cut bin that one task may sort
 
 
 def _a(y):
@@ -214,7 +211,7 @@ def _draw_counts(need: DataFrame, G, seed: int) -> DataFrame:
     return hits
 
 
-def _largest_remainder_extra(df: DataFrame, G) -> DataFrame:
+def _largest_remainder_extra(df: DataFrame, G, grp: DataFrame) -> DataFrame:
     """H4a helper: ``_extra`` = 1 for the ``m = |d| - sum(floor(quota))``
     rows of each group with the largest remainders (ties by id), else 0.
 
@@ -223,8 +220,6 @@ def _largest_remainder_extra(df: DataFrame, G) -> DataFrame:
     where the top ``m`` ends.  Rows above it get one more unit, rows below
     none, and only the rows inside the cut bin are ranked exactly
     (``rank_in_groups``), so no group is ever sorted whole in one task.
-    When the histogram shows every cut bin below ``WINDOW_RANK_MAX`` rows a
-    window over those rows does the ranking instead.
     """
     bins = F.floor(F.col("_frac") * REM_BINS).cast("long")
     df = df.withColumn("_bin", F.when(F.col("_need"), bins))
@@ -234,30 +229,19 @@ def _largest_remainder_extra(df: DataFrame, G) -> DataFrame:
     hist = (hist.withColumn("_above", F.coalesce(F.sum("_cnt").over(above), F.lit(0)))
                 .withColumn("_m", F.sum("_bs").over(Window.partitionBy(*G))))
     # per group: the cut bin and how many of its rows still get one more
-    cut = hist.join(bounded(df.where(F.col("_need")).select(*G, "_d").dropDuplicates(G)), G, "inner")
+    cut = hist.join(bounded(grp.select(*G, "_d")), G, "inner")
     cut = (cut.withColumn("_m", F.abs(F.col("_d")) - F.col("_m"))
               .where((F.col("_above") < F.col("_m")) & (F.col("_above") + F.col("_cnt") >= F.col("_m")))
-              .select(*G, F.col("_bin").alias("_cut"), (F.col("_m") - F.col("_above")).alias("_take"),
-                      F.col("_cnt").alias("_cut_rows")))
-    # one row per group, written once (read by two joins); the largest cut bin is
-    # observed while it is written: a checked size without a second job
-    obs = Observation(f"cut_{next(_OBS)}")
-    cut = materialize(cut.observe(obs, F.max("_cut_rows").alias("biggest")))
-    biggest = obs.get["biggest"]
+              .select(*G, F.col("_bin").alias("_cut"), (F.col("_m") - F.col("_above")).alias("_take")))
+    # one row per group, written once (read by two joins)
+    cut = materialize(cut)
     # one row per (scenario, scheme, indicator, year): bounded by the run settings
-    df = df.join(bounded(cut.drop("_cut_rows")), G, "left")
+    df = df.join(bounded(cut), G, "left")
     in_cut = F.col("_need") & (F.col("_bin") == F.col("_cut"))
     rest = df.where(~in_cut | F.col("_cut").isNull()).withColumn(
         "_extra", F.when(F.col("_need") & F.col("_cut").isNotNull() & (F.col("_bin") > F.col("_cut")), 1.0)
                    .otherwise(0.0))
-    if biggest is None:
-        return rest.drop("_bin", "_cut", "_take")
-    order = [F.col("_frac").desc(), F.col(GEO)]
-    if biggest <= WINDOW_RANK_MAX:
-        # every group's cut bin holds at most WINDOW_RANK_MAX rows: a window is safe
-        cand = df.where(in_cut).withColumn("_rank", F.row_number().over(Window.partitionBy(*G).orderBy(*order)))
-    else:
-        cand = rank_in_groups(df.where(in_cut), G, order)
+    cand = rank_in_groups(df.where(in_cut), G, [F.col("_frac").desc(), F.col(GEO)])
     cand = cand.withColumn("_extra", F.when(F.col("_rank") <= F.col("_take"), 1.0).otherwise(0.0)).drop("_rank")
     return rest.unionByName(cand).drop("_bin", "_cut", "_take")
 
@@ -271,15 +255,15 @@ def round_to_total(long: DataFrame, keys, totals: DataFrame, method: str = "larg
     ``w = round(v)``; every geography gets the floor of its quota, the
     largest remainders (ties by id) one more.  ``draw`` (H4b): ``|d|``
     seeded draws with probability ``w / W``.  Groups without a total, with
-    ``d = 0`` or with zero weight are left as rounded.
+    ``d = 0``, with zero weight or with a NULL value are left as rounded.
     """
     keys = list(keys)
     G = keys + ["year"]
     # read several times below (sums, bins, the cut bin): computed once
     long = materialize(long)
     df = long.withColumn("_r", half_even(F.col("value"))) \
-             .withColumn("_w", F.when(F.col("_r") > 0, F.col("_r")).otherwise(F.lit(0.0)))
-    grp = df.groupBy(*G).agg(F.sum("_r").alias("_rsum"), F.sum("_w").alias("_wtot"))
+             .withColumn("_w", F.when(F.col("_r").isNull(), F.col("_r")).when(F.col("_r") > 0, F.col("_r")).otherwise(F.lit(0.0)))
+    grp = df.groupBy(*G).agg(strict_sum("_r").alias("_rsum"), strict_sum("_w").alias("_wtot"))
     tk = common_keys(grp, totals, G)
     grp = (grp.join(totals.select(*tk, "total"), tk, "inner")
               .select(*G, (half_even(F.col("total")) - F.col("_rsum")).alias("_d"), "_wtot"))
@@ -298,7 +282,7 @@ def round_to_total(long: DataFrame, keys, totals: DataFrame, method: str = "larg
     df = (df.withColumn("_need", need)
             .withColumn("_b", F.when(need, F.floor(quota).cast("double")))
             .withColumn("_frac", F.when(need, (quota - F.floor(quota)).cast("decimal(38,10)"))))
-    df = _largest_remainder_extra(df, G)
+    df = _largest_remainder_extra(df, G, grp)
     value = F.col("_r") + F.signum(F.col("_d")) * (F.col("_b") + F.col("_extra"))
     return (df.withColumn("value", F.when(F.col("_need"), value).otherwise(F.col("_r")))
               .select(*keys, GEO, "year", "value"))

@@ -1,8 +1,9 @@
 """The three methods as lazy plans over the operators.
 
 Each function takes the input tables (any number of scenarios and schemes)
-and returns a dict of DataFrames; nothing runs until a sink or the caller
-acts, except the ranking checkpoint inside whole-number rounding.
+and returns a dict of DataFrames.  Jobs that run before a sink: the checkpoints
+of the allocated cities, of the raked RGs, and of the series in whole-number
+rounding (with its ranking).
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from stratum.operators import allocate as A
 from stratum.operators import control as C
 from stratum.operators import report as R
 from stratum.operators import series as S
-from stratum.session import materialize, materialize_counted
+from stratum.session import materialize
 
 RUN = ["scenario", "scheme"]
 SERIES_KEYS = RUN + ["indicator"]
@@ -43,14 +44,14 @@ def rg_growth(inp: HierInputs, cfg: HierConfig) -> DataFrame:
 
 def allocated_cities(inp: HierInputs, cfg: HierConfig, with_annex: bool) -> tuple[DataFrame, DataFrame]:
     """Steps 3-5 (F1, F5-F8): shares, allocation, projection for jobs and people."""
-    growth, n = materialize_counted(rg_growth(inp, cfg))   # one row per (scenario, county, RG), read twice
+    growth = rg_growth(inp, cfg)   # one row per (scenario, county, RG)
     emp = A.attach_group(inp.city_emp, inp.crosswalk)
     pop = A.attach_group(inp.city_pop, inp.crosswalk)
     annex = F.col("annex") if with_annex else F.lit(0.0)
     emp = A.share_within(emp, F.col("target") + annex + F.col("cr_add"))
     pop = A.share_within(pop, F.col("target") + annex)
-    emp = A.long_growth(A.project(A.allocate(emp, growth, "emp", growth_rows=n), "emp"), "emp")
-    pop = A.project(A.allocate(pop, growth, "pop", growth_rows=n), "pop", with_hhpop=with_annex)
+    emp = A.long_growth(A.project(A.allocate(emp, growth, "emp"), "emp"), "emp")
+    pop = A.project(A.allocate(pop, growth, "pop"), "pop", with_hhpop=with_annex)
     # the allocated cities feed the levels, the reports and the series
     return materialize(emp), materialize(pop)
 
@@ -106,7 +107,7 @@ def run_factor(inp: HierInputs, cfg: HierConfig = HierConfig(), variant: str = "
     hh = C.positive_growth_control(hh, delta)
     how = "left" if variant == "stock" else "inner"
     pop, hh, emp = (R.attach_names(d, inp.names, how) for d in (pop, hh, emp))
-    out = {"rg_summary": R.group_summary(pop, hh, emp),
+    out = {"rg_summary": R.group_summary(pop, hh, emp, by_city=(variant == "growth")),
            **R.city_reports(pop, hh, emp, with_hhpop_ref=(variant == "growth"))}
     out.update(_series(pop, hh, emp, cfg, inp.totals))
     keys = RUN + ["county", "rg_id", "city_id"]
@@ -128,11 +129,19 @@ def _series_diagnostics(series: DataFrame) -> DataFrame:
 
 
 def run_targets(targets: DataFrame, totals: DataFrame | None, cfg: TargetsConfig = TargetsConfig(),
-                scenario: str = "default", scheme: str = "default", series: bool = True) -> dict:
+                scenarios=("default",), schemes=("default",), series: bool = True, annual: bool = True) -> dict:
     """TARGETS: end points from given targets, RG summary, anchored series
     (fitted years and every year), full-outer assembly, regional roll-up.
-    ``series=False`` stops after the end points and the summary."""
-    df = targets.withColumn("scenario", F.lit(scenario)).withColumn("scheme", F.lit(scheme))
+
+    ``scenario`` and ``scheme`` are keys: targets that lack them hold for each
+    of ``scenarios`` and ``schemes``, all in one job.  ``series=False`` stops
+    after the end points and the summary, ``annual=False`` leaves out the
+    yearly series and the roll-up."""
+    df = targets
+    for key, names in (("scenario", scenarios), ("scheme", schemes)):
+        if key not in df.columns:
+            names = [names] if isinstance(names, str) else list(names)
+            df = df.withColumn(key, F.explode(F.array(*[F.lit(n) for n in names])))
     pop = C.households_from_targets(df)
     summary = R.targets_summary(pop, df)
     a0, a1, a2 = cfg.anchors
@@ -147,13 +156,14 @@ def run_targets(targets: DataFrame, totals: DataFrame | None, cfg: TargetsConfig
                "households x/0 (pph = 0, hhpop != 0)": F.col("hh_target").isNull()})}
     if not series:
         return out
-    for name, years in (("", cfg.years_to_fit), ("annual_", cfg.annual_years)):
+    for name, years in (("", cfg.years_to_fit), ("annual_", cfg.annual_years))[:1 + annual]:
         wide = S.fit_series(anchors, SERIES_KEYS, cfg.anchors, years, totals, "after_first",
                             cfg.round_interpolated)
         long = S.unroll(wide, SERIES_KEYS, years, totals, None, cfg.rounding, cfg.seed)
         out[f"{name}series"] = wide
         out[f"{name}unrolled"] = S.assemble(long, SERIES_KEYS, cfg.indicators, "outer", "subreg_id")
-    out["unrolled_regional"] = S.regional_rollup(out["annual_unrolled"], RUN, cfg.indicators)
+    if annual:
+        out["unrolled_regional"] = S.regional_rollup(out["annual_unrolled"], RUN, cfg.indicators)
     out["diagnostics"] = out["diagnostics"].unionByName(_series_diagnostics(out["series"]))
     return out
 

@@ -427,8 +427,12 @@ def oracle_sql() -> dict:
   JOIN (SELECT scenario, scheme, county, rg_id, {ssum('pop_base')} AS pop_base, {ssum('pop_target')} AS pop_target
         FROM pop_a GROUP BY scenario, scheme, county, rg_id) p
   ON e.scenario = p.scenario AND e.scheme = p.scheme AND e.county = p.county AND e.rg_id = p.rg_id)""",
-        f"""g_co AS (SELECT scenario, scheme, county, {ssum('emp_base')} AS emp_base, {ssum('emp_target')} AS emp_target,
-    {ssum('pop_base')} AS pop_base, {ssum('pop_target')} AS pop_target FROM g_rg GROUP BY scenario, scheme, county)"""]
+        f"""g_co AS (SELECT e.scenario, e.scheme, e.county, e.emp_base, e.emp_target, p.pop_base, p.pop_target
+  FROM (SELECT scenario, scheme, county, {ssum('emp_base')} AS emp_base, {ssum('emp_target')} AS emp_target
+        FROM emp_a GROUP BY scenario, scheme, county) e
+  JOIN (SELECT scenario, scheme, county, {ssum('pop_base')} AS pop_base, {ssum('pop_target')} AS pop_target
+        FROM pop_a GROUP BY scenario, scheme, county) p
+  ON e.scenario = p.scenario AND e.scheme = p.scheme AND e.county = p.county)"""]
     m4 = ", ".join(r6(c) for c in ("emp_base", "emp_target", "pop_base", "pop_target"))
     q["q06_aggregate_levels"] = with_(b + al + lv,
         f"SELECT scenario, scheme, 'rg' AS level, county, rg_id, {m4} FROM g_rg UNION ALL "

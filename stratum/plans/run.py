@@ -29,8 +29,8 @@ def run(spark, method: str, sf: str, out: str, run_date: str, scenarios=("base",
         schemes=("existing",), fmt: str = "parquet") -> list:
     if method == "targets":
         t = tpch.targets(tpch.customer_base(spark, sf))
-        totals = tpch.totals(tpch.ref(spark, sf), after_year=tpch.TARGETS.base_year)
-        res = M.run_targets(t, totals, tpch.TARGETS, scenarios[0], schemes[0])
+        totals = tpch.totals(tpch.ref(spark, sf, tuple(scenarios)), after_year=tpch.TARGETS.base_year)
+        res = M.run_targets(t, totals, tpch.TARGETS, scenarios, schemes)
     else:
         inp = Q.inputs(spark, sf, tuple(scenarios), tuple(schemes), annex=method.startswith("factor"))
         res = M.run_scenarios(inp, tpch.HIER, method)

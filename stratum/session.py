@@ -68,16 +68,3 @@ def materialize(df):
     joins, so it is computed once and the later plans stay small."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-_OBSERVED = iter(range(1 << 62))
-
-
-def materialize_counted(df):
-    """``materialize`` that also returns the row count, observed while the
-    table is written (no second job)."""
-    from pyspark.sql import Observation
-    from pyspark.sql import functions as F
-    obs = Observation(f"written_{next(_OBSERVED)}")
-    out = materialize(df.observe(obs, F.count(F.lit(1)).alias("rows")))
-    return out, obs.get["rows"]

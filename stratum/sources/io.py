@@ -87,7 +87,8 @@ def write_tables(tables: dict, out_dir: str, fmt: str = "parquet", mode: str = "
         parts = [c for c in (*partition_by, *(["run_date"] if run_date else [])) if c in df.columns]
         w = df.write.mode(mode)
         if parts:
-            w = w.partitionBy(*parts)
+            # a run replaces its own partitions, never those of other runs
+            w = w.partitionBy(*parts).option("partitionOverwriteMode", "dynamic")
         path = f"{out_dir.rstrip('/')}/{name}"
         if fmt == "csv":
             w.option("header", True).csv(path)
