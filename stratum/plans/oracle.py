@@ -550,6 +550,18 @@ def oracle_sql() -> dict:
     q["q32_factor_unrolled"] = with_(fc + [pos_ctl("hh_stock", "pc_stock"), fanc]
                                      + series_ctes("anc", HIER_YEARS, "totals", "interior", {BASE_Y: BASE_Y + 1}, True),
                                      assemble_sql("s_out", ("hhpop", "hh", "emp"), "inner", "city_id"))
+    many = base_ctes(scenarios=("base", "flat")) + targets_ctes() + [targets_anchor_cte(), tgt_totals_cte(),
+        """anc4 AS (SELECT s.scenario, m.scheme, a.* EXCLUDE (scenario, scheme) FROM anc a,
+  (VALUES ('base'), ('flat')) s(scenario), (VALUES ('existing'), ('proposed')) m(scheme))"""]
+    q["q33_targets_scenarios"] = with_(many + series_ctes("anc4", TGT_YEARS, "tt", "after_first", None, True),
+                                       assemble_sql("s_out", ("hhpop", "hh", "emp", "pop"), "outer", "subreg_id"))
+    grown = ", ".join(f"round({ssum(f'{t}.{m}_target - {'p' if m == 'hh' else t}.{m}_{r}')}, 6) AS {m}_{k}" for t, m in (("p", "pop"), ("h", "hh"), ("e", "emp"))
+                      for r, k in (("ref", "long"), ("base", "gro")))
+    ends = ", ".join(f"round({ssum(f'{t}.{m}_target')}, 6) AS {m}_end" for t, m in (("p", "pop"), ("h", "hh"), ("e", "emp")))
+    on = lambda t: f"ON p.scenario = {t}.scenario AND p.scheme = {t}.scheme AND p.city_id = {t}.city_id"
+    q["q34_factor_growth_summary"] = with_(fc + [pos_ctl("hh_growth", "pc_growth")],
+        f"SELECT p.scenario, p.scheme, p.county, p.rg_id, {grown}, {ends} FROM fp3 p JOIN emp_a e {on('e')} "
+        f"JOIN pc_growth h {on('h')} GROUP BY p.scenario, p.scheme, p.county, p.rg_id")
     b22 = base_ctes(scenarios=("base", "flat"), schemes=("existing", "proposed"))
     q["q30_scenarios"] = with_(b22 + al + rake_ctes() + [hier_anchor_cte()]
                                + series_ctes("anc", HIER_YEARS, "totals", "interior", {BASE_Y: BASE_Y + 1}, True),

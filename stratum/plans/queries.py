@@ -336,6 +336,18 @@ def q17d_targets_summary(spark, sf):
     return publish(M.run_targets(t, None, TGT, "base", "existing", series=False)["rg_summary"])
 
 
+def q33_targets_scenarios(spark, sf):
+    """TARGETS for two scenarios and two schemes in one job."""
+    t = tpch.targets(tpch.customer_base(spark, sf))
+    totals = tpch.totals(tpch.ref(spark, sf, ("base", "flat")), after_year=TGT.base_year)
+    return publish(M.run_targets(t, totals, TGT, ("base", "flat"), ("existing", "proposed"), annual=False)["unrolled"])
+
+
+def q34_factor_growth_summary(spark, sf):
+    """FACTOR, growth variant: summary over cities present in all three tables."""
+    return publish(M.run_factor(factor_inputs(spark, sf), HIER, "growth")["rg_summary"])
+
+
 def q32_factor_unrolled(spark, sf):
     """FACTOR end to end: allocation with annexations, tolerance and
     positive-growth controls, stock households, two-point series, interior
