@@ -118,8 +118,9 @@ def mix(docs: DataFrame, weights: dict | None = None, block_chars: int = BLOCK_C
 def mixed_documents(docs: DataFrame, weights: dict | None = None, block_chars: int = BLOCK_CHARS, period: int = PERIOD) -> DataFrame:
     """All rows and columns of ``docs``, in files that follow the mixture."""
     s = slots(docs, weights, block_chars, period).select(
-        F.col("doc_id").alias("mix_id"), F.col("source").alias("mix_source"), F.col("text_hash").alias("mix_hash"), "slot", "before")
+        F.col("doc_id").alias("mix_id"), F.col("source").alias("mix_source"), F.col("text_hash").alias("mix_hash"),
+        F.col("slot").alias("mix_slot"), F.col("before").alias("mix_before"))
     same = (F.col("doc_id").eqNullSafe(F.col("mix_id")) & F.col("source").eqNullSafe(F.col("mix_source"))
             & (F.xxhash64("text") == F.col("mix_hash")))
-    placed = docs.join(s, same).select(*docs.columns, F.col("slot").alias("mix_slot"), F.col("before").alias("mix_before"))
+    placed = docs.join(s, same).select(*docs.columns, "mix_slot", "mix_before")
     return placed.repartitionByRange("mix_slot", "mix_before").sortWithinPartitions("mix_slot", "mix_before", "doc_id").select(*docs.columns)

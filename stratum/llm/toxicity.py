@@ -22,7 +22,7 @@ Defined cases: null or empty text has both features 0 and its score is the
 logistic function's at 0; repeated rows and null or repeated ``doc_id`` give a
 row each; other columns are ignored; of several labels for an id the largest
 counts, labels other than 0 and 1 not at all; without labels of both classes
-every score is the share of label 1 (0 without labels); an empty table gives
+every score is the share of label 1 (about 0 without labels); an empty table gives
 an empty result.
 """
 
@@ -210,7 +210,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, table_
         words=pad(table["word"].to_numpy(np.int64), [0]), word_n=both(table, *classes), kept=both(table, *(f"kept_{c}_{i}" for c in classes)),
         leave=pad(np.where(table["context"] > 0, np.minimum(1, d * table["kinds"] / np.maximum(table["context"], 1)), 1.0), [1.0]),
         spread=pad(table["spread"].to_numpy(np.float32), [0.0]), pairs=pad(key[order], [0]), pair_n=both(frequent.iloc[order], *classes),
-        total=np.maximum([sums[f"{c}_{i}"] or 0 for c in classes], 1.0), discount=d, back=min(1.0, d * sums["kinds"] / max(1, sums["n"] or 0)),
+        total=np.maximum([sums[f"{c}_{i}"] or 0 for c in classes], 1.0), discount=d, back=min(1.0, d * sums["kinds"] / sums["n"]) if sums["n"] else 1.0,
         documents=float(documents), weights=np.zeros(3)) for i, d in enumerate(DISCOUNTS)]
     held = features_of(rows.where("not fits").select("label", "text"), models, "label").toPandas()
     x, y = np.array(held["x"].tolist()).reshape(-1, len(models), 2), held["label"].to_numpy(float)
