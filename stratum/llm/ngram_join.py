@@ -16,7 +16,7 @@ lost, and none is made without comparing whole sets:
    large groups of near copies are one core before pairs are looked for.
 4. Classes that share a prefix shingle but not a core meet by shingle and size
    band (sizes of linked sets are in the same band or neighbouring ones).
-   There a signature tree holds them: nodes have the OR of the token bitmaps,
+   Groups of the same classes are one.  There a signature tree holds them: nodes have the OR of the token bitmaps,
    the range of sizes, and the one core, if it is one.  A dual traversal leaves
    out pairs of nodes of one core, of sizes too far apart, or whose largest
    possible overlap is too small; pairs of leaves left are compared as sets.
@@ -46,8 +46,8 @@ from stratum.llm.token_shards import whole_runs
 
 WORDS = 5
 PERCENT = 75
-SKETCH = 1 << 22        # counters
-FILTER_BITS = 1 << 24   # of the filter of classes whose sets are wanted
+SKETCH = 1 << 24        # counters
+FILTER_BITS = 1 << 24   # of the filter of texts whose sets are wanted
 SLICES = 16
 BINS = 16
 BITS = 1024, 32_768     # of a set's bitmap: least and most, by its size
@@ -116,10 +116,11 @@ def folded(bitmaps: list[bytes]) -> np.ndarray:
 
 
 def describe(docs: DataFrame) -> DataFrame:
-    """``kind`` 0: ``doc_id, n, c`` (class), bitmap ``bits``, smallest hash of
-    each bin ``mins``.  ``kind`` 1: a task's sketch slice ``c`` in ``bits``."""
-    ddl = "kind int, doc_id long, n long, c long, bits binary, mins array<long>"
-    schema = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("c", pa.int64()), ("bits", pa.binary()), ("mins", pa.list_(pa.int64()))])
+    """``kind`` 0: ``doc_id, n, c`` (class), hash ``t`` of the text, bitmap
+    ``bits``, smallest hash of each bin ``mins``.  ``kind`` 1: a task's sketch
+    slice ``c``, compressed, in ``bits``."""
+    ddl = "kind int, doc_id long, n long, c long, t long, bits binary, mins array<long>"
+    schema = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("c", pa.int64()), ("t", pa.int64()), ("bits", pa.binary()), ("mins", pa.list_(pa.int64()))])
 
     def run(batches):
         sketch = np.zeros(SKETCH, np.uint8)          # saturates: only the order of shingles depends on it
@@ -137,34 +138,35 @@ def describe(docs: DataFrame) -> DataFrame:
                     cuts = [0, *cuts.tolist(), len(own)]
                     mins.append([int(own[x].view(np.int64)) for x, y in zip(cuts, cuts[1:]) if y > x])
                 yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(n), np.int32)), part.column("doc_id"), pa.array(n), pa.array(np.array(c, np.uint64).view(np.int64)),
-                                                  pa.array(bits, pa.binary()), pa.array(mins, pa.list_(pa.int64()))], schema=schema)
+                                                  part.column("t"), pa.array(bits, pa.binary()), pa.array(mins, pa.list_(pa.int64()))], schema=schema)
         if sketch.any():
             none = pa.nulls(SLICES, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(SLICES, np.int32)), none, none, pa.array(np.arange(SLICES)),
-                                              pa.array([s.tobytes() for s in np.split(sketch, SLICES)], pa.binary()), pa.nulls(SLICES, schema.field(5).type)], schema=schema)
+            slices = [pa.compress(s.tobytes(), "zstd", asbytes=True) for s in np.split(sketch, SLICES)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.ones(SLICES, np.int32)), none, none, pa.array(np.arange(SLICES)), none,
+                                              pa.array(slices, pa.binary()), pa.nulls(SLICES, schema.field(6).type)], schema=schema)
 
-    return docs.select("doc_id", "text").mapInArrow(run, ddl)
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("t")).mapInArrow(run, ddl)
 
 
-def total_slices(slices: DataFrame, wide) -> dict[int, np.ndarray]:
-    """Sums of equal slices (``c, bits``, bytes) as ``wide`` numbers; a slice is
-    summed in one task, batch by batch."""
+def total_sketch(described: DataFrame) -> np.ndarray:
+    """Sum of the tasks' sketches: ``SKETCH`` counters of 16 bits at any input
+    size (they saturate); a slice is summed in one task, batch by batch."""
+    each = SKETCH // SLICES
+
     def add(batches):
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for c, bits in zip(batch.column("c").to_pylist(), batch.column("bits")):
-                own = np.frombuffer(bits.as_buffer(), np.uint8).astype(wide)
-                sums[c] = sums[c] + own if c in sums else own
+                own = np.frombuffer(pa.decompress(bits.as_buffer(), each, "zstd"), np.uint8)
+                total = sums.setdefault(c, np.zeros(each, np.uint32))
+                total += own
         if sums:
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([s.tobytes() for s in sums.values()], pa.binary())], ["c", "bits"])
-
-    return {r["c"]: np.frombuffer(r["bits"], wide) for r in slices.repartition(SLICES, "c").mapInArrow(add, "c long, bits binary").collect()}
-
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([np.minimum(s, 65535).astype(np.uint16).tobytes() for s in sums.values()], pa.binary())], ["c", "bits"])
 
-def total_sketch(described: DataFrame) -> np.ndarray:
-    """Sum of the tasks' sketches: ``SKETCH`` counters at any input size."""
-    sums = total_slices(described.where("kind = 1").select("c", "bits"), np.uint32)
-    return np.concatenate([sums.get(i, np.zeros(SKETCH // SLICES, np.uint32)) for i in range(SLICES)])
+    out = np.zeros((SLICES, each), np.uint16)
+    for r in described.where("kind = 1").select("c", "bits").repartition(SLICES, "c").mapInArrow(add, "c long, bits binary").collect():
+        out[r["c"]] = np.frombuffer(r["bits"], np.uint16)
+    return out.ravel()
 
 
 def prefix_entries(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
@@ -248,25 +250,36 @@ def filter_of(ids: DataFrame) -> np.ndarray:
 
 
 def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``id, shingles`` of the classes ``ids``, and of few others, made from the
-    texts again: sets are not shuffled but for these classes."""
-    sent = docs.sparkSession.sparkContext.broadcast(filter_of(ids))     # FILTER_BITS / 8 bytes
+    """``id, shingles`` of the classes ``ids`` (``id, t``: class, hash of one of
+    its texts), made from the texts again: sets are not shuffled but for these
+    classes, and few other texts are split into words."""
+    sent = docs.sparkSession.sparkContext.broadcast(filter_of(ids.select(F.col("t").alias("id"))))     # FILTER_BITS / 8 bytes
 
     def run(batches):
         on, seen = np.unpackbits(sent.value).astype(bool), set()
         for batch in batches:
-            for part in T.split_batch(batch, "text"):
+            keep = on[batch.column("t").to_numpy() % FILTER_BITS]
+            for i in np.flatnonzero(keep):
+                t = batch.column("t")[int(i)].as_py()
+                keep[i] = t not in seen
+                if len(seen) < 1 << 16:
+                    seen.add(t)
+            for part in T.split_batch(batch.filter(pa.array(keep)), "text"):
                 h, offs = shingle_sets(part.column("text"))
-                names = [class_id(h[a:b]) for a, b in zip(offs[:-1], offs[1:])]
-                keep = np.zeros(len(names), bool)
-                for i, c in enumerate(names):
-                    keep[i] = offs[i + 1] > offs[i] and on[c % FILTER_BITS] and c not in seen
-                    if keep[i] and len(seen) < 1 << 16:
-                        seen.add(c)
+                names = np.array([class_id(h[a:b]) for a, b in zip(offs[:-1], offs[1:])], np.uint64)
                 lists = pa.ListArray.from_arrays(offs.astype(np.int32), h.view(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(np.array(names, np.uint64).view(np.int64)), lists], ["id", "shingles"]).filter(pa.array(keep))
+                yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), lists], ["id", "shingles"])
 
-    return docs.select("text").mapInArrow(run, "id long, shingles array<long>").join(ids.select("id"), "id", "left_semi").dropDuplicates(["id"])
+    found = docs.select("text", F.xxhash64("text").alias("t")).mapInArrow(run, "id long, shingles array<long>")
+    return found.join(ids.select("id"), "id", "left_semi").dropDuplicates(["id"])
+
+
+def may_link(na, nb, bits_a: list, bits_b: list) -> np.ndarray:
+    """Whether the bitmaps of two classes leave a link possible, pair by pair:
+    each bit that only one side has is a shingle outside the overlap."""
+    off = [[int(np.bitwise_count(x & ~y).sum()) for x, y in (both, both[::-1])] for both in (folded(p) for p in zip(bits_a, bits_b))]
+    most = np.minimum(na - np.array([x for x, _ in off]), nb - np.array([y for _, y in off]))
+    return (100 + PERCENT) * most >= PERCENT * (na + nb)
 
 
 def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -275,10 +288,7 @@ def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
-                off = [[int(np.bitwise_count(x & ~y).sum()) for x, y in (both, both[::-1])]
-                       for both in (folded(p) for p in zip(batch.column("xa").to_pylist(), batch.column("xb").to_pylist()))]
-                most = np.minimum(na - np.array([x for x, _ in off]), nb - np.array([y for _, y in off]))
-                yield batch.select(["a", "b"]).filter(pa.array((100 + PERCENT) * most >= PERCENT * (na + nb)))
+                yield batch.select(["a", "b"]).filter(pa.array(may_link(na, nb, batch.column("xa").to_pylist(), batch.column("xb").to_pylist())))
 
     side = lambda k: classes.select(F.col("id").alias(k), F.col("n").alias(f"n{k}"), F.col("bits").alias(f"x{k}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").where("100 * least(na, nb) >= 75 * greatest(na, nb)".replace("75", str(PERCENT)))
@@ -363,15 +373,21 @@ def band(n):
     return F.floor(F.log(n.cast("double")) / F.lit(float(np.log(100 / PERCENT)) + 1e-9)).cast("int")
 
 
-def candidate_pairs(members: DataFrame) -> DataFrame:
-    """``a, b`` from ``members`` (``token, id, n, core, bits``): pairs that share
-    a token, of different cores, that no bound rules out."""
+def candidate_pairs(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """``a, b`` from ``members`` (``token, id, n, core``): pairs that share a
+    token, of different cores, that no bound rules out.
+
+    Of groups with the same classes (the shingles of a shared passage make many)
+    only one is searched: their counts and two 64-bit sums over ids agree."""
     rows = members.withColumn("own", band(F.col("n")))
     rows = rows.withColumn("band", F.explode(F.array(F.col("own"), F.col("own") + 1)))
     # a band's group holds its own sizes and those of the band below
-    groups = rows.groupBy("token", "band").agg(F.count(F.lit(1)).alias("rows"), F.max(F.col("own") == F.col("band")).alias("used")).where("used and rows > 1")
-    groups = groups.select("token", "band", F.ceil(F.col("rows") / GROUP_ROWS).cast("int").alias("blocks"))
-    rows = rows.join(groups, ["token", "band"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    groups = rows.groupBy("token", "band").agg(
+        F.count(F.lit(1)).alias("rows"), F.max(F.col("own") == F.col("band")).alias("used"), F.min("core").alias("lo"), F.max("core").alias("hi"),
+        F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y")).where("used and lo < hi")
+    groups = groups.groupBy("rows", "x", "y", "lo", "hi").agg(F.min(F.struct("band", "token")).alias("of")).select(
+        "of.token", "of.band", F.ceil(F.col("rows") / GROUP_ROWS).cast("int").alias("blocks"))
+    rows = rows.join(groups, ["token", "band"]).join(classes.select("id", "bits"), "id").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumn("meet", F.xxhash64("token", "band", F.least("block", "with"), F.greatest("block", "with")))
 
@@ -381,7 +397,8 @@ def candidate_pairs(members: DataFrame) -> DataFrame:
             t = t.combine_chunks()
             get = lambda c: np.asarray(t.column(c).combine_chunks())
             block, ids, n, core = get("block"), get("id"), get("n"), get("core")
-            bits = folded(t.column("bits").to_pylist())
+            whole = t.column("bits").to_pylist()
+            bits = folded(whole)
             low = block == block.min()
             if low.all():
                 pairs = signature_pairs(ids, n, core, bits)
@@ -389,11 +406,14 @@ def candidate_pairs(members: DataFrame) -> DataFrame:
             else:
                 x, y = np.flatnonzero(low), np.flatnonzero(~low)
                 pairs = signature_pairs(ids[x], n[x], core[x], bits[x], (n[y], core[y], bits[y]))
-            out = {tuple(sorted((int(ids[x[i]]), int(ids[y[j]])))) for i, j in pairs} - done
+            named = {tuple(sorted((int(ids[x[i]]), int(ids[y[j]])))): (x[i], y[j]) for i, j in pairs}
+            named = {pair: at for pair, at in named.items() if pair not in done}
             if len(done) < 1 << 18:
-                done |= out
-            if out:
-                a, b = zip(*out)
+                done |= named.keys()
+            if named:
+                i, j = (np.array(v) for v in zip(*named.values()))
+                fine = may_link(n[i], n[j], [whole[k] for k in i], [whole[k] for k in j])
+                a, b = (np.array(v)[fine] for v in zip(*named))
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     met = rows.select("meet", "block", "id", "n", "core", "bits").repartition("meet").sortWithinPartitions("meet")
@@ -408,17 +428,16 @@ def ngram_components(docs: DataFrame) -> DataFrame:
     of_doc = described.where("kind = 0")
     # one row a class
     classes = storage.stage(of_doc.where("n > 0").groupBy(F.col("c").alias("id")).agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("mins").alias("mins")), "ngram-classes")
+        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.min("t").alias("t"), F.first("bits").alias("bits"), F.first("mins").alias("mins")), "ngram-classes")
     shared = storage.stage(shared_entries(prefix_entries(docs, total_sketch(described))), "ngram-shared")
     bins = classes.select("id", F.explode("mins").alias("m"))
     groups = bins.groupBy("m").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("k")).where("k > 1")
     stars = bins.join(groups, "m").where("id <> a").select("a", F.col("id").alias("b")).distinct()
-    links = links_of(docs, stars, classes, "stars")
+    links = links_of(docs, plausible(stars, classes), classes, "stars")
     core = storage.stage(components(links), "ngram-cores")
     members = shared.withColumnRenamed("c", "id").join(core, "id", "left").withColumn("core", F.coalesce("core", "id"))
     apart = members.groupBy("token").agg(F.min("core").alias("lo"), F.max("core").alias("hi")).where("lo < hi").select("token")
-    members = members.join(apart, "token").join(classes.select("id", "bits"), "id")
-    more = links_of(docs, candidate_pairs(members), classes, "pairs")
+    more = links_of(docs, candidate_pairs(members.join(apart, "token"), classes), classes, "pairs")
     final = components(links.union(more))
     joined = classes.select("id", "doc_id").join(final, "id", "left").withColumn("core", F.coalesce("core", "id"))
     least = joined.groupBy("core").agg(F.min("doc_id").alias("component_id"))
@@ -429,6 +448,7 @@ def ngram_components(docs: DataFrame) -> DataFrame:
 
 def links_of(docs: DataFrame, pairs: DataFrame, classes: DataFrame, name: str) -> DataFrame:
     """The pairs whose whole sets link, staged."""
-    pairs = storage.stage(plausible(pairs, classes), f"ngram-{name}")
-    ids = storage.stage(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), f"ngram-{name}-ids")
+    pairs = storage.stage(pairs, f"ngram-{name}")
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    ids = storage.stage(ids.join(classes.select("id", "t"), "id"), f"ngram-{name}-ids")
     return storage.stage(verified(pairs, sets_of(docs, ids)), f"ngram-{name}-links")
