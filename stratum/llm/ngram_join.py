@@ -12,7 +12,7 @@ lost, and none is made without comparing whole sets:
    frequent shingles last, by a count-min sketch of all documents' shingles of
    fixed size; any order is right, this one keeps groups small.
 3. Classes that share one of ``BINS`` smallest hashes are compared with the
-   first class of their group, and verified links join them into cores.  So
+   first class of their group (by a hash), and verified links join them into cores.  So
    large groups of near copies are one core before pairs are looked for.
 4. Classes that share a prefix shingle but not a core meet by shingle and size
    band (sizes of linked sets are in the same band or neighbouring ones).
@@ -46,7 +46,7 @@ from stratum.llm.token_shards import whole_runs
 
 WORDS = 5
 PERCENT = 75
-SKETCH = 1 << 24        # counters
+SKETCH = 1 << 23        # counters
 FILTER_BITS = 1 << 24   # of the filter of texts whose sets are wanted
 SLICES = 16
 BINS = 16
@@ -431,7 +431,9 @@ def ngram_components(docs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.min("t").alias("t"), F.first("bits").alias("bits"), F.first("mins").alias("mins")), "ngram-classes")
     shared = storage.stage(shared_entries(prefix_entries(docs, total_sketch(described))), "ngram-shared")
     bins = classes.select("id", F.explode("mins").alias("m"))
-    groups = bins.groupBy("m").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("k")).where("k > 1")
+    # a group's first class is another in each bin, so a class meets up to BINS of its family
+    first = F.min(F.struct(F.xxhash64("id", "m").alias("h"), "id"))["id"]
+    groups = bins.groupBy("m").agg(first.alias("a"), F.count(F.lit(1)).alias("k")).where("k > 1")
     stars = bins.join(groups, "m").where("id <> a").select("a", F.col("id").alias("b")).distinct()
     links = links_of(docs, plausible(stars, classes), classes, "stars")
     core = storage.stage(components(links), "ngram-cores")
