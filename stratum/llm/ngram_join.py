@@ -16,10 +16,12 @@ lost, and none is made without comparing whole sets:
    large groups of near copies are one core before pairs are looked for.
 4. Classes that share a prefix shingle but not a core meet by shingle and size
    band (sizes of linked sets are in the same band or neighbouring ones).
-   Groups of the same classes are one.  There a signature tree holds them: nodes have the OR of the token bitmaps,
-   the range of sizes, and the one core, if it is one.  A dual traversal leaves
-   out pairs of nodes of one core, of sizes too far apart, or whose largest
-   possible overlap is too small; pairs of leaves left are compared as sets.
+   Groups of the same classes are one.  There a signature tree holds them: nodes
+   have the OR of the token bitmaps, the range of sizes, and the one core, if it
+   is one.  A dual traversal, level by level, leaves out pairs of nodes of one
+   core, of sizes too far apart, of the band below only (their own group has
+   those), or whose largest possible overlap is too small.  A pair of leaves left
+   goes on from one of the groups where it meets, and is compared as sets.
    Groups over ``GROUP_ROWS`` are cut into blocks, each pair of which is a task's
    work; so no task holds more than two blocks.
 5. Connected components of cores and links by rounds of joins.
@@ -52,7 +54,9 @@ SLICES = 16
 BINS = 16
 BITS = 1024, 32_768     # of a set's bitmap: least and most, by its size
 GROUP_ROWS = 2048
-FANOUT, LEAF = 8, 8
+FANOUT = 8
+CHUNK_PAIRS, CHUNK_BYTES = 4096, 4 << 20   # node pairs descended, bytes of bitmaps gathered at once
+MEETINGS = 32           # groups of a class, the first by hash, that travel with it
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0x85EBCA77C2B2AE63)]
 
 
@@ -323,49 +327,74 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("b").alias("id"), F.col("a").alias("core")).union(edges.select("a", "a").distinct())
 
 
-def signature_pairs(ids, sizes, cores, bits, other=None) -> list[tuple[int, int]]:
-    """Pairs of positions that may be similar: a tree over rows sorted by size,
-    core and bitmap, traversed against itself (or against that of ``other``)."""
-    def tree(sizes, cores, bits):
-        order = np.lexsort((bits[:, 0], sizes, cores))
-        level = [([int(i)], int(sizes[i]), int(sizes[i]), int(cores[i]), bits[i], True) for i in order]
-        width = LEAF
-        while len(level) > 1:
-            up = []
-            for k in range(0, len(level), width):
-                kids = level[k:k + width]
-                core = kids[0][3] if all(x[3] == kids[0][3] for x in kids) else None
-                up.append((kids, min(x[1] for x in kids), max(x[2] for x in kids), core, np.bitwise_or.reduce([x[4] for x in kids]), False))
-            level, width = up, FANOUT
-        return level[0]
-
-    def hopeless(x, y):
-        if x[3] is not None and x[3] == y[3]:
-            return True
-        small, large = min(x[2], y[2]), max(x[1], y[1])
-        if 100 * small < PERCENT * large:
-            return True
-        # each bit that only one side can have is a shingle outside the overlap
-        most = min(x[2] - int(np.bitwise_count(x[4] & ~y[4]).sum()) if x[5] else x[2], y[2] - int(np.bitwise_count(y[4] & ~x[4]).sum()) if y[5] else y[2])
-        return (100 + PERCENT) * most < PERCENT * (x[1] + y[1])
-
-    found = []
-    root = tree(sizes, cores, bits)
-    stack = [(root, root if other is None else tree(*other))]
+def signature_tree(sizes, cores, bits, own, height: int) -> list[tuple]:
+    """Levels, leaves first, of a tree over rows sorted by core and size.  A node
+    has its least size, largest size, core, whether that is the only one, the
+    most shingles beyond its bits (``n`` less bits on), the OR-combined bitmap,
+    and whether a row of it is of the group's own band."""
+    level = sizes, sizes, cores, np.ones(len(sizes), bool), sizes - np.bitwise_count(bits).sum(axis=1, dtype=np.int64), bits, own
+    levels = [level]
+    for _ in range(height):
+        lo, hi, core, one, slack, bits, own = level
+        at = np.arange(0, len(lo), FANOUT)
+        low, high = np.minimum.reduceat(core, at), np.maximum.reduceat(core, at)
+        level = (np.minimum.reduceat(lo, at), np.maximum.reduceat(hi, at), low, np.logical_and.reduceat(one, at) & (low == high),
+                 np.maximum.reduceat(slack, at), np.bitwise_or.reduceat(bits, at, axis=0), np.logical_or.reduceat(own, at))
+        levels.append(level)
+    return levels
+
+
+def possible(x, y, i, j) -> np.ndarray:
+    """Whether nodes ``i`` of level ``x`` and ``j`` of ``y`` may hold a link."""
+    small, large = np.minimum(x[1][i], y[1][j]), np.maximum(x[0][i], y[0][j])
+    fine = (100 * small >= PERCENT * large) & ~(x[3][i] & y[3][j] & (x[2][i] == y[2][j])) & (x[6][i] | y[6][j])
+    at = np.flatnonzero(fine)
+    need = PERCENT * (x[0][i[at]] + y[0][j[at]])
+    slack = np.minimum(x[4][i[at]], y[4][j[at]])
+    step = max(1, CHUNK_BYTES // x[5][0].nbytes)
+    for k in range(0, len(at), step):
+        part = at[k:k + step]
+        common = np.bitwise_count(x[5][i[part]] & y[5][j[part]]).sum(axis=1, dtype=np.int64)
+        # a shingle in the overlap has a bit in common, or is one beyond its set's bits
+        most = np.minimum(slack[k:k + step] + common, small[part])
+        fine[part] = (100 + PERCENT) * most >= need[k:k + step]
+    return fine
+
+
+def signature_pairs(rows, other=None) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the pairs that may be similar, of ``rows`` (``sizes, cores,
+    bits, own``) with each other or with ``other``: both trees are descended
+    level by level, and pairs of nodes without a possible link are left out."""
+    def ordered(rows):
+        order = np.lexsort((rows[2][:, 0], rows[0], rows[1]))
+        return order, [r[order] for r in rows]
+
+    left, x = ordered(rows)
+    right, y = (left, x) if other is None else ordered(other)
+    height = 0
+    while FANOUT ** height < max(len(left), len(right)):
+        height += 1
+    x = signature_tree(*x, height)
+    y = x if other is None else signature_tree(*y, height)
+    kids, found = np.arange(FANOUT), [(np.zeros(0, np.int64),) * 2]
+    stack = [(height, np.zeros(1, np.int64), np.zeros(1, np.int64))]
     while stack:
-        x, y = stack.pop()
-        if hopeless(x, y):
+        k, i, j = stack.pop()
+        fine = possible(x[k], y[k], i, j)
+        if k == 0:
+            fine &= (i != j) | (other is not None)
+            found.append((left[i[fine]], right[j[fine]]))
             continue
-        if x[5] and y[5]:
-            found.append((x[0][0], y[0][0]))
-        elif x is y:
-            kids = x[0]
-            stack += [(kids[i], kids[j]) for i in range(len(kids)) for j in range(i, len(kids)) if i != j or not kids[i][5]]
-        elif x[5] or (not y[5] and y[2] - y[1] > x[2] - x[1]):
-            stack += [(x, k) for k in y[0]]
-        else:
-            stack += [(k, y) for k in x[0]]
-    return found
+        i, j = i[fine], j[fine]
+        for a in range(0, len(i), CHUNK_PAIRS):
+            u = i[a:a + CHUNK_PAIRS, None, None] * FANOUT + kids[None, :, None]
+            v = j[a:a + CHUNK_PAIRS, None, None] * FANOUT + kids[None, None, :]
+            u, v = (w.ravel() for w in np.broadcast_arrays(u, v))
+            real = (u < len(x[k - 1][0])) & (v < len(y[k - 1][0]))
+            if other is None:
+                real &= u <= v
+            stack.append((k - 1, u[real], v[real]))
+    return tuple(np.concatenate(f) for f in zip(*found))
 
 
 def band(n):
@@ -378,7 +407,11 @@ def candidate_pairs(members: DataFrame, classes: DataFrame) -> DataFrame:
     token, of different cores, that no bound rules out.
 
     Of groups with the same classes (the shingles of a shared passage make many)
-    only one is searched: their counts and two 64-bit sums over ids agree."""
+    only one is searched: their counts and two 64-bit sums over ids agree, and
+    the one of the lowest band stands for all.  A pair may meet in many groups.
+    Each class brings the names of its first ``MEETINGS`` groups, and a pair is
+    given out only in the first group that both lists name (in each of its
+    groups, if the lists share none)."""
     rows = members.withColumn("own", band(F.col("n")))
     rows = rows.withColumn("band", F.explode(F.array(F.col("own"), F.col("own") + 1)))
     # a band's group holds its own sizes and those of the band below
@@ -387,36 +420,38 @@ def candidate_pairs(members: DataFrame, classes: DataFrame) -> DataFrame:
         F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y")).where("used and lo < hi")
     groups = groups.groupBy("rows", "x", "y", "lo", "hi").agg(F.min(F.struct("band", "token")).alias("of")).select(
         "of.token", "of.band", F.ceil(F.col("rows") / GROUP_ROWS).cast("int").alias("blocks"))
-    rows = rows.join(groups, ["token", "band"]).join(classes.select("id", "bits"), "id").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    rows = rows.join(groups, ["token", "band"]).select("id", "n", "core", "blocks", F.xxhash64("token", "band").alias("place"), (F.col("own") == F.col("band")).alias("own"))
+    rows = storage.stage(rows, "ngram-rows")
+    # of one band, in which two classes always meet; as many as prefix shingles, so a text's worth
+    lists = rows.groupBy("id", "own").agg(F.slice(F.sort_array(F.collect_set("place")), 1, MEETINGS).alias("places"))
+    rows = rows.join(lists.join(classes.select("id", "bits"), "id"), ["id", "own"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.withColumn("meet", F.xxhash64("token", "band", F.least("block", "with"), F.greatest("block", "with")))
+    rows = rows.withColumn("meet", F.xxhash64("place", F.least("block", "with"), F.greatest("block", "with")))
 
     def run(batches):
-        done: set = set()
         for _, t in whole_runs(batches, "meet"):
             t = t.combine_chunks()
             get = lambda c: np.asarray(t.column(c).combine_chunks())
-            block, ids, n, core = get("block"), get("id"), get("n"), get("core")
+            block, ids, n, core, own, place = get("block"), get("id"), get("n"), get("core"), get("own"), int(get("place")[0])
             whole = t.column("bits").to_pylist()
             bits = folded(whole)
             low = block == block.min()
             if low.all():
-                pairs = signature_pairs(ids, n, core, bits)
-                x = y = np.arange(len(ids))
+                i, j = signature_pairs((n, core, bits, own))
             else:
                 x, y = np.flatnonzero(low), np.flatnonzero(~low)
-                pairs = signature_pairs(ids[x], n[x], core[x], bits[x], (n[y], core[y], bits[y]))
-            named = {tuple(sorted((int(ids[x[i]]), int(ids[y[j]])))): (x[i], y[j]) for i, j in pairs}
-            named = {pair: at for pair, at in named.items() if pair not in done}
-            if len(done) < 1 << 18:
-                done |= named.keys()
-            if named:
-                i, j = (np.array(v) for v in zip(*named.values()))
+                i, j = signature_pairs((n[x], core[x], bits[x], own[x]), (n[y], core[y], bits[y], own[y]))
+                i, j = x[i], y[j]
+            if len(i):
+                lists = list(map(set, t.column("places").to_pylist()))
+                here = np.array([min(lists[a] & lists[b], default=place) == place for a, b in zip(i.tolist(), j.tolist())], bool)
+                i, j = i[here], j[here]
+            if len(i):
                 fine = may_link(n[i], n[j], [whole[k] for k in i], [whole[k] for k in j])
-                a, b = (np.array(v)[fine] for v in zip(*named))
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                a, b = ids[i[fine]], ids[j[fine]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
-    met = rows.select("meet", "block", "id", "n", "core", "bits").repartition("meet").sortWithinPartitions("meet")
+    met = rows.select("meet", "place", "block", "id", "n", "core", "own", "bits", "places").repartition("meet").sortWithinPartitions("meet")
     return met.mapInArrow(run, "a long, b long").distinct()
 
 

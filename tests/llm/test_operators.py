@@ -140,15 +140,39 @@ def test_signature_tree_loses_no_pair():
     sets += [np.unique(np.r_[s[4:], s[:1] + np.uint64(7 << 20)]) for s in sets[:60]]
     n, cores = np.array(list(map(len, sets))), np.arange(len(sets))
     bits = ngram_join.folded([ngram_join.bitmap(s).tobytes() for s in sets])
-    found = {tuple(sorted(p)) for p in ngram_join.signature_pairs(cores, n, cores, bits)}
+    rows = n, cores, bits, np.ones(len(n), bool)
+    half = np.arange(len(n)) % 3 == 0
+    a, b = np.flatnonzero(half), np.flatnonzero(~half)
+    i, j = ngram_join.signature_pairs([r[a] for r in rows], [r[b] for r in rows])
+    between = set(zip(a[i].tolist(), b[j].tolist()))
+    pairs = [tuple(sorted(p)) for p in zip(*(x.tolist() for x in ngram_join.signature_pairs(rows)))]
+    found = set(pairs)
+    assert len(found) == len(pairs) and all(x != y for x, y in found)
     for i in range(len(sets)):
         for j in range(i):
             both = len(np.intersect1d(sets[i], sets[j]))
             if 100 * both >= 75 * (n[i] + n[j] - both):
                 assert (j, i) in found
+                assert half[i] == half[j] or (i, j) in between or (j, i) in between
     assert len(found) < len(sets) * 10
 
 
+@pytest.mark.parametrize("group_rows,meetings", [(2048, 32), (4, 32), (2048, 1), (4, 1)])
+def test_candidates_hold_every_link(spark, monkeypatch, group_rows, meetings):
+    monkeypatch.setattr(ngram_join, "GROUP_ROWS", group_rows)
+    monkeypatch.setattr(ngram_join, "MEETINGS", meetings)
+    T.prepare(spark)
+    docs = spark.createDataFrame(near_copies(50, 9), "doc_id long, text string").repartition(4)
+    described = ngram_join.describe(docs).cache()
+    classes = described.where("kind = 0 and n > 0").groupBy(F.col("c").alias("id")).agg(F.first("n").alias("n"), F.first("t").alias("t"), F.first("bits").alias("bits"))
+    members = ngram_join.shared_entries(ngram_join.prefix_entries(docs, ngram_join.total_sketch(described))).withColumnRenamed("c", "id")
+    got = {tuple(r) for r in ngram_join.candidate_pairs(members.withColumn("core", F.col("id")), classes).collect()}
+    sets = {r["id"]: set(r["shingles"]) for r in ngram_join.sets_of(docs, classes.select("id", "t")).collect()}
+    links = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    assert links and links <= got
+    described.unpersist()
+
+
 @pytest.mark.parametrize("name", ["docs", "odd"])
 def test_digests(name, request):
     df = request.getfixturevalue(name)
