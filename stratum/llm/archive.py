@@ -12,16 +12,21 @@ Of records with equal payloads of at least ``min_bytes``, the one with the
 smallest key is kept whole and the others revisit it.  The key is a whole
 number in an HTTP header (``key_header``).
 
+ARC files may be plain or gzip members, as ``.arc.gz`` has them (one a record,
+or any other cut); a task then holds one inflated file.  Offsets are those of
+the plain bytes.
+
 Defined cases: records without a key, or with one that is no number, come last
 and keep null; ties go to the first by file and offset; an empty payload is a
 payload; a record shorter than declared is marked ``WARC-Truncated``; a date
-that is none becomes 1970; spaces in URLs are allowed; no files give no rows.
+that is none becomes 1970; a last gzip member cut short gives what it has; spaces in URLs are allowed; no files give no rows.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import io
 import re
 import uuid
 import zlib
@@ -35,6 +40,7 @@ from stratum.llm import text as T
 from stratum.llm.token_shards import runs
 
 KEY_HEADER = "X-Page-Id"
+GZIP = b"\x1f\x8b"
 FIELDS = {"1": 5, "2": 10}
 RECORD = "file string, at long, line string, body_at long, size long, key long, payload_bytes long, payload_digest string"
 _DATE = re.compile(r"(\d{4})(0[1-9]|1[0-2])(0[1-9]|[12]\d|3[01])([01]\d|2[0-3])([0-5]\d)([0-5]\d)$")
@@ -95,6 +101,18 @@ def record_id(file: str, at: int) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{file}#{at}')}>"
 
 
+def inflated(data: bytes, step: int = 1 << 16) -> bytes:
+    """The plain bytes of an ARC file."""
+    out, at = [], 0
+    while data[at:at + 2] == GZIP:
+        z = zlib.decompressobj(wbits=31)
+        while at < len(data) and not z.eof:
+            part = data[at:at + step]
+            out.append(z.decompress(part))
+            at += len(part) - len(z.unused_data)
+    return b"".join(out) if out else data
+
+
 def short_name(path: str) -> str:
     return path.rsplit("/", 1)[-1]
 
@@ -107,7 +125,7 @@ def list_records(arcs: DataFrame, key_header: str = KEY_HEADER) -> DataFrame:
     def scan(batches):
         for batch in batches:
             for path, content in zip(*(batch.column(c) for c in ("path", "content"))):
-                rows, data = [], content.as_py()
+                rows, data = [], inflated(content.as_py())
                 for at, line, _, body_at, size in arc_records(data):
                     head, payload = http_parts(data[body_at:body_at + size])
                     rows.append((path.as_py(), at, line, body_at, size, key_of(head, key_header), len(payload), base32_sha1(payload)))
@@ -151,7 +169,8 @@ def gzip_member(data: bytes) -> bytes:
 
 def write_warcs(decided: DataFrame, path: str) -> DataFrame:
     """Write ``name.warc.gz`` for each ARC file; the written files as a staged
-    table ``warc``.  A record is read at its offset, so a task holds one."""
+    table ``warc``.  A record is read at its offset, so of a plain file a task
+    holds one."""
     columns = ["file", "at", "line", "body_at", "size", "payload_bytes", "payload_digest", "origin_file", "origin_at"]
 
     def members(file, groups, f):
@@ -182,7 +201,9 @@ def write_warcs(decided: DataFrame, path: str) -> DataFrame:
             fs, name = storage.filesystem(held)
             out = f"{path}/{short_name(held)}.warc.gz"
             with fs.open_input_file(name) as f:
-                storage.write_atomic(out, members(held, groups, f))
+                packed = f.read(2) == GZIP
+                f.seek(0)
+                storage.write_atomic(out, members(held, groups, io.BytesIO(inflated(f.read())) if packed else f))
             return pa.RecordBatch.from_pydict({"warc": [out]})
 
         for file, part in runs(batches, "file"):

@@ -38,7 +38,7 @@ def op3_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def arc_files(pages: DataFrame) -> DataFrame:
     """ARC files that hold ``pages`` as HTTP responses (``path, content``): only
     the converter's input.  Batches of about ``ARC_BYTES``, by turns in version
-    1 and 2."""
+    1 and 2, a gzip member for each record."""
     spark = pages.sparkSession
     T.prepare(spark)
     path = storage.folder(spark, "arc")
@@ -48,7 +48,7 @@ def arc_files(pages: DataFrame) -> DataFrame:
         k = 0
         for batch in batches:
             for part in T.split_batch(batch, "html", ARC_BYTES):
-                name = f"pages-{TaskContext.get().partitionId()}-{k}.arc"
+                name = f"pages-{TaskContext.get().partitionId()}-{k}.arc.gz"
                 version = (TaskContext.get().partitionId() + k) % 2 + 1
                 k += 1
                 fields = "URL IP-address Archive-date Content-type " + ("Result-code Checksum Location Offset Filename " if version == 2 else "") + "Archive-length"
@@ -59,13 +59,13 @@ def arc_files(pages: DataFrame) -> DataFrame:
                     body = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\n{key}\r\n".encode() + (html or "").encode()
                     more = f"200 - - 0 {name} " if version == 2 else ""
                     out.append(f"\n{' '.join((url or '-').split()) or '-'} 0.0.0.0 20240101000000 text/html {more}{len(body)}\n".encode() + body)
-                storage.write_atomic(f"{path}/{name}", out)
+                storage.write_atomic(f"{path}/{name}", map(archive.gzip_member, out))
                 yield pa.RecordBatch.from_pydict({"file": [name]})
 
     written = storage.stage(pages.select("page_id", "url", "html").mapInArrow(write, "file string"), "arc-names")
     if written.isEmpty():
         return spark.createDataFrame([], "path string, content binary")
-    return spark.read.format("binaryFile").load(f"{path}/*.arc").select("path", "content")
+    return spark.read.format("binaryFile").load(f"{path}/*.arc.gz").select("path", "content")
 
 
 def op4_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

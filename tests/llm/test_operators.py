@@ -306,11 +306,16 @@ def test_mix_keeps_every_row(docs, odd):
             mixing.MAX_SOURCES = kept
 
 
-def test_archive_round_trip(spark, tmp_path):
+@pytest.mark.parametrize("plain", [False, True])
+def test_archive_round_trip(spark, tmp_path, plain):
     pages = [(1, "http://a/", "x"), (2, "http://b/ c", "x"), (3, None, None), (4, "http://d/", ""), (None, "http://e/", "x"), (5, "http://f/", "é" * 50_000), (7, "http://g/", "y\n\nfiledesc")]
-    for files in (Q.arc_files(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)),):
-        warcs = archive.convert(files, storage.folder(spark, "warc-test"))
-        got = {r.key: r for r in archive.resolve(archive.read_warcs(warcs)).collect()}
+    files = Q.arc_files(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3))
+    if plain:
+        for r in files.collect():
+            (tmp_path / archive.short_name(r.path).removesuffix(".gz")).write_bytes(archive.inflated(r.content))
+        files = spark.read.format("binaryFile").load(f"{tmp_path}/*.arc").select("path", "content")
+    warcs = archive.convert(files, storage.folder(spark, "warc-test"))
+    got = {r.key: r for r in archive.resolve(archive.read_warcs(warcs)).collect()}
     sha = lambda t: base64.b32encode(hashlib.sha1((t or "").encode()).digest()).decode()
     for k, _, html in pages:
         assert (got[k].payload_bytes, got[k].payload_digest) == (len((html or "").encode()), sha(html))
@@ -319,6 +324,14 @@ def test_archive_round_trip(spark, tmp_path):
     assert got[5].record_id.startswith("<urn:uuid:")
 
 
+def test_inflated_members():
+    parts = [b"one\n", b"", b"x" * 300_000]
+    whole = b"".join(map(archive.gzip_member, parts))
+    assert archive.inflated(whole) == b"".join(parts) == archive.inflated(whole, 7)
+    assert archive.inflated(b"plain") == b"plain" and archive.inflated(b"") == b""
+    assert (b"one\n" + b"x" * 300_000).startswith(archive.inflated(whole[:-40]))
+
+
 def test_arc_versions_and_bad_headers():
     v2 = b"2 0 t\nfields\n"
     data = b"filedesc://x 0.0.0.0 20240101000000 text/plain %d\n" % len(v2) + v2 + b"\nhttp://a/b c 1.2.3.4 20240229120000 text/html 200 - - 0 x 3\nabc\n"
