@@ -19,12 +19,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the smallest id.  Documents without a
-    word are no copies of each other; of rows that share the id kept, all equal
-    ones count as one, and rows with a null id stay if their group has no id."""
-    groups = storage.stage(ngram_join.ngram_components(docs), "groups")
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").dropDuplicates(["doc_id"])
+    """One row of each component: of the smallest id (null last), then of the
+    smallest text hash.  Documents without a word are no copies of each other
+    and stay; of these, rows with the same id and the same text are one."""
+    groups = storage.stage(ngram_join.ngram_groups(docs), "groups")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
+    least = groups.where("component is not null").groupBy("component").agg(F.min(order).alias("o"))
+    kept = least.select(F.col("o.doc_id").alias("kept_id"), F.col("o.text_hash").alias("kept_hash"), F.lit(False).alias("kept_all"))
+    wordless = groups.where("component is null").select("doc_id", "text_hash", F.col("doc_id").isNull()).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.xxhash64("text") == F.col("kept_hash"))
+    rows = docs.join(kept.union(wordless), same).withColumn("kept_row", F.when(F.col("kept_all"), F.monotonically_increasing_id()))
+    return rows.dropDuplicates(["kept_id", "kept_hash", "kept_row"]).select(*docs.columns)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

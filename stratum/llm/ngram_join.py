@@ -457,6 +457,13 @@ def candidate_pairs(members: DataFrame, classes: DataFrame) -> DataFrame:
 
 def ngram_components(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
+    return ngram_groups(docs).select("doc_id", "n_shingles", "component_id")
+
+
+def ngram_groups(docs: DataFrame) -> DataFrame:
+    """``doc_id, text_hash, n_shingles, component, component_id`` for every row
+    of ``docs``; ``component`` names the component whether its rows have ids or
+    not, and is null for a document without a word."""
     T.prepare(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     described = storage.stage(describe(docs), "ngram-docs")
@@ -478,9 +485,10 @@ def ngram_components(docs: DataFrame) -> DataFrame:
     final = components(links.union(more))
     joined = classes.select("id", "doc_id").join(final, "id", "left").withColumn("core", F.coalesce("core", "id"))
     least = joined.groupBy("core").agg(F.min("doc_id").alias("component_id"))
-    named = joined.join(least, "core").select(F.col("id").alias("c"), "component_id")
-    full = of_doc.select("doc_id", "n", "c").join(named, "c", "left")
-    return full.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    named = joined.join(least, "core").select(F.col("id").alias("c"), "core", "component_id")
+    full = of_doc.select("doc_id", "t", "n", "c").join(named, "c", "left")
+    return full.select("doc_id", F.col("t").alias("text_hash"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("core")).alias("component"),
+                       F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def links_of(docs: DataFrame, pairs: DataFrame, classes: DataFrame, name: str) -> DataFrame:
