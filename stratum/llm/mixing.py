@@ -40,7 +40,7 @@ from stratum.operators.ranking import rank_in_groups
 
 BLOCK_CHARS = 50_000
 PERIOD = 10_000
-MAX_SOURCES = 2_500
+MAX_SOURCES = 1_000_000
 POWER = 0.5        # default weights: characters of the source to this power
 WRITE_ROWS = 50_000
 BELOW_ONE = math.nextafter(1.0, 0.0)

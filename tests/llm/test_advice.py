@@ -42,3 +42,9 @@ def test_plan_of_sources_that_end_and_of_weight_zero():
     slots = [r[2] for r in rows]
     assert slots == sorted(set(slots)) and all(r[3] <= r[2] < r[4] and abs(r[5]) < 1 for r in rows)
     assert {r[0] for r in rows[-3:]} == {1, 3}
+
+
+def test_mix_of_many_sources(spark):
+    docs = spark.range(3000).selectExpr("id as doc_id", "concat('s', id) as source", "repeat('x', 1 + id % 7) as text")
+    got = mixing.mix(docs).collect()
+    assert len({r.slot for r in got}) == 3000 and all(r.release <= r.slot < r.deadline and abs(r.deviation) < 1 for r in got)
