@@ -38,13 +38,17 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in files that follow the mixture of sources."""
-    return mixing.mixed_documents(docs)
+    """All documents with their place in the mixture of sources, in files that
+    follow it."""
+    return mixing.placed_documents(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Digests of the ids and of the bytes decoded from them."""
-    return bpe.bpe_digests(docs)
+    """Digests of the ids and of the bytes decoded from them, in the order of
+    the mixture."""
+    order = ("mix_slot", "mix_before")
+    coded = storage.stage(bpe.bpe_digests(docs, keep=order), "pipeline-coded")     # the sort samples its input
+    return coded.orderBy(*order, "doc_id", "ids_sha256").drop(*order)
 
 
 STAGES = [("toxicity", drop_toxic), ("ngram_join", drop_near_copies), ("pii", redact), ("mixing", mix_sources), ("bpe", encode)]
@@ -52,7 +56,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of the final documents."""
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of the final documents, in
+    the order of the mixture."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = storage.stage(stage(spark, docs, sf_dir), f"pipeline-{name}")

@@ -32,6 +32,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from stratum.llm import storage
 from stratum.llm import text as T
@@ -205,20 +206,24 @@ def encode_documents(docs: DataFrame, path: str = RANKS, table_rows: int = TABLE
     return _coded(docs, path, table_rows, "doc_id long, n_tokens long, ids binary, decoded binary", lambda x: x.tobytes())
 
 
-def bpe_digests(docs: DataFrame, path: str = RANKS, table_rows: int = TABLE_ROWS) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` for every row."""
+def bpe_digests(docs: DataFrame, path: str = RANKS, table_rows: int = TABLE_ROWS, keep: tuple = ()) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` and the columns ``keep``
+    for every row."""
     return _coded(docs, path, table_rows, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string",
-                  lambda x: hashlib.sha256(x.tobytes()).hexdigest())
+                  lambda x: hashlib.sha256(x.tobytes()).hexdigest(), keep)
 
 
-def _coded(docs, path, table_rows, schema, form) -> DataFrame:
+def _coded(docs, path, table_rows, schema, form, keep=()) -> DataFrame:
     spark = docs.sparkSession
     T.prepare(spark)
     ranks = ranks_of(path)
     words = most_frequent(storage.stage(frequent_words(docs), "bpe-words"), F.col("n"), table_rows)
     folded = {r["word"]: list(r["ids"]) for r in fold_words(words.select("word"), ranks).collect()}    # table_rows at most
     sent = spark.sparkContext.broadcast(folded)
-    names = [f.split()[0] for f in schema.split(", ")]
+    schema = StructType.fromDDL(schema)
+    for c in keep:
+        schema.add(docs.schema[c])
+    names = schema.names
 
     def code(batches):
         c = coder(path, sent)
@@ -230,6 +235,6 @@ def _coded(docs, path, table_rows, schema, form) -> DataFrame:
                 little = ids.astype("<u4")
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(np.diff(offs)), pa.array([form(little[a:b]) for a, b in zip(offs[:-1], offs[1:])]),
-                     pa.array([form(out[a:b]) for a, b in zip(ends[:-1], ends[1:])])], names)
+                     pa.array([form(out[a:b]) for a, b in zip(ends[:-1], ends[1:])]), *(part.column(k) for k in keep)], names)
 
-    return docs.select("doc_id", "text").mapInArrow(code, schema)
+    return docs.select("doc_id", "text", *keep).mapInArrow(code, schema)

@@ -5,8 +5,8 @@ from fractions import Fraction
 
 import corpus_pipeline
 
-from stratum.llm import mixing
-from tests.llm.test_operators import ODD
+from stratum.llm import mixing, storage
+from tests.llm.test_operators import ODD, SF
 
 A, B, B2 = "one two three four five six seven", "red green blue black white grey pink", "RED green  blue black white grey pink"
 
@@ -48,3 +48,13 @@ def test_mix_of_many_sources(spark):
     docs = spark.range(3000).selectExpr("id as doc_id", "concat('s', id) as source", "repeat('x', 1 + id % 7) as text")
     got = mixing.mix(docs).collect()
     assert len({r.slot for r in got}) == 3000 and all(r.release <= r.slot < r.deadline and abs(r.deviation) < 1 for r in got)
+
+
+def test_pipeline_rows_follow_the_mixture(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    placed = storage.stage(corpus_pipeline.mix_sources(spark, docs, SF), "test-placed").repartition(7)
+    got = corpus_pipeline.encode(spark, placed, SF)
+    assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    exp = sorted((r.slot, r.before, r.doc_id) for r in mixing.slots(docs).collect())
+    assert [r.doc_id for r in got.collect()] == [k for _, _, k in exp]
+    assert len({s for s, _, _ in exp}) >= 20
