@@ -14,9 +14,10 @@ punctuation at either end.  At most ``TRAIN_ROWS`` labelled rows are used, the
 first by a hash of ``doc_id``; of these, rows with remainder 3 fit the logistic
 function and the others the counts.  Rows with remainder 2 (``crc32`` of
 ``doc_id`` as text, modulo 4) and null ids are never learned from.  The shared
-counts cover all documents.  ``TABLE_ROWS`` bounds the rows of each table sent
-to the tasks: the most frequent ones are kept; rarer words and bigrams take
-their backoff, as unseen ones do.
+counts cover all documents.  Of the sample's words and bigrams only those that
+neither class holds twice are left out of what is sent to the tasks: every
+discount makes their counts nothing, and the shared counts below them are the
+same factor in both classes, so their scores are those of unseen ones.
 
 Defined cases: null or empty text has both features 0 and its score is the
 logistic function's at 0; repeated rows and null or repeated ``doc_id`` give a
@@ -41,7 +42,6 @@ from stratum.llm import storage
 from stratum.llm import text as T
 
 TRAIN_ROWS = 24_000
-TABLE_ROWS = 1 << 18
 DISCOUNTS = (1.5, 2.0, 3.0, 5.0, 8.0)   # the one that scores held rows best is used
 TOP = 2
 THRESHOLD = 0.3
@@ -168,7 +168,7 @@ def pair_counts(rows: DataFrame) -> DataFrame:
             .agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")))
 
 
-def most_frequent(df: DataFrame, by, rows: int = TABLE_ROWS) -> DataFrame:
+def most_frequent(df: DataFrame, by, rows: int) -> DataFrame:
     """All rows of ``df`` whose count ``by`` is at least the least bound that
     leaves ``rows`` rows at most.  The bound comes from the number of rows of
     each count up to a thousand; ``df`` is staged."""
@@ -184,7 +184,7 @@ def most_frequent(df: DataFrame, by, rows: int = TABLE_ROWS) -> DataFrame:
     return df.where(by >= bound)
 
 
-def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, table_rows: int = TABLE_ROWS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     T.prepare(docs.sparkSession)
     chosen = train_labels(labels, train_rows)
     # at most train_rows narrow rows
@@ -200,8 +200,10 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, table_
     sums = words.agg(F.sum(n).alias("n"), F.count(F.lit(1)).alias("kinds"),
                      *(over(c, d).alias(f"{c}_{i}") for i, d in enumerate(DISCOUNTS) for c in classes)).first()
     documents = spread.agg(F.sum("spread")).first()[0] or 0
-    table = most_frequent(words, n, table_rows).join(spread, "word", "left").na.fill(0).toPandas().sort_values("word")
-    frequent = most_frequent(pairs, n, table_rows).select("left", "word", *classes).toPandas()
+    # of at most train_rows documents
+    twice = F.greatest(*classes) >= 2
+    table = words.where(twice).join(spread, "word", "left").na.fill(0).toArrow().to_pandas().sort_values("word")
+    frequent = pairs.where(twice).select("left", "word", *classes).toArrow().to_pandas()
     key = pair_hash(frequent["left"].to_numpy(np.int64), frequent["word"].to_numpy(np.int64))
     order = np.argsort(key)
     pad = lambda a, v: np.asarray(a) if len(a) else np.array(v)
@@ -244,7 +246,7 @@ def logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 def features_of(docs: DataFrame, models: list[Model], *keep: str) -> DataFrame:
     """``keep`` columns and ``x``, both features by each model, for every row."""
-    sent = docs.sparkSession.sparkContext.broadcast([tuple(m) for m in models])   # TABLE_ROWS rows each at most
+    sent = docs.sparkSession.sparkContext.broadcast([tuple(m) for m in models])   # of the sample only
     schema = docs.select(*keep).schema.add("x", ArrayType(DoubleType()))
 
     def measure(batches):
