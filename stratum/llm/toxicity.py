@@ -1,9 +1,10 @@
 r"""Toxicity by class-conditional Kneser-Ney models.
 
 Two bigram models, of toxic and of ordinary labelled documents, with absolute
-discounting: a bigram backs off to its class's word counts, and these to counts
-that both classes share, the number of documents of the whole corpus that hold
-a word.  Backoff weights are shared too, so what is rare in both says nothing.
+discounting: a bigram backs off to its class's continuation counts, the number
+of distinct words (or the text's start) that a word follows there, and these to
+counts that both classes share, the number of documents of the whole corpus
+that hold a word.  Backoff weights are shared too, so what is rare in both says nothing.
 A document's two log-likelihoods are compared by word: the mean log-ratio over
 the document and over its ``TOP`` words of the highest ratio.  A logistic
 function of both, fitted on labelled rows that the counts don't hold, gives the
@@ -65,13 +66,13 @@ def pair_hash(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 class Model(NamedTuple):
     """Sorted keys with counts (toxic, ordinary), and the logistic weights."""
     words: np.ndarray        # word hashes
-    word_n: np.ndarray       # occurrences, by class
+    follows: np.ndarray      # distinct left contexts, by class
     kept: np.ndarray         # discounted bigrams after the word, by class
     leave: np.ndarray        # backoff weight after the word, shared by the classes
     spread: np.ndarray       # documents of the corpus that hold the word
     pairs: np.ndarray        # bigram hashes
     pair_n: np.ndarray       # occurrences, by class
-    total: np.ndarray        # discounted words, by class
+    total: np.ndarray        # discounted left contexts, by class
     discount: float
     back: float              # backoff weight of words, shared by the classes
     documents: float         # sum of the spread over all words
@@ -81,7 +82,7 @@ class Model(NamedTuple):
         """Log-ratio toxic to ordinary of each word given the one before."""
         at, seen = find(self.words, h)
         some = seen[:, None]
-        n = np.where(some, np.maximum(self.word_n[at] - self.discount, 0), 0.0)
+        n = np.where(some, np.maximum(self.follows[at] - self.discount, 0), 0.0)
         kept = np.where(some, self.kept[at], 0.0)
         leave = np.where(seen, self.leave[at], 1.0)
         shared = (np.where(seen, self.spread[at], 0.0) + 1.0) / (self.documents + 1.0)
@@ -193,12 +194,12 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mod
     pairs = storage.stage(pair_counts(rows.where("fits").select("text", "label")), "toxic-pairs")
     n, classes = F.col("toxic") + F.col("ordinary"), ("toxic", "ordinary")
     over = lambda c, d: F.sum(F.greatest(F.col(c) - d, F.lit(0.0)))
-    right = pairs.groupBy("word").agg(*(F.sum(c).alias(c) for c in classes))
+    right = pairs.groupBy("word").agg(*(F.sum(c).alias(c) for c in classes), *(F.count_if(F.col(c) > 0).alias(f"follows_{c}") for c in classes))
     left = pairs.where("left <> 0").groupBy(F.col("left").alias("word")).agg(
         F.sum(n).alias("context"), F.count(F.lit(1)).alias("kinds"), *(over(c, d).alias(f"kept_{c}_{i}") for i, d in enumerate(DISCOUNTS) for c in classes))
     words = storage.stage(right.join(left, "word", "left").na.fill(0), "toxic-words")
-    sums = words.agg(F.sum(n).alias("n"), F.count(F.lit(1)).alias("kinds"),
-                     *(over(c, d).alias(f"{c}_{i}") for i, d in enumerate(DISCOUNTS) for c in classes)).first()
+    sums = words.agg(F.sum(F.col("follows_toxic") + F.col("follows_ordinary")).alias("n"), F.count(F.lit(1)).alias("kinds"),
+                     *(over(f"follows_{c}", d).alias(f"{c}_{i}") for i, d in enumerate(DISCOUNTS) for c in classes)).first()
     documents = spread.agg(F.sum("spread")).first()[0] or 0
     # of at most train_rows documents
     twice = F.greatest(*classes) >= 2
@@ -209,7 +210,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mod
     pad = lambda a, v: np.asarray(a) if len(a) else np.array(v)
     both = lambda t, *c: pad(t[list(c)].to_numpy(np.float32), [[0.0, 0.0]])
     models = [Model(
-        words=pad(table["word"].to_numpy(np.int64), [0]), word_n=both(table, *classes), kept=both(table, *(f"kept_{c}_{i}" for c in classes)),
+        words=pad(table["word"].to_numpy(np.int64), [0]), follows=both(table, *(f"follows_{c}" for c in classes)), kept=both(table, *(f"kept_{c}_{i}" for c in classes)),
         leave=pad(np.where(table["context"] > 0, np.minimum(1, d * table["kinds"] / np.maximum(table["context"], 1)), 1.0), [1.0]),
         spread=pad(table["spread"].to_numpy(np.float32), [0.0]), pairs=pad(key[order], [0]), pair_n=both(frequent.iloc[order], *classes),
         total=np.maximum([sums[f"{c}_{i}"] or 0 for c in classes], 1.0), discount=d, back=min(1.0, d * sums["kinds"] / sums["n"]) if sums["n"] else 1.0,

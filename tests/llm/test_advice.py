@@ -5,6 +5,8 @@ from collections import Counter
 from fractions import Fraction
 
 import corpus_pipeline
+import numpy as np
+import xxhash
 
 from stratum.llm import mixing, storage, toxicity
 from tests.llm.test_operators import ODD, SF
@@ -72,3 +74,12 @@ def test_toxicity_keeps_all_bigrams_of_the_sample(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(4)
     model = toxicity.fit(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
     assert len(model.pairs) == len(model.words) == 270_000 > 1 << 18
+
+
+def test_toxicity_backs_off_to_distinct_left_contexts(spark):
+    ids = learned(60)
+    rows = [(i, f"x{k} old francisco y{k} vile", k % 2) for k, i in enumerate(ids)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    at = lambda w: model.follows[toxicity.find(model.words, np.array([xxhash.xxh64_intdigest(w)], np.uint64).view(np.int64))[0][0]].tolist()
+    assert at(b"francisco") == [1, 1] and at(b"old") == at(b"vile") == [30, 30]
