@@ -67,14 +67,24 @@ def city_reports(pop: DataFrame, hh: DataFrame, emp: DataFrame, with_hhpop_ref:
             "jobs": emp.select(*lead, *JOBS)}
 
 
+def targets_reports(pop: DataFrame, emp: DataFrame) -> dict:
+    """G14 (TARGETS): the three city tables in fixed column order."""
+    lead = ["scenario", "scheme", "rg_id", "county", "city_id", "juris"]
+    of = lambda m: [f"{m}_by", f"{m}_base", f"{m}_gro", f"{m}_target"]
+    return {"people": pop.select(*lead, *of("pop"), *of("hhpop")),
+            "households": pop.select(*lead, *of("hh")),
+            "jobs": emp.select(*lead, *of("emp"))}
+
+
 def year_names(ref_year: int, base_year: int, target_year: int) -> dict:
     """Role column -> year-suffixed name (``pop_gro`` -> ``pop_gro1650``)."""
     yy = lambda y: str(y)[2:4]
     out = {}
     for m in ("pop", "hhpop", "hh", "emp"):
-        out.update({f"{m}_ref": f"{m}{ref_year}", f"{m}_base": f"{m}{base_year}",
+        out.update({f"{m}_ref": f"{m}{ref_year}", f"{m}_by": f"{m}{ref_year}", f"{m}_base": f"{m}{base_year}",
                     f"{m}_target": f"{m}{target_year}",
                     f"{m}_gro": f"{m}_gro{yy(base_year)}{yy(target_year)}",
+                    f"{m}_delta": f"{m}{yy(base_year)}{yy(target_year)}",
                     f"{m}_long": f"{m}{yy(ref_year)}{yy(target_year)}",
                     f"{m}_end": f"{m}{yy(target_year)}"})
     return out

@@ -300,6 +300,17 @@ def unroll(wide: DataFrame, keys, years, totals: DataFrame | None = None,
     return round_to_total(long, keys, totals, method, seed)
 
 
+def unplaced(long: DataFrame, keys, totals: DataFrame) -> DataFrame:
+    """``keys, year`` of the groups of ``unroll``'s rows that miss their total
+    as no geography has a weight."""
+    G = list(keys) + ["year"]
+    value = F.col("value")
+    grp = long.groupBy(*G).agg(strict_sum("value").alias("_sum"), F.max(value).alias("_most"))
+    tk = common_keys(grp, totals, G)
+    return (grp.join(totals.select(*tk, "total"), tk, "inner")
+               .where((half_even(F.col("total")) != F.col("_sum")) & (F.col("_most") <= 0)).select(*G))
+
+
 def assemble(long: DataFrame, keys, indicators, how: str = "inner", geo_name: str = GEO) -> DataFrame:
     """H6/E5: indicators side by side as ``total_<indicator>`` columns.
 

@@ -67,7 +67,15 @@ def _series(pop: DataFrame, hh: DataFrame, emp: DataFrame, cfg: HierConfig, tota
     wide = S.fit_series(anchors, SERIES_KEYS, (y0, y1), cfg.years_to_fit, totals, "interior",
                         cfg.round_interpolated)
     long = S.unroll(wide, SERIES_KEYS, cfg.years_to_fit, totals, dict(cfg.relabel), cfg.rounding, cfg.seed)
-    return {"series": wide, "unrolled": S.assemble(long, SERIES_KEYS, cfg.indicators, "inner", "city_id")}
+    return {"series": wide, "unrolled": S.assemble(long, SERIES_KEYS, cfg.indicators, "inner", "city_id"),
+            "unplaced": _unplaced(long, totals, "unrolled")}
+
+
+def _unplaced(long: DataFrame, totals, table: str) -> DataFrame:
+    """Diagnostics of years whose total cannot be handed out."""
+    keys = SERIES_KEYS + ["year"]
+    groups = long.select(*keys).limit(0) if totals is None else S.unplaced(long, SERIES_KEYS, totals)
+    return R.diagnostics(groups, table, keys, {"zero weight (total not placed)": F.lit(True)})
 
 
 def run_hier(inp: HierInputs, cfg: HierConfig = HierConfig()) -> dict:
@@ -80,7 +88,7 @@ def run_hier(inp: HierInputs, cfg: HierConfig = HierConfig()) -> dict:
     out = {"rg_summary": R.group_summary(pop, pop, emp), **R.city_reports(pop, pop, emp),
            "rg_levels": raked["rg"], "county_levels": raked["county"]}
     out.update(_series(pop, pop, emp, cfg, inp.totals))
-    out["diagnostics"] = hier_diagnostics(pop, emp, out["series"])
+    out["diagnostics"] = hier_diagnostics(pop, emp, out["series"]).unionByName(out.pop("unplaced"))
     return out
 
 
@@ -118,7 +126,7 @@ def run_factor(inp: HierInputs, cfg: HierConfig = HierConfig(), variant: str = "
         R.diagnostics(hh, "households", keys, {
             "households x/0 (pph = 0)": c("hh_target").isNull() & c("pph").isNotNull() & (c("pph") == 0),
             "household control: no positive growth": c("hh_factor").isNull()})).unionByName(
-        _series_diagnostics(out["series"]))
+        _series_diagnostics(out["series"])).unionByName(out.pop("unplaced"))
     return out
 
 
@@ -130,7 +138,8 @@ def _series_diagnostics(series: DataFrame) -> DataFrame:
 
 def run_targets(targets: DataFrame, totals: DataFrame | None, cfg: TargetsConfig = TargetsConfig(),
                 scenarios=("default",), schemes=("default",), series: bool = True, annual: bool = True) -> dict:
-    """TARGETS: end points from given targets, RG summary, anchored series
+    """TARGETS: end points from given targets, RG summary, city reports with
+    the targets' own names (growth they don't give is target less base), anchored series
     (fitted years and every year), full-outer assembly, regional roll-up.
 
     ``scenario`` and ``scheme`` are keys: targets that lack them hold for each
@@ -142,6 +151,11 @@ def run_targets(targets: DataFrame, totals: DataFrame | None, cfg: TargetsConfig
         if key not in df.columns:
             names = [names] if isinstance(names, str) else list(names)
             df = df.withColumn(key, F.explode(F.array(*[F.lit(n) for n in names])))
+    for m in ("pop", "emp"):
+        if f"{m}_gro" not in df.columns:
+            df = df.withColumn(f"{m}_gro", F.col(f"{m}_target") - F.col(f"{m}_base"))
+    if "juris" not in df.columns:
+        df = df.withColumn("juris", F.lit(None).cast("string"))
     pop = C.households_from_targets(df)
     summary = R.targets_summary(pop, df)
     a0, a1, a2 = cfg.anchors
@@ -151,7 +165,7 @@ def run_targets(targets: DataFrame, totals: DataFrame | None, cfg: TargetsConfig
         "emp": (df, {a0: "emp_by", a1: "emp_base", a2: "emp_target"}),
         "pop": (df, {a0: "pop_by", a1: "pop_base", a2: "pop_target"}),
     }, RUN, "city_id")
-    out = {"rg_summary": summary, "end_points": pop,
+    out = {"rg_summary": summary, "end_points": pop, **R.targets_reports(pop, df),
            "diagnostics": R.diagnostics(pop, "end_points", RUN + ["county", "rg_id", "city_id"], {
                "households x/0 (pph = 0, hhpop != 0)": F.col("hh_target").isNull()})}
     if not series:
@@ -161,6 +175,7 @@ def run_targets(targets: DataFrame, totals: DataFrame | None, cfg: TargetsConfig
                             cfg.round_interpolated)
         long = S.unroll(wide, SERIES_KEYS, years, totals, None, cfg.rounding, cfg.seed)
         out[f"{name}series"] = wide
+        out["diagnostics"] = out["diagnostics"].unionByName(_unplaced(long, totals, f"{name}unrolled"))
         out[f"{name}unrolled"] = S.assemble(long, SERIES_KEYS, cfg.indicators, "outer", "subreg_id")
     if annual:
         out["unrolled_regional"] = S.regional_rollup(out["annual_unrolled"], RUN, cfg.indicators)

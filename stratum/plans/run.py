@@ -21,7 +21,7 @@ TABLES = {
     "hier": ("rg_summary", "people", "households", "jobs", "series", "unrolled", "diagnostics"),
     "factor_stock": ("rg_summary", "people", "households", "jobs", "series", "unrolled", "diagnostics"),
     "factor_growth": ("rg_summary", "people", "households", "jobs", "series", "unrolled", "diagnostics"),
-    "targets": ("rg_summary", "series", "unrolled", "annual_unrolled", "unrolled_regional", "diagnostics"),
+    "targets": ("rg_summary", "people", "households", "jobs", "series", "unrolled", "annual_unrolled", "unrolled_regional", "diagnostics"),
 }
 
 
