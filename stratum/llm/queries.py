@@ -1,7 +1,7 @@
 """Registered queries of the operators in this package.
 
-None has plain SQL for its rows; ``tests/llm`` holds each against a brute-force
-version instead.
+Only ``op11_lexical_search`` has plain SQL for its rows; ``tests/llm`` holds each
+of the others against a brute-force version instead.
 """
 
 from __future__ import annotations
@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import archive, bpe, mixing, ngram_join, pii, quality, quartile_digest, storage, token_counts, token_shards, toxicity
+from stratum.llm import (alignment, archive, bpe, language_id, lexical_search, mixing, ngram_join, pii, quality, quartile_digest, storage,
+                         token_counts, token_shards, toxicity)
 from stratum.llm import text as T
 
 ARC_BYTES = 8 << 20
@@ -106,8 +107,47 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of each benchmark item by Block-Max MaxScore."""
+    return lexical_search.ranked_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents' tokens by two tokenizers, aligned by diagonal run skipping."""
+    return alignment.aligned_tokens(_table(spark, sf_dir, "documents"))
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages by cross-parsing entropy."""
+    return language_id.identify_languages(_table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM documents WHERE text IS NOT NULL),
+s AS (SELECT count(*) AS n_docs, CAST(sum(len(t)) AS BIGINT) AS n_terms FROM d WHERE len(t) > 0),
+p AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM d) GROUP BY r, term),
+b AS (
+  SELECT row_number() OVER () AS q, item_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM benchmark WHERE text IS NOT NULL),
+q AS (SELECT q, item_id, term, count(*) AS k FROM (SELECT q, item_id, unnest(t) AS term FROM b) GROUP BY q, item_id, term),
+w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM p, s WHERE term IN (SELECT term FROM q) GROUP BY term, n_docs),
+m AS (SELECT r, doc_id, 25 + (75 * len(t) * n_docs) // n_terms AS m FROM d, s WHERE len(t) > 0),
+f AS (
+  SELECT q, item_id, doc_id, r, CAST(sum(k * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM q JOIN w USING (term) JOIN p USING (term) JOIN m USING (r) GROUP BY q, item_id, doc_id, r),
+o AS (SELECT *, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM f WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM o WHERE rank <= 10
+"""
+
+
 QUERIES = (op1_token_shards, op2_ngram_join, op3_quartile_digest, op4_arc_to_warc, op5_toxicity, op6_pii, op7_token_counts,
-           op8_quality, op9_bpe, op10_mixing)
+           op8_quality, op9_bpe, op10_mixing, op11_lexical_search, op12_alignment, op13_language_id)
 
 
 def queries() -> dict:
@@ -115,4 +155,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op11_lexical_search": OP11_SQL}
