@@ -19,6 +19,7 @@ from stratum.operators import control as C
 from stratum.operators import report as R
 from stratum.operators import series as S
 from stratum.session import materialize
+from stratum.sources.publish import report_roles
 
 RUN = ["scenario", "scheme"]
 SERIES_KEYS = RUN + ["indicator"]
@@ -89,7 +90,7 @@ def run_hier(inp: HierInputs, cfg: HierConfig = HierConfig()) -> dict:
            "rg_levels": raked["rg"], "county_levels": raked["county"]}
     out.update(_series(pop, pop, emp, cfg, inp.totals))
     out["diagnostics"] = hier_diagnostics(pop, emp, out["series"]).unionByName(out.pop("unplaced"))
-    return out
+    return report_roles(out, cfg.reference_year, cfg.base_year, cfg.target_year)
 
 
 def hier_diagnostics(pop: DataFrame, emp: DataFrame, series: DataFrame) -> DataFrame:
@@ -127,7 +128,7 @@ def run_factor(inp: HierInputs, cfg: HierConfig = HierConfig(), variant: str = "
             "households x/0 (pph = 0)": c("hh_target").isNull() & c("pph").isNotNull() & (c("pph") == 0),
             "household control: no positive growth": c("hh_factor").isNull()})).unionByName(
         _series_diagnostics(out["series"])).unionByName(out.pop("unplaced"))
-    return out
+    return report_roles(out, cfg.reference_year, cfg.base_year, cfg.target_year)
 
 
 def _series_diagnostics(series: DataFrame) -> DataFrame:
@@ -137,16 +138,19 @@ def _series_diagnostics(series: DataFrame) -> DataFrame:
 
 
 def run_targets(targets: DataFrame, totals: DataFrame | None, cfg: TargetsConfig = TargetsConfig(),
-                scenarios=("default",), schemes=("default",), series: bool = True, annual: bool = True) -> dict:
+                scenarios=("default",), schemes=("default",), series: bool = True, annual: bool = True,
+                crosswalk: DataFrame | None = None) -> dict:
     """TARGETS: end points from given targets, RG summary, city reports with
     the targets' own names (growth they don't give is target less base), anchored series
     (fitted years and every year), full-outer assembly, regional roll-up.
 
     ``scenario`` and ``scheme`` are keys: targets that lack them hold for each
-    of ``scenarios`` and ``schemes``, all in one job.  ``series=False`` stops
+    of ``scenarios`` and ``schemes``, all in one job.  With ``crosswalk``
+    (``scheme, city_id, rg_id``) its schemes give each area its group, one after the
+    other, in place of the targets' own.  ``series=False`` stops
     after the end points and the summary, ``annual=False`` leaves out the
     yearly series and the roll-up."""
-    df = targets
+    df = targets if crosswalk is None else A.attach_group(targets, crosswalk)
     for key, names in (("scenario", scenarios), ("scheme", schemes)):
         if key not in df.columns:
             names = [names] if isinstance(names, str) else list(names)
@@ -168,6 +172,7 @@ def run_targets(targets: DataFrame, totals: DataFrame | None, cfg: TargetsConfig
     out = {"rg_summary": summary, "end_points": pop, **R.targets_reports(pop, df),
            "diagnostics": R.diagnostics(pop, "end_points", RUN + ["county", "rg_id", "city_id"], {
                "households x/0 (pph = 0, hhpop != 0)": F.col("hh_target").isNull()})}
+    out = report_roles(out, cfg.ref_base_year, cfg.base_year, cfg.target_year)
     if not series:
         return out
     for name, years in (("", cfg.years_to_fit), ("annual_", cfg.annual_years))[:1 + annual]:
