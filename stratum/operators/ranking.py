@@ -6,7 +6,7 @@ job.  Here rows are range-partitioned on ``(group, order)`` (Spark samples
 the keys, so a hot group is cut across many partitions), sorted inside each
 partition and numbered with ``monotonically_increasing_id`` (partition index
 in the high bits, row index in the low bits).  The numbered rows are
-checkpointed so every later read sees the same numbers, then a small table of
+written once so every later read sees the same numbers, then a small table of
 per-(group, partition) counts gives each block its offset.
 """
 
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratum.session import ensure_checkpoint_dir
+from stratum.session import materialize
 
 
 def rank_in_groups(df: DataFrame, group_cols, order_cols, running: dict | None = None,
@@ -30,11 +30,10 @@ def rank_in_groups(df: DataFrame, group_cols, order_cols, running: dict | None =
     group_cols = list(group_cols)
     running = running or {}
     totals = totals or {}
-    ensure_checkpoint_dir(df.sparkSession)
     ordered = (df.repartitionByRange(*group_cols, *order_cols)
                  .sortWithinPartitions(*group_cols, *order_cols)
                  .withColumn("_pos", F.monotonically_increasing_id()))
-    ordered = ordered.checkpoint(eager=True).withColumn("_part", F.shiftright("_pos", 33))
+    ordered = materialize(ordered).withColumn("_part", F.shiftright("_pos", 33))
     block_keys = group_cols + ["_part"]
     aggs = [F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n")]
     aggs += [F.coalesce(F.sum(c), F.lit(0.0)).alias(f"_blk_{o}") for o, c in running.items()]

@@ -99,6 +99,75 @@ def interpolate(anchors: DataFrame, keys, anchor_years, years_to_fit) -> DataFra
     return g.select(*keys, GEO, *fitted)
 
 
+def anchor_rows(parts: dict, keys, geo: str) -> DataFrame:
+    """As ``stack_anchors``, in rows: ``(keys, indicator, geo_id, year, value)``."""
+    wide = stack_anchors(parts, keys, geo)
+    years = [int(c[2:]) for c in wide.columns if c.startswith("a_")]
+    rows = F.array(*[F.struct(F.lit(y).alias("year"), F.col(_a(y)).alias("value")) for y in years])
+    return wide.select(*keys, "indicator", GEO, F.inline(rows))
+
+
+def interpolate_rows(anchors: DataFrame, keys, years) -> DataFrame:
+    """H1/H2 with anchors as data: ``(keys, geo_id, year, value)`` rows give the
+    fitted rows, so anchor years may differ by scenario, indicator or geography.
+
+    Rows of one anchor are summed (one missing value makes it missing).  Each
+    non-missing anchor and its ``lead`` are a segment that gives the years to fit
+    from it to before the next: the first one those before it as well, the last
+    one those after it, which are NULL.  The window holds one geography's
+    anchors.  ``years`` are the years to fit, or a table of them by any of the
+    ``keys`` (one row for each year: bounded by the run's settings).  Fewer than
+    two anchors give a NULL series; a geography without any, too.
+    """
+    keys = list(keys)
+    own = anchors.groupBy(*keys, GEO, "year").agg(strict_sum("value").alias("value"))
+    at = Window.partitionBy(*keys, GEO).orderBy(F.col("value").isNull(), "year")
+    all_of = Window.partitionBy(*keys, GEO)
+    valid = F.col("value").isNotNull()
+    seg = (own.withColumn("_n", F.count("value").over(all_of)).withColumn("_place", F.row_number().over(at))
+              .withColumn("_next", F.lead(F.when(valid, F.col("year"))).over(at)).withColumn("_to", F.lead("value").over(at))
+              .where(valid | (F.col("_place") == 1)))
+    if isinstance(years, DataFrame):
+        by = common_keys(seg, years, keys)
+        fit = years.groupBy(*by).agg(F.sort_array(F.collect_set(F.col("year").cast("int"))).alias("_years"))
+        seg = seg.join(bounded(fit), by) if by else seg.withColumn("_years", F.lit(sorted({r["year"] for r in years.select("year").distinct().collect()})))
+    else:
+        seg = seg.withColumn("_years", F.array(*[F.lit(int(y)) for y in years]))
+    start, after = F.col("year"), F.col("_next")
+    first = (F.col("_place") == 1) | (F.col("_n") == 0)
+    mine = F.filter("_years", lambda y: (first | (y >= start)) & (after.isNull() | (y < after)))
+    y = F.col("_year")
+    fitted = (F.when((F.col("_n") < 2) | (y < start), F.lit(None).cast("double")).when(y == start, F.col("value"))
+               .otherwise(F.col("value") + (F.col("_to") - F.col("value")) * ((y.cast("double") - start) / (after - start))))
+    return seg.withColumn("_year", F.explode(mine)).select(*keys, GEO, y.alias("year"), fitted.alias("value"))
+
+
+def adjust_rows(long: DataFrame, keys, totals: DataFrame | None, mode: str = "after_first") -> DataFrame:
+    """H3 on rows: as ``adjust_to_totals``, where the fitted years of each group
+    are those it has rows of.  The difference to the year before is taken in the
+    partitioning that ``interpolate_rows`` leaves."""
+    if totals is None:
+        return long
+    keys = list(keys)
+    before = Window.partitionBy(*keys, GEO).orderBy("year")
+    df = long.withColumn("_dif", F.col("value") - F.lag("value").over(before))
+    span = df.groupBy(*keys).agg(F.min("year").alias("_first"), F.max("year").alias("_last"))
+    sums = df.groupBy(*keys, "year").agg(strict_sum("value").alias("_s"), strict_sum("_dif").alias("_d"))
+    tk = common_keys(sums, totals, [*keys, "year"])
+    # a row for each group and year: bounded by the run settings
+    sums = sums.join(bounded(span), keys).join(totals.select(*tk, "total"), tk, "left")
+    moved_year = F.col("year") > F.col("_first")
+    gap = F.col("total") - F.col("_s")
+    if mode == "interior":
+        moved_year = moved_year & (F.col("year") < F.col("_last"))
+        gap = F.when(F.col("total").isNull() & moved_year, F.raise_error(F.concat(F.lit("no regional total for year "), F.col("year").cast("string")))).otherwise(gap)
+    sums = sums.select(*keys, "year", F.when(moved_year, gap).alias("_g"), "_d")
+    g = F.col("_g")
+    moved = clip0(F.col("value") + ratio(F.col("_dif"), F.col("_d")) * g)
+    return (df.join(bounded(sums), [*keys, "year"], "left")
+              .select(*keys, GEO, "year", F.when(g.isNull() | (g == 0), F.col("value")).otherwise(moved).alias("value")))
+
+
 def totals_wide(totals: DataFrame, years) -> DataFrame:
     """Long totals ``(scenario, indicator, year, total)`` -> one row per
     ``(scenario, indicator)`` with ``t_<year>`` columns."""
@@ -172,43 +241,52 @@ def fit_series(anchors: DataFrame, keys, anchor_years, years_to_fit, totals=None
     return round_wide(wide, years_to_fit) if round_values else wide
 
 
+def draw_position(seed: int, G, draw: Column, total: Column) -> Column:
+    """The position in ``[0, total)`` of a draw: 52 bits of a digest of (seed,
+    group, draw number), which any engine that has MD5 can repeat."""
+    digest = F.md5(F.concat_ws("|", F.lit(seed), *[F.col(c) for c in G], draw).cast("binary"))
+    u = F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") / F.lit(float(2 ** 52))
+    return F.floor(u * total).cast("double")
+
+
 def _draw_counts(need: DataFrame, G, seed: int) -> DataFrame:
     """H4b helper: ``|d|`` draws with replacement, probability ~ weight.
 
-    Each draw is a uniform number from a hash of (seed, group, draw index),
-    so the result does not depend on partitioning.  Geographies are laid out
-    on ``[0, W)`` by running sums of their weights (in id order); a draw at
-    ``x`` hits the geography with ``lo <= x < hi``.  The range lookup is an
-    equi-join on ``(group, bucket)`` plus the range filter; buckets are
-    ``W / n`` wide, so a bucket holds about two intervals.
+    Geographies are laid out on ``[0, W)`` by running sums of their weights (in
+    id order); a draw at ``x`` hits the geography with ``lo <= x < hi``.  Starts
+    of intervals and draws are range-partitioned together on (group, position)
+    and merged in order: a draw's geography is the last start before it in its
+    partition, or else the last of the nearest partition before that has one of
+    the group.  So a group, whatever its number of draws or geographies, is cut
+    across partitions, a dominant geography is one row among its draws, and
+    neither side is repeated or looked up by range.
     """
-    ranked = rank_in_groups(need, G, [F.col(GEO)], running={"_lo": F.col("_w")},
-                            totals={"_npos": F.when(F.col("_w") > 0, 1).otherwise(0)})
-    ranked = ranked.withColumn("_bw", F.greatest(F.lit(1.0), F.floor(F.col("_wtot") / F.col("_npos"))))
-    geo = (ranked.where(F.col("_w") > 0)
-                 .withColumn("_hi", F.col("_lo") + F.col("_w"))
-                 .withColumn("_bucket", F.explode(F.sequence(
-                     F.floor(F.col("_lo") / F.col("_bw")).cast("long"),
-                     F.floor((F.col("_hi") - 1) / F.col("_bw")).cast("long")))))
-    groups = ranked.select(*G, "_d", "_wtot", "_bw").dropDuplicates(G)
+    ranked = rank_in_groups(need, G, [F.col(GEO)], running={"_lo": F.col("_w")})
+    starts = ranked.where(F.col("_w") > 0).select(*G, F.col("_lo").alias("_at"), F.col(GEO).alias("_geo"), F.lit(0).alias("_draws"))
+    groups = need.groupBy(*G).agg(F.max("_d").alias("_d"), F.max("_wtot").alias("_wtot"))
     # draws are made in chunks spread over tasks, so a large residual is not
     # generated (or broadcast) by one task
     n = F.abs(F.col("_d")).cast("long")
     chunks = (groups.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"),
                                                                F.floor((n - 1) / DRAW_CHUNK).cast("long"))))
                     .repartition(*G, "_chunk"))
-    draws = (chunks.withColumn("_draw", F.explode(F.sequence(
-                 F.col("_chunk") * DRAW_CHUNK + 1, F.least(n, (F.col("_chunk") + 1) * DRAW_CHUNK))))
-                   .withColumn("_u", F.shiftrightunsigned(
-                       F.xxhash64(F.lit(seed), *[F.col(c) for c in G], F.col("_draw")), 11)
-                       / F.lit(float(2 ** 53)))
-                   .withColumn("_x", F.floor(F.col("_u") * F.col("_wtot")))
-                   .withColumn("_bucket", F.floor(F.col("_x") / F.col("_bw")).cast("long"))
-                   .select(*G, "_bucket", "_x"))
-    hits = (draws.hint("merge").join(geo.select(*G, "_bucket", GEO, "_lo", "_hi"), G + ["_bucket"], "inner")
-                 .where((F.col("_x") >= F.col("_lo")) & (F.col("_x") < F.col("_hi")))
-                 .groupBy(*G, GEO).agg(F.count(F.lit(1)).alias("_hits")))
-    return hits
+    draws = chunks.withColumn("_draw", F.explode(F.sequence(
+        F.col("_chunk") * DRAW_CHUNK + 1, F.least(n, (F.col("_chunk") + 1) * DRAW_CHUNK))))
+    draws = (draws.select(*G, draw_position(seed, G, F.col("_draw"), F.col("_wtot")).alias("_at"))
+                  .groupBy(*G, "_at").agg(F.count(F.lit(1)).cast("int").alias("_draws"))
+                  .select(*G, "_at", F.lit(None).cast(need.schema[GEO].dataType).alias("_geo"), "_draws"))
+    order = [*G, "_at", "_draws"]                        # a start comes before the draws at its place
+    merged = starts.unionByName(draws).repartitionByRange(*order).sortWithinPartitions(*order)
+    merged = materialize(merged.withColumn("_part", F.spark_partition_id()))
+    inside = Window.partitionBy("_part", *G).orderBy("_at", "_draws").rowsBetween(Window.unboundedPreceding, 0)
+    found = (merged.withColumn("_geo", F.last("_geo", ignorenulls=True).over(inside))
+                   .where(F.col("_draws") > 0).groupBy("_part", *G, "_geo").agg(F.sum("_draws").alias("_hits")))
+    # a row for each group and partition: the last start there, carried on to later partitions
+    before = Window.partitionBy(*G).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (merged.groupBy("_part", *G).agg(F.max_by("_geo", F.when(F.col("_geo").isNotNull(), F.col("_at"))).alias("_own"))
+                     .withColumn("_carry", F.last("_own", ignorenulls=True).over(before)).select("_part", *G, "_carry"))
+    return (found.join(carried, ["_part", *G]).withColumn(GEO, F.coalesce("_geo", "_carry"))
+                 .groupBy(*G, GEO).agg(F.sum("_hits").alias("_hits")))
 
 
 def _largest_remainder_extra(df: DataFrame, G, grp: DataFrame) -> DataFrame:

@@ -175,14 +175,29 @@ def run_targets(targets: DataFrame, totals: DataFrame | None, cfg: TargetsConfig
     out = report_roles(out, cfg.ref_base_year, cfg.base_year, cfg.target_year)
     if not series:
         return out
-    for name, years in (("", cfg.years_to_fit), ("annual_", cfg.annual_years))[:1 + annual]:
-        wide = S.fit_series(anchors, SERIES_KEYS, cfg.anchors, years, totals, "after_first",
-                            cfg.round_interpolated)
-        long = S.unroll(wide, SERIES_KEYS, years, totals, None, cfg.rounding, cfg.seed)
-        out[f"{name}series"] = wide
-        out["diagnostics"] = out["diagnostics"].unionByName(_unplaced(long, totals, f"{name}unrolled"))
-        out[f"{name}unrolled"] = S.assemble(long, SERIES_KEYS, cfg.indicators, "outer", "subreg_id")
+    fit = tuple(cfg.years_to_fit)
+    # every anchor is a fitted year: a fitted year's share of the growth since the
+    # fitted year before it is its share of the growth since the year before it,
+    # so the fitted series is the yearly one at its years
+    years = cfg.annual_years if annual and set(cfg.anchors) <= set(fit) <= set(cfg.annual_years) and fit[0] == cfg.annual_years[0] else fit
+    wide = S.fit_series(anchors, SERIES_KEYS, cfg.anchors, years, totals, "after_first", cfg.round_interpolated)
+    # one long series, ranked once: both tables, the roll-up and the diagnostics are filters of it
+    long = S.unroll(wide, SERIES_KEYS, years, totals, None, cfg.rounding, cfg.seed)
+    long = materialize(long.withColumn("published", F.col("year").isin(*fit)))
+    out["series"] = wide.select(*SERIES_KEYS, S.GEO, *[f"v_{y}" for y in fit])
+    published = long.where("published").drop("published")
+    out["unrolled"] = S.assemble(published, SERIES_KEYS, cfg.indicators, "outer", "subreg_id")
+    out["diagnostics"] = out["diagnostics"].unionByName(_unplaced(published, totals, "unrolled"))
     if annual:
+        yearly = long.drop("published")
+        if years == fit and fit != tuple(cfg.annual_years):
+            more = S.fit_series(anchors, SERIES_KEYS, cfg.anchors, cfg.annual_years, totals, "after_first", cfg.round_interpolated)
+            yearly = materialize(S.unroll(more, SERIES_KEYS, cfg.annual_years, totals, None, cfg.rounding, cfg.seed))
+            out["annual_series"] = more
+        else:
+            out["annual_series"] = wide
+        out["diagnostics"] = out["diagnostics"].unionByName(_unplaced(yearly, totals, "annual_unrolled"))
+        out["annual_unrolled"] = S.assemble(yearly, SERIES_KEYS, cfg.indicators, "outer", "subreg_id")
         out["unrolled_regional"] = S.regional_rollup(out["annual_unrolled"], RUN, cfg.indicators)
     out["diagnostics"] = out["diagnostics"].unionByName(_series_diagnostics(out["series"]))
     return out

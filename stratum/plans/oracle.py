@@ -255,8 +255,9 @@ def _vals(years) -> str:
 
 
 def series_ctes(anc: str, years, totals: str | None, adjust: str | None, relabel: dict | None,
-                rounding: bool) -> list[str]:
-    """Long-form series: anchors ``anc(scenario, scheme, indicator, geo_id, year, value)``."""
+                rounding: bool, seed: int | None = None) -> list[str]:
+    """Long-form series: anchors ``anc(scenario, scheme, indicator, geo_id, year, value)``.
+    With ``seed`` the residuals are drawn, else handed out by largest remainders."""
     K = "scenario, scheme, indicator, geo_id"
     ctes = [
         f"""s_g AS (SELECT {K}, year, {ssum('value')} AS value FROM {anc} GROUP BY {K}, year)""",
@@ -316,6 +317,20 @@ def series_ctes(anc: str, years, totals: str | None, adjust: str | None, relabel
     THEN 1.0 ELSE 0.0 END) ELSE value END AS value FROM s_rk)""",
             ]
             cur = "s_h4"
+        if totals and seed is not None:
+            own = "scenario, scheme, indicator, year"
+            on = " AND ".join(f"g.{k} = x.{k}" for k in own.split(", "))
+            ctes += [
+                f"""s_lo AS (SELECT {K}, year, sum(wt) OVER (PARTITION BY {own} ORDER BY geo_id) - wt AS lo FROM s_q WHERE need AND wt > 0)""",
+                f"""s_dr AS (SELECT {own}, CAST(floor(CAST(('0x' || substr(md5(concat_ws('|', {seed}, {own}, n)), 1, 13)) AS BIGINT) / 4503599627370496.0{D} * wtot) AS DOUBLE) AS x
+  FROM (SELECT *, unnest(range(1, CAST(abs(d) AS BIGINT) + 1)) AS n FROM s_gt WHERE d <> 0 AND wtot > 0))""",
+                f"""s_hit AS (SELECT {", ".join(f"x.{k}" for k in own.split(", "))}, g.geo_id, count(*) AS hits
+  FROM s_dr x ASOF JOIN s_lo g ON {on} AND x.x >= g.lo GROUP BY ALL)""",
+                f"""s_h4b AS (SELECT g.scenario, g.scheme, g.indicator, g.geo_id, g.year,
+    CASE WHEN g.need THEN g.value + sign(g.d) * coalesce(x.hits, 0) ELSE g.value END AS value
+  FROM s_q g LEFT JOIN s_hit x ON {on} AND g.geo_id = x.geo_id)""",
+            ]
+            cur = "s_h4b"
     ctes.append(f"s_out AS (SELECT * FROM {cur})")
     return ctes
 
@@ -518,6 +533,8 @@ def oracle_sql() -> dict:
                                         SERIES_OUT)
     q["q22_round_to_total"] = with_(ha + series_ctes("anc", HIER_YEARS, "totals", "interior", None, True),
                                     SERIES_OUT)
+    q["q23_seeded_draw"] = with_(ha + series_ctes("anc", HIER_YEARS, "totals", "interior", {BASE_Y: BASE_Y + 1}, True, seed=42),
+                                 SERIES_OUT)
     q["q24_unroll"] = with_(ha + series_ctes("anc", HIER_YEARS, "totals", "interior", {BASE_Y: BASE_Y + 1}, True),
                             SERIES_OUT)
     q["q25_assemble_inner"] = with_(ha + series_ctes("anc", HIER_YEARS, "totals", "interior",
@@ -562,6 +579,34 @@ def oracle_sql() -> dict:
     q["q34_factor_growth_summary"] = with_(fc + [pos_ctl("hh_growth", "pc_growth")],
         f"SELECT p.scenario, p.scheme, p.county, p.rg_id, {grown}, {ends} FROM fp3 p JOIN emp_a e {on('e')} "
         f"JOIN pc_growth h {on('h')} GROUP BY p.scenario, p.scheme, p.county, p.rg_id")
+    lead = "'base' AS scenario, 'existing' AS scheme, rg_id, county, city_id, juris"
+    for name, ms in (("q35_targets_people", ("pop", "hhpop")), ("q36_targets_households", ("hh",)), ("q37_targets_jobs", ("emp",))):
+        q[name] = with_(tg, f"SELECT {lead}, " + ", ".join(f"round({m}_{r}, 6) AS {m}_{r}" for m in ms for r in ("by", "base", "gro", "target")) + " FROM tg4")
+    q["q38_targets_schemes"] = with_(b2 + targets_ctes(), "SELECT 'base' AS scenario, x.scheme, t.county, x.rg_id, " + ", ".join(
+        f"round({ssum(e)}, 6) AS {k}" for e, k in (
+            ("pop_target - pop_base", "pop_delta"), ("pop_target", "pop_end"), ("hh_target - hh_base", "hh_delta"),
+            ("hh_target", "hh_end"), ("emp_target - emp_base", "emp_delta"), ("emp_target", "emp_end")))
+        + " FROM tg4 t JOIN xwalk x ON t.city_id = x.city_id GROUP BY x.scheme, t.county, x.rg_id")
+    ANCHORS = {"base": (1995, 1996, 2000), "late": (1994, 1997, 1998)}
+    q["q39_anchor_rows"] = " UNION ALL ".join("SELECT * FROM (" + with_([f"""anc AS (
+  SELECT '{s}' AS scenario, 'existing' AS scheme, 'pop' AS indicator, o_custkey AS geo_id, CAST(year(o_orderdate) AS INTEGER) AS year,
+    sum(o_totalprice) / 100.0 AS value FROM orders WHERE year(o_orderdate) IN ({', '.join(map(str, ys))}) GROUP BY ALL)"""]
+        + series_ctes("anc", tuple(range(min(ys) - 1, max(ys) + 1)), None, None, None, False), SERIES_OUT) + ")" for s, ys in ANCHORS.items())
+    q["q40_series_without_totals"] = with_(ha + series_ctes("anc", HIER_YEARS, None, None, {BASE_Y: BASE_Y + 1}, True),
+                                           assemble_sql("s_out", ("hhpop", "hh", "emp"), "inner", "city_id"))
+    q["q41_factor_people"] = with_(fc + [names], "SELECT c.scenario, c.scheme, c.rg_id, c.county, c.city_id, n.juris, " + ", ".join(
+        r6(f"c.{x}", x) for x in ("pop_ref", "pop_base", "pop_gro", "pop_target", "hhpop_ref", "hhpop_base", "hhpop_gro", "hhpop_target"))
+        + " FROM fp3 c JOIN nm n ON c.city_id = n.city_id")
+    one = lambda m, src: (f"(SELECT scenario, scheme, county, rg_id, {ssum(f'{m}_target - {m}_ref')} AS {m}_long, {ssum(f'{m}_target - {m}_base')} AS {m}_gro, "
+                          f"{ssum(f'{m}_target')} AS {m}_end FROM {src} GROUP BY scenario, scheme, county, rg_id)")
+    stock = "(SELECT h.scenario, h.scheme, p.county, p.rg_id, h.hh_target, p.hh_ref, p.hh_base FROM pc_stock h JOIN fp3 p ON h.scenario = p.scenario AND h.scheme = p.scheme AND h.city_id = p.city_id)"
+    q["q42_factor_stock_summary"] = with_(fc + [pos_ctl("hh_stock", "pc_stock")], "SELECT scenario, scheme, county, rg_id, " + ", ".join(
+        r6(f"{m}_{k}") for m in ("pop", "hh", "emp") for k in ("long", "gro", "end"))
+        + f" FROM {one('pop', 'fp3')} JOIN {one('hh', stock)} USING (scenario, scheme, county, rg_id) JOIN {one('emp', 'emp_a')} USING (scenario, scheme, county, rg_id)")
+    ganc = fanc.replace("hh_stock", "hh_growth").replace("pc_stock", "pc_growth")
+    q["q43_factor_growth_unrolled"] = with_(fc + [pos_ctl("hh_growth", "pc_growth"), ganc]
+                                            + series_ctes("anc", HIER_YEARS, "totals", "interior", {BASE_Y: BASE_Y + 1}, True),
+                                            assemble_sql("s_out", ("hhpop", "hh", "emp"), "inner", "city_id"))
     b22 = base_ctes(scenarios=("base", "flat"), schemes=("existing", "proposed"))
     q["q30_scenarios"] = with_(b22 + al + rake_ctes() + [hier_anchor_cte()]
                                + series_ctes("anc", HIER_YEARS, "totals", "interior", {BASE_Y: BASE_Y + 1}, True),

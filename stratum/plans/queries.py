@@ -348,6 +348,57 @@ def q34_factor_growth_summary(spark, sf):
     return publish(M.run_factor(factor_inputs(spark, sf), HIER, "growth")["rg_summary"])
 
 
+def _targets_tables(spark, sf):
+    return M.run_targets(tpch.targets(tpch.customer_base(spark, sf)), None, TGT, "base", "existing", series=False)
+
+
+def q35_targets_people(spark, sf):
+    """TARGETS city table of people, by the targets' own names."""
+    return publish(_targets_tables(spark, sf)["people"])
+
+
+def q36_targets_households(spark, sf):
+    return publish(_targets_tables(spark, sf)["households"])
+
+
+def q37_targets_jobs(spark, sf):
+    return publish(_targets_tables(spark, sf)["jobs"])
+
+
+def q38_targets_schemes(spark, sf):
+    """TARGETS summary under two schemes: the crosswalk gives each area its group."""
+    base = materialize(tpch.customer_base(spark, sf))
+    return publish(M.run_targets(tpch.targets(base), None, TGT, "base", series=False,
+                                 crosswalk=tpch.crosswalk(base, ("existing", "proposed")))["rg_summary"])
+
+
+def q39_anchor_rows(spark, sf):
+    """Interpolation with anchors as data: two scenarios with anchor years of
+    their own, and customers without orders in some of them."""
+    rows, years = tpch.order_anchors(spark, sf)
+    return _long_out(S.interpolate_rows(rows, KEYS, years))
+
+
+def q40_series_without_totals(spark, sf):
+    """HIER series without regional totals: rounded, not adjusted."""
+    return publish(M.run_hier(inputs(spark, sf, totals=False), HIER)["unrolled"])
+
+
+def q41_factor_people(spark, sf):
+    """FACTOR, growth variant: city table of people (names by inner join)."""
+    return publish(M.run_factor(factor_inputs(spark, sf), HIER, "growth")["people"])
+
+
+def q42_factor_stock_summary(spark, sf):
+    """FACTOR, stock variant: group summary."""
+    return publish(M.run_factor(factor_inputs(spark, sf), HIER, "stock")["rg_summary"])
+
+
+def q43_factor_growth_unrolled(spark, sf):
+    """FACTOR, growth variant, end to end."""
+    return publish(M.run_factor(factor_inputs(spark, sf), HIER, "growth")["unrolled"])
+
+
 def q32_factor_unrolled(spark, sf):
     """FACTOR end to end: allocation with annexations, tolerance and
     positive-growth controls, stock households, two-point series, interior

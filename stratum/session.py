@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -61,10 +63,35 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, removed when this application ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if not _SCRATCH:
+        atexit.register(_remove_scratch)
+    _SCRATCH.append((spark.sparkContext, path))
+    return path
+
+
+_SCRATCH: list = []
+
+
+def _remove_scratch() -> None:
+    """Remove the staged tables of sessions that still run; the driver that has
+    made them is the only one that reads them."""
+    for sc, path in _SCRATCH:
+        if sc._jsc is not None and not sc._jsc.sc().isStopped():
+            p = sc._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+    _SCRATCH.clear()
+
+
 def materialize(df):
-    """Cut lineage at a stage boundary: a reliable checkpoint into the
-    session's ``spark.checkpoint.dir`` (survives executor loss; never a
-    machine-local checkpoint).  Used where one result feeds several later
-    joins, so it is computed once and the later plans stay small."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage at a stage boundary: the rows written once as Parquet in the
+    session's ``spark.checkpoint.dir`` and read back (survives executor loss;
+    never a machine-local checkpoint).  Used where one result feeds several
+    later joins: it is computed once (a ``checkpoint`` computes its last stage a
+    second time to write it), later reads take the columns they need, and the
+    later plans stay small."""
+    path = scratch(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

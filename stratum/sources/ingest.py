@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratum.session import ensure_checkpoint_dir
+from stratum.session import scratch
 from stratum.sources import io
 from stratum.sources import mappings as M
 from stratum.sources import schemas as SC
@@ -122,7 +122,7 @@ def _write(df: DataFrame, name: str, metrics: dict) -> tuple[DataFrame, dict]:
     """``df`` written once in the shared folder, and its aggregates ``metrics``."""
     spark = df.sparkSession
     seen = Observation(f"{name}-{uuid.uuid4().hex}")
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/input-{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, f"input-{name}")
     df.observe(seen, *[c.alias(k) for k, c in metrics.items()]).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), seen.get
 

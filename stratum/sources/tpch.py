@@ -172,6 +172,21 @@ def targets(base: DataFrame) -> DataFrame:
         (F.col("gq_pct") * 100.0).alias("gq_pct_target"), "pph_target")
 
 
+ANCHORS = {"base": (1995, 1996, 2000), "late": (1994, 1997, 1998)}
+
+
+def order_anchors(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Anchors as rows, and the years to fit of each scenario: order sums by
+    customer and year, at the anchor years of two scenarios."""
+    o = _t(spark, sf, "orders").select("o_custkey", "o_totalprice", F.year("o_orderdate").alias("year"))
+    sums = o.groupBy(F.col("o_custkey").alias("geo_id"), "year").agg((F.sum("o_totalprice") / 100.0).alias("value"))
+    scenario = F.array(*[F.when(F.col("year").isin(*ys), F.lit(s)) for s, ys in ANCHORS.items()])
+    rows = (sums.withColumn("scenario", F.explode(F.array_compact(scenario)))
+                .select("scenario", F.lit("existing").alias("scheme"), F.lit("pop").alias("indicator"), "geo_id", "year", "value"))
+    fit = [(s, y) for s, ys in ANCHORS.items() for y in range(min(ys) - 1, max(ys) + 1)]
+    return rows, spark.createDataFrame(fit, "scenario string, year int")
+
+
 def part_series(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Second series: every part x ship year, four measures.
 

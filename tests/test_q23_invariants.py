@@ -1,4 +1,4 @@
-"""q23 (seeded draw) has no SQL oracle: check its invariants on the driver tables."""
+"""q23 (seeded draw): its invariants on the driver tables."""
 
 import numpy as np
 
