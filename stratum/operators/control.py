@@ -8,6 +8,8 @@ row per ``(scenario, scheme)`` and are broadcast.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -80,54 +82,81 @@ def rake_to_parent(child: DataFrame, value_p: str, parent: DataFrame, parent_col
                  .drop("_psum", "_ctl"))
 
 
+@dataclass(frozen=True)
+class Level:
+    """A level between region and leaves: its name, its keys within a run (those
+    of the level above, and more), and a table of its rates ``gq_pct_target,
+    pph_target`` by any of the keys and ``scenario``."""
+    name: str
+    keys: tuple
+    rates: DataFrame
+
+
+def rake_levels(leaf: DataFrame, levels: list[Level], region_control: DataFrame, present: DataFrame | None = None) -> dict:
+    """G6 over any ordered list of levels, the top one first.
+
+    ``leaf``: rows with ``pop_target, gq_pct_target, pph_target`` and the keys of
+    the lowest level.  Upwards, each level's people are the sums of the level
+    below; its preliminary household population follows from its own rates.
+    Downwards, the top level is raked to ``region_control`` (``scenario, hhpop,
+    hh``), each other level to its parent: household population first, then
+    households, which start from the level's raked household population.
+    With ``present`` (leaves of another table) a level keeps only groups that
+    have rows there; leaves of a dropped group get NULL.
+
+    Every level is one aggregation of the level below (map-side combined); the
+    leaves are aggregated once and joined once, whatever the depth.  Returns a
+    table for each level's name, and ``leaf``.
+    """
+    names = [x.name for x in levels]
+    for above, below in zip(levels, levels[1:]):
+        if not set(above.keys) < set(below.keys):
+            raise ValueError(f"level {below.name} has not all keys of {above.name}")
+    keys = {x.name: RUN + list(x.keys) for x in levels}
+    leaf = household_population(leaf, "pop_target", "gq_pct_target", "hhpop_p")
+    sums, table = leaf, {}
+    for i, x in reversed(list(enumerate(levels))):
+        own = [strict_sum("pop_target").alias("pop_target")]
+        if i == len(levels) - 1:      # the leaves' preliminary sum comes from the same aggregation
+            own.append(strict_sum("hhpop_p").alias("_leaf_p"))
+        sums = sums.groupBy(*keys[x.name]).agg(*own)
+        held = sums if present is None else sums.join(present.select(*keys[x.name]).distinct(), keys[x.name], "inner")
+        by = [k for k in ("scenario", *x.keys) if k in x.rates.columns]
+        rates = x.rates.select(*by, F.col("gq_pct_target").alias("_gq"), F.col("pph_target").alias("_pph"))
+        table[x.name] = household_population(held.join(rates, by, "left"), "pop_target", "_gq", "hhpop_p")
+    for i, x in enumerate(levels):
+        df = table[x.name]
+        if i == 0:
+            df = rake_to_control(df, "hhpop_p", region_control, "hhpop", "hhpop_target")
+            df = rake_to_control(households(df, "hhpop_target", "_pph", "hh_p"), "hh_p", region_control, "hh", "hh_target")
+        else:
+            up, parent = table[names[i - 1]], keys[names[i - 1]]
+            df = rake_to_parent(df, "hhpop_p", up, "hhpop_target", parent, "hhpop_target")
+            df = rake_to_parent(households(df, "hhpop_target", "_pph", "hh_p"), "hh_p", up, "hh_target", parent, "hh_target")
+        table[x.name] = materialize(df) if i == len(levels) - 1 else df
+    low, by = table[names[-1]], keys[names[-1]]
+    control = low.select(*by, F.col("_leaf_p").alias("_psum"), F.col("hhpop_target").alias("_ctl"))
+    leaf = (leaf.join(control, by, "left")
+                .withColumn("hhpop_target", ratio(F.col("hhpop_p"), F.col("_psum")) * F.col("_ctl"))
+                .drop("_psum", "_ctl"))
+    leaf = households(leaf, "hhpop_target", "pph_target", "hh_p", missing_to_zero=True)
+    leaf = rake_to_parent(leaf, "hh_p", low, "hh_target", by, "hh_target")
+    return {n: df.drop("_leaf_p", "_gq", "_pph") for n, df in table.items()} | {"leaf": leaf}
+
+
 def hierarchical_rake(city_pop: DataFrame, rgs_county: DataFrame, rgs_rg: DataFrame,
                       region_control: DataFrame, city_emp: DataFrame | None = None) -> dict:
-    """Steps 6-17 of HIER.
+    """G6 for HIER, steps 6-17: ``rake_levels`` over counties and RGs.
 
-    ``city_pop``: allocated cities with ``pop_target, gq_pct_target,
-    pph_target``.  ``rgs_county``/``rgs_rg``: level rates ``gq_pct_target,
-    pph_target``.  ``region_control``: ``(scenario, hhpop, hh)`` at the target
-    year.  HHPop is raked county->region, RG->county, city->RG; HH starts at
-    each level from that level's raked HHPop and is raked the same way.
     With ``city_emp`` the county and RG tables keep only counties and RGs that
-    also have job cities (the level tables are merges of both aggregates);
-    cities of a dropped RG get NULL.
+    also have job cities (the level tables are merges of both aggregates).
     Returns ``{"city", "rg", "county"}``.  ``hhpop_gro`` of the cities is left
     as allocated (the reference does not recompute it).
     """
-    city = household_population(city_pop, "pop_target", "gq_pct_target", "hhpop_p")     # step 10
-    rg_all = city.groupBy(*RG).agg(strict_sum("pop_target").alias("pop_target"),
-                                   strict_sum("hhpop_p").alias("_city_p_sum"))
-    county = rg_all.groupBy(*COUNTY).agg(strict_sum("pop_target").alias("pop_target"))
-    rg = rg_all
-    if city_emp is not None:
-        rg = rg.join(city_emp.select(*RG).distinct(), RG, "inner")
-        county = county.join(city_emp.select(*COUNTY).distinct(), COUNTY, "inner")
-    rr = rgs_rg.select("scenario", "county", "rg_id",
-                       F.col("gq_pct_target").alias("_gq"), F.col("pph_target").alias("_pph"))
-    rg = rg.join(rr, ["scenario", "county", "rg_id"], "left")
-    rg = household_population(rg, "pop_target", "_gq", "hhpop_p")                      # step 8
-    cr = rgs_county.select("scenario", "county",
-                           F.col("gq_pct_target").alias("_gq"), F.col("pph_target").alias("_pph"))
-    county = county.join(cr, ["scenario", "county"], "left")
-    county = household_population(county, "pop_target", "_gq", "hhpop_p")               # step 6
-    county = rake_to_control(county, "hhpop_p", region_control, "hhpop", "hhpop_target")  # step 7
-    county = households(county, "hhpop_target", "_pph", "hh_p")                          # step 12
-    county = rake_to_control(county, "hh_p", region_control, "hh", "hh_target")          # step 13
-    rg = rake_to_parent(rg, "hhpop_p", county, "hhpop_target", COUNTY, "hhpop_target")                                             # step 9
-    rg = households(rg, "hhpop_target", "_pph", "hh_p")                                  # step 14
-    rg = materialize(rake_to_parent(rg, "hh_p", county, "hh_target", COUNTY, "hh_target"))  # step 15
-    # step 11: the per-RG sum of city prelims comes from the first aggregation
-    rg_ctl = rg.select(*RG, F.col("_city_p_sum").alias("_psum"), F.col("hhpop_target").alias("_ctl"))
-    city = (city.join(rg_ctl, RG, "left")
-                .withColumn("hhpop_target", ratio(F.col("hhpop_p"), F.col("_psum")) * F.col("_ctl"))
-                .drop("_psum", "_ctl"))
-    city = households(city, "hhpop_target", "pph_target", "hh_p", missing_to_zero=True)  # step 16
-    city = rake_to_parent(city, "hh_p", rg, "hh_target", RG, "hh_target")                # step 17
-    city = city.withColumn("hh_gro", F.col("hh_target") - F.col("hh_base"))
-    rg = rg.drop("_city_p_sum", "_gq", "_pph")
-    county = county.drop("_gq", "_pph")
-    return {"city": city, "rg": rg, "county": county}
+    levels = [Level("county", ("county",), rgs_county), Level("rg", ("county", "rg_id"), rgs_rg)]
+    out = rake_levels(city_pop, levels, region_control, city_emp)
+    city = out.pop("leaf").withColumn("hh_gro", F.col("hh_target") - F.col("hh_base"))
+    return {"city": city, **out}
 
 
 def households_from_targets(df: DataFrame) -> DataFrame:

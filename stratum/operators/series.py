@@ -160,7 +160,9 @@ def adjust_rows(long: DataFrame, keys, totals: DataFrame | None, mode: str = "af
     gap = F.col("total") - F.col("_s")
     if mode == "interior":
         moved_year = moved_year & (F.col("year") < F.col("_last"))
-        gap = F.when(F.col("total").isNull() & moved_year, F.raise_error(F.concat(F.lit("no regional total for year "), F.col("year").cast("string")))).otherwise(gap)
+        stop = lambda text: F.raise_error(F.concat(F.lit(text), F.col("year").cast("string")))
+        gap = (F.when(moved_year & F.col("total").isNull(), stop("no regional total for year "))
+                .when(moved_year & F.col("_s").isNull(), stop("a geography has no value for year ")).otherwise(gap))
     sums = sums.select(*keys, "year", F.when(moved_year, gap).alias("_g"), "_d")
     g = F.col("_g")
     moved = clip0(F.col("value") + ratio(F.col("_dif"), F.col("_d")) * g)
@@ -183,7 +185,8 @@ def adjust_to_totals(wide: DataFrame, keys, years_to_fit, totals: DataFrame | No
 
     ``d = total_y - sum(v_y)``; ``v' = max(0, v + dif_y / sum(dif_y) * d)``,
     ``dif_y = v_y - v_prev`` from the unadjusted series.  ``mode="interior"``
-    (H3a): every year but the first and last, a missing total is an error.
+    (H3a): every year but the first and last; a missing total is an error, as
+    is a geography without a value.
     ``mode="after_first"`` (H3b): every year but the first, years without a
     total are left alone.
     """
@@ -205,8 +208,9 @@ def adjust_to_totals(wide: DataFrame, keys, years_to_fit, totals: DataFrame | No
     for y in adj:
         gap = F.col(f"t_{y}") - F.col(f"_s_{y}")
         if mode == "interior":
-            gap = F.when(F.col(f"t_{y}").isNull(),
-                         F.raise_error(F.lit(f"no regional total for year {y}"))).otherwise(gap)
+            gap = (F.when(F.col(f"t_{y}").isNull(), F.raise_error(F.lit(f"no regional total for year {y}")))
+                    .when(F.col(f"_s_{y}").isNull(), F.raise_error(F.lit(f"a geography has no value for year {y}")))
+                    .otherwise(gap))
         gaps.append(gap.alias(f"_g_{y}"))
     # one row per (scenario, scheme, indicator): bounded by the run settings
     factors = sums.select(*keys, *gaps, *[F.col(f"_d_{y}") for y in adj])
@@ -378,6 +382,49 @@ def unroll(wide: DataFrame, keys, years, totals: DataFrame | None = None,
     return round_to_total(long, keys, totals, method, seed)
 
 
+def accounts(raw: DataFrame, adjusted: DataFrame, published: DataFrame, keys, years, totals: DataFrame,
+             mode: str = "after_first", relabel: dict | None = None) -> DataFrame:
+    """The balance sheet of H3 and H4: ``keys, year, total, sum_before, sum_adjusted,
+    clipped, sum_published, residual, reason``, one row for each group and year.
+
+    ``raw`` and ``adjusted`` are the fitted series before and after H3,
+    ``published`` the rows of ``unroll``.  ``clipped`` is what the floor at zero
+    added beyond the total, ``residual`` what is still missing from the total.
+    Reasons: ``no total``; ``missing value`` (a geography has none, so there is no
+    sum); ``no growth to share`` (all growths add to zero); ``no weight`` (the
+    residual had no geography to go to); ``total not whole``; ``clipped`` (and
+    then met by rounding); ``balanced``; ``open`` (missed for none of these).
+    Aggregated map-side, one row for each group and year afterwards.
+    """
+    keys, ys, relabel = list(keys), list(years), dict(relabel or {})
+    prev = dict(zip(ys[1:], ys))
+    before = raw.groupBy(*keys).agg(*[strict_sum(_v(y)).alias(f"s_{y}") for y in ys],
+                                    *[strict_sum(F.col(_v(y)) - F.col(_v(prev[y]))).alias(f"d_{y}") for y in ys[1:]])
+    after = adjusted.groupBy(*keys).agg(*[strict_sum(_v(y)).alias(f"a_{y}") for y in ys])
+    moved = set(ys[1:-1] if mode == "interior" else ys[1:])
+    rows = F.array(*[F.struct(F.lit(y).alias("fitted"), F.lit(relabel.get(y, y)).alias("year"), F.col(f"s_{y}").alias("sum_before"),
+                              (F.col(f"d_{y}") if y in prev else F.lit(None).cast("double")).alias("growth"), F.col(f"a_{y}").alias("sum_adjusted"),
+                              F.lit(y in moved).alias("moved")) for y in ys])
+    sheet = before.join(after, keys).select(*keys, F.inline(rows))
+    sums = published.groupBy(*keys, "year").agg(strict_sum("value").alias("sum_published"), F.max("value").alias("_most"))
+    c = F.col
+    sheet = sheet.join(sums, [*keys, "year"], "left")
+    by_fitted = totals.withColumnRenamed("year", "fitted").withColumnRenamed("total", "aim")
+    tk = common_keys(sheet, totals, [*keys, "year"])
+    sheet = sheet.join(totals.select(*tk, "total"), tk, "left")
+    fk = common_keys(sheet, by_fitted, [*keys, "fitted"])
+    sheet = sheet.join(by_fitted.select(*fk, "aim"), fk, "left")
+    whole = half_even(c("total"))
+    gap = c("moved") & (c("aim") != c("sum_before"))
+    clipped = F.when(gap & (c("sum_adjusted") - c("aim") > 1e-9 * F.abs(c("aim"))), c("sum_adjusted") - c("aim")).otherwise(F.lit(0.0))
+    reason = (F.when(c("total").isNull() & (c("aim").isNull() | ~c("moved")), "no total").when(c("sum_before").isNull(), "missing value")
+               .when(gap & (c("growth") == 0), "no growth to share")
+               .when((c("sum_published") != whole) & (c("_most") <= 0), "no weight").when(c("sum_published") != whole, "open")
+               .when(whole != c("total"), "total not whole").when(c("clipped") > 0, "clipped").otherwise("balanced"))
+    return (sheet.withColumn("clipped", clipped).withColumn("residual", c("total") - c("sum_published")).withColumn("reason", reason)
+                 .select(*keys, "year", "total", "sum_before", "sum_adjusted", "clipped", "sum_published", "residual", "reason"))
+
+
 def unplaced(long: DataFrame, keys, totals: DataFrame) -> DataFrame:
     """``keys, year`` of the groups of ``unroll``'s rows that miss their total
     as no geography has a weight."""

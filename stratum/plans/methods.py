@@ -68,8 +68,12 @@ def _series(pop: DataFrame, hh: DataFrame, emp: DataFrame, cfg: HierConfig, tota
     wide = S.fit_series(anchors, SERIES_KEYS, (y0, y1), cfg.years_to_fit, totals, "interior",
                         cfg.round_interpolated)
     long = S.unroll(wide, SERIES_KEYS, cfg.years_to_fit, totals, dict(cfg.relabel), cfg.rounding, cfg.seed)
-    return {"series": wide, "unrolled": S.assemble(long, SERIES_KEYS, cfg.indicators, "inner", "city_id"),
-            "unplaced": _unplaced(long, totals, "unrolled")}
+    out = {"series": wide, "unrolled": S.assemble(long, SERIES_KEYS, cfg.indicators, "inner", "city_id"),
+           "unplaced": _unplaced(long, totals, "unrolled")}
+    if totals is not None:
+        raw = S.interpolate(anchors, SERIES_KEYS, (y0, y1), cfg.years_to_fit)
+        out["accounts"] = S.accounts(raw, wide, long, SERIES_KEYS, cfg.years_to_fit, totals, "interior", dict(cfg.relabel))
+    return out
 
 
 def _unplaced(long: DataFrame, totals, table: str) -> DataFrame:
@@ -186,6 +190,9 @@ def run_targets(targets: DataFrame, totals: DataFrame | None, cfg: TargetsConfig
     long = materialize(long.withColumn("published", F.col("year").isin(*fit)))
     out["series"] = wide.select(*SERIES_KEYS, S.GEO, *[f"v_{y}" for y in fit])
     published = long.where("published").drop("published")
+    if totals is not None:
+        raw = S.interpolate(anchors, SERIES_KEYS, cfg.anchors, fit)
+        out["accounts"] = S.accounts(raw, out["series"], published, SERIES_KEYS, fit, totals)
     out["unrolled"] = S.assemble(published, SERIES_KEYS, cfg.indicators, "outer", "subreg_id")
     out["diagnostics"] = out["diagnostics"].unionByName(_unplaced(published, totals, "unrolled"))
     if annual:

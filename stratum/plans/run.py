@@ -20,13 +20,13 @@ from stratum.plans import queries as Q
 from stratum.sources import ingest, tpch
 from stratum.sources.publish import indicator_tables, publish
 
-_HIER = ("rg_summary", "people", "households", "jobs", "series_hhpop", "series_hh", "series_emp", "unrolled", "diagnostics")
+_HIER = ("rg_summary", "people", "households", "jobs", "series_hhpop", "series_hh", "series_emp", "unrolled", "diagnostics", "accounts")
 TABLES = {
     "hier": _HIER,
     "factor_stock": _HIER,
     "factor_growth": _HIER,
     "targets": ("rg_summary", "people", "households", "jobs", "series_hhpop", "series_hh", "series_emp", "series_pop", "unrolled", "annual_unrolled",
-                "unrolled_regional", "diagnostics"),
+                "unrolled_regional", "diagnostics", "accounts"),
 }
 
 
@@ -57,7 +57,8 @@ def run(spark, method: str, sf: str | None, out: str, run_date: str, scenarios=(
         inp = Q.inputs(spark, sf, tuple(scenarios), tuple(schemes), annex=method.startswith("factor"))
         res = M.run_scenarios(inp, cfg, method)
     res |= indicator_tables(res["series"], cfg.indicators)
-    return publish(spark, {k: res[k] for k in TABLES[method]} | more, out, method, run_date, fmt, rg_name)
+    # without totals there are no accounts
+    return publish(spark, {k: res[k] for k in TABLES[method] if k in res} | more, out, method, run_date, fmt, rg_name)
 
 
 def main(argv=None):
