@@ -19,7 +19,9 @@ the plain bytes.
 Defined cases: records without a key, or with one that is no number, come last
 and keep null; ties go to the first by file and offset; an empty payload is a
 payload; a record shorter than declared is marked ``WARC-Truncated``; a date
-that is none becomes 1970; a last gzip member cut short gives what it has; spaces in URLs are allowed; no files give no rows.
+that is none becomes 1970; a last gzip member cut short gives what it has; spaces
+in URLs are allowed; no files give no rows.  A line that is no header is a reject
+(``rejected``): the bytes up to the next line that is one are skipped and counted.
 """
 
 from __future__ import annotations
@@ -42,7 +44,9 @@ from stratum.llm.token_shards import runs
 KEY_HEADER = "X-Page-Id"
 GZIP = b"\x1f\x8b"
 FIELDS = {"1": 5, "2": 10}
-RECORD = "file string, at long, line string, body_at long, size long, key long, payload_bytes long, payload_digest string"
+RECORD = "file string, at long, line string, body_at long, size long, parts long, key long, payload_bytes long, payload_digest string"
+# the start of a header line: URL, address, date of 14 digits, and the length last
+_HEADER = re.compile(rb"\n(?=[A-Za-z][A-Za-z0-9+.\-]*:[^\n]* \S+ \d{14} [^\n]* \d+\r?\n)")
 _DATE = re.compile(r"(\d{4})(0[1-9]|1[0-2])(0[1-9]|[12]\d|3[01])([01]\d|2[0-3])([0-5]\d)([0-5]\d)$")
 
 
@@ -51,7 +55,7 @@ def base32_sha1(data: bytes) -> str:
 
 
 def arc_records(data: bytes):
-    """(offset, header fields, body offset, declared length) of each record
+    """(offset, line, header fields, body offset, declared length) of each record
     after the version block of an ARC file."""
     def line_at(at):
         end = data.find(b"\n", at)
@@ -73,7 +77,11 @@ def arc_records(data: bytes):
         line, body = line_at(at)
         fields = line.rsplit(" ", FIELDS[version] - 1)
         if len(fields) != FIELDS[version] or not fields[-1].isdigit():
-            raise ValueError(f"bad header line at byte {at}: {line[:80]!r}")
+            found = _HEADER.search(data, at)
+            end = found.end() if found else len(data)
+            yield at, line, [], at, end - at
+            at = end
+            continue
         yield at, line, fields, body, int(fields[-1])
         at = body + int(fields[-1])
 
@@ -126,9 +134,12 @@ def list_records(arcs: DataFrame, key_header: str = KEY_HEADER) -> DataFrame:
         for batch in batches:
             for path, content in zip(*(batch.column(c) for c in ("path", "content"))):
                 rows, data = [], inflated(content.as_py())
-                for at, line, _, body_at, size in arc_records(data):
+                for at, line, fields, body_at, size in arc_records(data):
+                    if not fields:
+                        rows.append((path.as_py(), at, line, body_at, size, 0, None, None, None))
+                        continue
                     head, payload = http_parts(data[body_at:body_at + size])
-                    rows.append((path.as_py(), at, line, body_at, size, key_of(head, key_header), len(payload), base32_sha1(payload)))
+                    rows.append((path.as_py(), at, line, body_at, size, len(fields), key_of(head, key_header), len(payload), base32_sha1(payload)))
                 if rows:
                     yield pa.RecordBatch.from_pylist([dict(zip(_names(RECORD), r)) for r in rows], _schema(RECORD))
 
@@ -144,6 +155,12 @@ def _schema(ddl: str) -> pa.Schema:
     return pa.schema([(n, kinds[k]) for n, k in (f.split() for f in ddl.split(", "))])
 
 
+def rejected(records: DataFrame) -> DataFrame:
+    """``file, at, line, size`` of the lines in ``list_records`` that are no
+    header, with the bytes skipped for each."""
+    return records.where("parts = 0").select("file", "at", "line", "size")
+
+
 def decide(records: DataFrame, min_bytes: int = 0) -> DataFrame:
     """``records`` with ``origin_file, origin_at`` of the record each revisits."""
     place = F.struct(F.col("key").isNull().alias("none"), "key", "file", "at")
@@ -171,14 +188,16 @@ def write_warcs(decided: DataFrame, path: str) -> DataFrame:
     """Write ``name.warc.gz`` for each ARC file; the written files as a staged
     table ``warc``.  A record is read at its offset, so of a plain file a task
     holds one."""
-    columns = ["file", "at", "line", "body_at", "size", "payload_bytes", "payload_digest", "origin_file", "origin_at"]
+    columns = ["file", "at", "line", "body_at", "size", "parts", "payload_bytes", "payload_digest", "origin_file", "origin_at"]
 
     def members(file, groups, f):
         info = f"format: WARC File Format 1.1\r\nconverted-from: {short_name(file)}\r\n".encode()
         yield gzip_member(warc_record("warcinfo", record_id(file, 0), "1970-01-01T00:00:00Z", info, {"Content-Type": "application/warc-fields"}))
         for batch in groups:
             for r in batch.to_pylist():
-                fields = r["line"].rsplit(" ", 9 if _is_v2(r["line"]) else 4)
+                if not r["parts"]:
+                    continue
+                fields = r["line"].rsplit(" ", r["parts"] - 1)          # as many as the file's version has
                 f.seek(r["body_at"])
                 body = f.read(r["size"])
                 head, payload = http_parts(body)
@@ -219,18 +238,23 @@ def write_warcs(decided: DataFrame, path: str) -> DataFrame:
     return storage.stage(ordered.mapInArrow(write, "warc string"), "warc-files")
 
 
-def _is_v2(line: str) -> bool:
-    """Whether a header line has the ten fields of version 2."""
-    parts = line.rsplit(" ", 9)
-    return len(parts) == 10 and bool(_DATE.match(parts[2])) and parts[4].isdigit()
-
-
-def warc_records(data: bytes):
-    """(header fields, block) of each record of a gzipped WARC file."""
+def gzip_members(f, step: int = 1 << 16):
+    """The plain bytes of each gzip member of a stream, read in steps."""
+    z, out, data = zlib.decompressobj(wbits=31), [], f.read(step)
     while data:
-        z = zlib.decompressobj(wbits=31)
-        raw = z.decompress(data)
-        data = z.unused_data
+        out.append(z.decompress(data))
+        data = z.unused_data                                 # less than a step
+        if z.eof:
+            yield b"".join(out)
+            z, out = zlib.decompressobj(wbits=31), []
+        data = data or f.read(step)
+    if out:
+        yield b"".join(out)
+
+
+def warc_records(f):
+    """(header fields, block) of each record of a stream of a gzipped WARC file."""
+    for raw in gzip_members(f):
         head, _, rest = raw.partition(b"\r\n\r\n")
         fields = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
         yield fields, rest[:int(fields["Content-Length"])]
@@ -246,19 +270,18 @@ def read_warcs(files: DataFrame, key_header: str = KEY_HEADER) -> DataFrame:
         for batch in batches:
             for warc in batch.column("warc").to_pylist():
                 fs, name = storage.filesystem(warc)
-                with fs.open_input_file(name) as f:
-                    data = f.read()
                 rows = []
-                for fields, block in warc_records(data):
-                    kind = fields["WARC-Type"]
-                    if kind == "warcinfo":
-                        continue
-                    head, payload = http_parts(block)
-                    digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
-                    n = int(fields["X-Payload-Length"])
-                    if kind != "revisit" and (base32_sha1(payload) != digest or len(payload) != n):
-                        raise ValueError(f"{warc}: payload of {fields['WARC-Record-ID']} does not match its digest")
-                    rows.append((key_of(head, key_header), n, digest, kind, fields["WARC-Record-ID"], fields.get("WARC-Refers-To")))
+                with fs.open_input_stream(name, compression=None) as f:
+                    for fields, block in warc_records(f):
+                        kind = fields["WARC-Type"]
+                        if kind == "warcinfo":
+                            continue
+                        head, payload = http_parts(block)
+                        digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
+                        n = int(fields["X-Payload-Length"])
+                        if kind != "revisit" and (base32_sha1(payload) != digest or len(payload) != n):
+                            raise ValueError(f"{warc}: payload of {fields['WARC-Record-ID']} does not match its digest")
+                        rows.append((key_of(head, key_header), n, digest, kind, fields["WARC-Record-ID"], fields.get("WARC-Refers-To")))
                 if rows:
                     yield pa.RecordBatch.from_pylist([dict(zip(_names(ddl), r)) for r in rows], _schema(ddl))
 
