@@ -10,10 +10,18 @@ and non-overlapping in each kind:
 * ``card`` 14 to 19 digits with single blanks or hyphens between, Luhn-valid
 * ``phone`` ``\+[0-9][\x20().0-9-]+[0-9]`` with 10 to 15 digits
 
-The method adds ``url`` (scheme and address up to white space or a quote,
-without closing punctuation; at least one character after the scheme) and
-``account`` (after a cue such as ``iban``: optional blanks, ``:``, ``#`` or
-``=``, then 8 to 34 ASCII letters and digits, at least 4 digits).
+The method adds, after cues and schemes in any case (ASCII letters are folded):
+
+* ``url`` scheme and address up to white space or a quote, without closing
+  punctuation; at least one character after the scheme
+* ``account`` after ``iban``: two letters, two digits and 11 to 30 more letters and
+  digits, in groups with single blanks between, whose check number (modulo 97)
+  is right, the longest such; after ``ssn``: three, two and four digits with
+  hyphens or blanks; after other account cues: 8 to 34 ASCII letters, digits and single
+  hyphens, at least 4 digits.  Blanks, ``:``, ``#``, ``=`` stand before.
+* ``secret`` after a cue such as ``token`` or ``password``, then ``:`` or ``=``, blanks
+  and quotes around them allowed: 8 characters or more of ``[A-Za-z0-9_+/=.~-]``,
+  a letter and a digit among them
 
 Spans are in code points, end exclusive.  Defined cases: null or empty text has
 none; repeated rows and null or repeated ``doc_id`` give a row each; other
@@ -33,10 +41,13 @@ from pyspark.sql import functions as F
 
 from stratum.llm import text as T
 
-KINDS = ("email", "ip", "card", "phone", "url", "account")
+KINDS = ("email", "ip", "card", "phone", "url", "account", "secret")
 BASE = KINDS[:4]
 SCHEMES = ("http://", "https://", "ftp://", "mailto:")
-CUES = ("iban", "acct", "account", "account no", "account number")
+CUES = ("iban", "ssn", "social security number", "acct", "account", "account no", "account number", "acct no", "customer no", "customer number", "passport", "passport no",
+        "passport number", "tax id", "routing number", "sort code")
+SECRETS = ("token", "secret", "password", "passwd", "pwd", "api key", "api_key", "api-key", "apikey", "access key", "access_key", "secret key", "secret_key", "private_key",
+           "auth_token", "access_token", "client_secret")
 
 _DIGITS = frozenset("0123456789")
 _LABEL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-")
@@ -44,7 +55,11 @@ _LOCAL = _LABEL | frozenset("._%+")
 _PHONE = _DIGITS | frozenset(" ().-")
 _ALNUM = _LABEL - {"-"}
 _URL_END = re.compile(r"[\s\"'<>`]")
-_NO_ANCHOR = re.compile(r"[@+0-9]|://|mailto:|iban|acc", re.IGNORECASE)
+_NO_ANCHOR = re.compile(r"[@+0-9]|://|mailto:", re.IGNORECASE)        # accounts and secrets have digits
+_ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
+_IBAN = re.compile(r"[A-Za-z]{2}[0-9]{2}(?: ?[A-Za-z0-9]){11,30}")
+_SSN = re.compile(r"[0-9]{3}([- ])[0-9]{2}\1[0-9]{4}(?![0-9])")
+_SECRET = re.compile(r"""["']?[ \t]*[:=][ \t]*["']?([A-Za-z0-9_+/=.~-]{8,})""")
 
 
 @lru_cache(1)
@@ -52,15 +67,15 @@ def automaton():
     import ahocorasick
     a = ahocorasick.Automaton()
     for s in SCHEMES:
-        for form in {s, s.upper(), s.capitalize()}:
-            a.add_word(form, ("url", len(s)))
+        a.add_word(s, ("url", len(s), s))
     for s in CUES:
-        for form in {s, s.upper(), s.capitalize(), s.title()}:
-            a.add_word(form, ("account", len(s)))
-    a.add_word("@", ("email", 1))
-    a.add_word("+", ("phone", 1))
+        a.add_word(s, ("account", len(s), s))
+    for s in SECRETS:
+        a.add_word(s, ("secret", len(s), s))
+    a.add_word("@", ("email", 1, ""))
+    a.add_word("+", ("phone", 1, ""))
     for d in sorted(_DIGITS):
-        a.add_word(d, ("digit", 1))
+        a.add_word(d, ("digit", 1, ""))
     a.make_automaton()
     return a
 
@@ -142,17 +157,53 @@ def url_at(text: str, start: int, after: int):
     return (start, end) if end > after else None
 
 
-def account_at(text: str, after: int):
+def iban_at(text: str, at: int):
+    """The longest account number from ``at`` whose check number is right."""
+    found = _IBAN.match(text, at)
+    if not found:
+        return None
+    end = found.end()
+    while end > at:
+        own = text[at:end].replace(" ", "")
+        if len(own) < 15:
+            return None
+        whole = end == len(text) or text[end] not in _ALNUM
+        if whole and text[end - 1] != " " and int("".join(str(int(c, 36)) for c in own[4:] + own[:4])) % 97 == 1:
+            return at, end
+        end -= 1
+    return None
+
+
+def account_at(text: str, after: int, cue: str):
     at = _while(text, after, frozenset(" :#="))
     if at == after:
         return None
-    end = _while(text, at, _ALNUM)
+    if cue == "iban":
+        return iban_at(text, at)
+    if cue in ("ssn", "social security number"):
+        found = _SSN.match(text, at)
+        return found and found.span()
+    end = _while(text, at, _LABEL)
+    while end > at and text[end - 1] == "-":
+        end -= 1
     inside = text[at:end]
-    if 8 <= len(inside) <= 34 and sum(c in _DIGITS for c in inside) >= 4:
+    if 8 <= len(inside) <= 34 and "--" not in inside and inside[:1] != "-" and sum(c in _DIGITS for c in inside) >= 4:
         return at, end
     return None
 
 
+def secret_at(text: str, after: int):
+    found = _SECRET.match(text, after)
+    if not found or not re.search("[A-Za-z]", found[1]) or not re.search("[0-9]", found[1]):
+        return None
+    return found.span(1)
+
+
+def folded(text: str) -> str:
+    """ASCII letters in lower case, every character in its place."""
+    return text.lower() if text.isascii() else text.translate(_ASCII_LOWER)
+
+
 def spans(text: str) -> list[tuple[str, int, int]]:
     """All spans as (kind, start, end), by start, then kind as listed."""
     if not _NO_ANCHOR.search(text):
@@ -165,7 +216,7 @@ def spans(text: str) -> list[tuple[str, int, int]]:
             out.append((kind, *span))
             floor[kind] = span[1]
 
-    for last, (kind, size) in automaton().iter(text):
+    for last, (kind, size, cue) in automaton().iter(folded(text)):
         at = last - size + 1
         if kind == "digit":
             if at >= floor["parts"]:
@@ -188,8 +239,10 @@ def spans(text: str) -> list[tuple[str, int, int]]:
             keep("email", email_at(text, at, floor["email"]))
         elif kind == "url":
             keep("url", url_at(text, at, last + 1))
+        elif kind == "secret":
+            keep("secret", secret_at(text, last + 1))
         else:
-            keep("account", account_at(text, last + 1))
+            keep("account", account_at(text, last + 1, cue))
     out.sort(key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
     return out
 
@@ -211,19 +264,24 @@ def redact(text: str, found) -> str:
 
 def find_pii(docs: DataFrame) -> DataFrame:
     """``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans`` for every
-    row of ``docs``."""
+    row of ``docs``, then ``n_url, n_account, n_secret`` and ``private``: whether
+    there is any span but addresses of pages."""
     T.prepare(docs.sparkSession)
+    added = KINDS[len(BASE):]
 
     def find(batches):
         for batch in batches:
-            found = [spans(t or "") for t in batch.column("text").to_pylist()]
-            counts = [pa.array([sum(s[0] == k for s in f) for f in found], pa.int64()) for k in BASE]
-            sha = [hashlib.sha256(joined(s for s in f if s[0] in BASE).encode()).hexdigest() for f in found]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *counts, pa.array(sha, pa.string()), pa.array(map(joined, found), pa.string())],
-                                             ["doc_id", *(f"n_{k}" for k in BASE), "base_sha256", "spans"])
+            for part in T.split_batch(batch, "text"):
+                found = [spans(t or "") for t in part.column("text").to_pylist()]
+                count = lambda k: pa.array([sum(s[0] == k for s in f) for f in found], pa.int64())
+                sha = [hashlib.sha256(joined(s for s in f if s[0] in BASE).encode()).hexdigest() for f in found]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), *map(count, BASE), pa.array(sha, pa.string()), pa.array(map(joined, found), pa.string()), *map(count, added),
+                     pa.array([any(s[0] != "url" for s in f) for f in found], pa.bool_())],
+                    ["doc_id", *(f"n_{k}" for k in BASE), "base_sha256", "spans", *(f"n_{k}" for k in added), "private"])
 
     return docs.select("doc_id", "text").mapInArrow(
-        find, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+        find, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_url long, n_account long, n_secret long, private boolean")
 
 
 def redact_documents(docs: DataFrame) -> DataFrame:
@@ -233,9 +291,10 @@ def redact_documents(docs: DataFrame) -> DataFrame:
 
     def clean(batches):
         for batch in batches:
-            texts = [t and redact(t, spans(t)) for t in batch.column("text").to_pylist()]
             at = batch.schema.get_field_index("text")
-            yield batch.set_column(at, "text", pa.array(texts, batch.schema.field(at).type))
+            for part in T.split_batch(batch, "text"):
+                texts = [t and redact(t, spans(t)) for t in part.column("text").to_pylist()]
+                yield part.set_column(at, "text", pa.array(texts, batch.schema.field(at).type))
 
     out = docs.mapInArrow(clean, docs.schema)
     if "n_chars" in docs.columns:
