@@ -171,13 +171,17 @@ def mix(docs: DataFrame, weights: dict | None = None, block_chars: int = BLOCK_C
 
 def placed_documents(docs: DataFrame, weights: dict | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """All rows and columns of ``docs`` with ``mix_slot`` and ``mix_before``
-    (characters of the source before the row), in files by both."""
-    s = slots(docs, weights, block_chars).select(
+    (characters of the source before the row), in files by both.  Columns of
+    these two names are replaced; no other name can clash."""
+    s = slots(docs.select("doc_id", "source", "text"), weights, block_chars).select(
         F.col("doc_id").alias("mix_id"), F.col("source").alias("mix_source"), F.col("text_hash").alias("mix_hash"),
         F.col("slot").alias("mix_slot"), F.col("before").alias("mix_before"))
-    same = (F.col("doc_id").eqNullSafe(F.col("mix_id")) & F.col("source").eqNullSafe(F.col("mix_source"))
-            & (F.xxhash64("text") == F.col("mix_hash")))
-    placed = docs.join(s, same).select(*docs.columns, "mix_slot", "mix_before")
+    nested = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("mix_doc"))
+    doc = F.col("mix_doc")
+    same = (doc["doc_id"].eqNullSafe(F.col("mix_id")) & doc["source"].eqNullSafe(F.col("mix_source"))
+            & (F.xxhash64(doc["text"]) == F.col("mix_hash")))
+    own = [doc[c].alias(c) for c in docs.columns if c not in ("mix_slot", "mix_before")]
+    placed = nested.join(s, same).select(*own, "mix_slot", "mix_before")
     return placed.repartitionByRange("mix_slot", "mix_before").sortWithinPartitions("mix_slot", "mix_before", "doc_id")
 
 
