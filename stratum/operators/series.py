@@ -293,39 +293,56 @@ def _draw_counts(need: DataFrame, G, seed: int) -> DataFrame:
                  .groupBy(*G, GEO).agg(F.sum("_hits").alias("_hits")))
 
 
-def _largest_remainder_extra(df: DataFrame, G, grp: DataFrame) -> DataFrame:
-    """H4a helper: ``_extra`` = 1 for the ``m = |d| - sum(floor(quota))``
-    rows of each group with the largest remainders (ties by id), else 0.
-
-    Remainders are binned (``REM_BINS`` bins per group); one aggregation
-    gives the count per bin, a window over that small table finds the bin
-    where the top ``m`` ends.  Rows above it get one more unit, rows below
-    none, and only the rows inside the cut bin are ranked exactly
-    (``rank_in_groups``), so no group is ever sorted whole in one task.
-    """
-    bins = F.floor(F.col("_frac") * REM_BINS).cast("long")
-    df = df.withColumn("_bin", F.when(F.col("_need"), bins))
+def _quotas(long: DataFrame, G, control: DataFrame) -> DataFrame:
+    """Rounded values and weights, and where the group's residual is to be handed
+    out (``_need``) the quota's floor ``_b``, remainder ``_frac`` and its bin."""
+    df = _weighted(long).join(bounded(control), G, "left")
+    need = F.col("_d").isNotNull() & (F.col("_d") != 0) & (F.col("_wtot") > 0)
+    quota = F.abs(F.col("_d")) * F.col("_w") / F.col("_wtot")
+    df = (df.withColumn("_need", need)
+            .withColumn("_b", F.when(need, F.floor(quota).cast("double")))
+            .withColumn("_frac", F.when(need, (quota - F.floor(quota)).cast("decimal(38,10)"))))
+    return df.withColumn("_bin", F.when(F.col("_need"), F.floor(F.col("_frac") * REM_BINS).cast("long")))
+
+
+def _weighted(long: DataFrame) -> DataFrame:
+    """``_r``: the value rounded half-even, ``_w``: its weight."""
+    r = F.col("_r")
+    return long.withColumn("_r", half_even(F.col("value"))).withColumn("_w", F.when(r.isNull(), r).when(r > 0, r).otherwise(F.lit(0.0)))
+
+
+def _cut_bins(long: DataFrame, G, grp: DataFrame) -> DataFrame:
+    """A row for each group: ``_d, _wtot``, the bin of remainders ``_cut`` where
+    the top ``m = |d| - sum(floor(quota))`` of them end, and how many rows of it,
+    ``_take``, still get one more (NULL where there is nothing to hand out)."""
+    df = _quotas(long, G, grp)
     hist = (df.where(F.col("_need")).groupBy(*G, "_bin")
               .agg(F.count(F.lit(1)).alias("_cnt"), F.sum("_b").alias("_bs")))
     above = Window.partitionBy(*G).orderBy(F.col("_bin").desc()).rowsBetween(Window.unboundedPreceding, -1)
     hist = (hist.withColumn("_above", F.coalesce(F.sum("_cnt").over(above), F.lit(0)))
                 .withColumn("_m", F.sum("_bs").over(Window.partitionBy(*G))))
-    # per group: the cut bin and how many of its rows still get one more
     cut = hist.join(bounded(grp.select(*G, "_d")), G, "inner")
     cut = (cut.withColumn("_m", F.abs(F.col("_d")) - F.col("_m"))
               .where((F.col("_above") < F.col("_m")) & (F.col("_above") + F.col("_cnt") >= F.col("_m")))
               .select(*G, F.col("_bin").alias("_cut"), (F.col("_m") - F.col("_above")).alias("_take")))
-    # one row per group, written once (read by two joins)
-    cut = materialize(cut)
-    # one row per (scenario, scheme, indicator, year): bounded by the run settings
-    df = df.join(bounded(cut), G, "left")
+    return grp.join(cut, G, "left")
+
+
+def _largest_remainder_extra(df: DataFrame, G) -> DataFrame:
+    """H4a helper: ``_extra`` = 1 for the ``m`` rows of each group with the
+    largest remainders (ties by id), else 0.
+
+    Rows in bins above the cut get one more unit, rows below none, and only the
+    rows inside the cut bin are ranked exactly (``rank_in_groups``), so no group
+    is ever sorted whole in one task.
+    """
     in_cut = F.col("_need") & (F.col("_bin") == F.col("_cut"))
     rest = df.where(~in_cut | F.col("_cut").isNull()).withColumn(
         "_extra", F.when(F.col("_need") & F.col("_cut").isNotNull() & (F.col("_bin") > F.col("_cut")), 1.0)
                    .otherwise(0.0))
     cand = rank_in_groups(df.where(in_cut), G, [F.col("_frac").desc(), F.col(GEO)])
     cand = cand.withColumn("_extra", F.when(F.col("_rank") <= F.col("_take"), 1.0).otherwise(0.0)).drop("_rank")
-    return rest.unionByName(cand).drop("_bin", "_cut", "_take")
+    return rest.unionByName(cand)
 
 
 def round_to_total(long: DataFrame, keys, totals: DataFrame, method: str = "largest_remainder",
@@ -343,28 +360,22 @@ def round_to_total(long: DataFrame, keys, totals: DataFrame, method: str = "larg
     G = keys + ["year"]
     # read several times below (sums, bins, the cut bin): computed once
     long = materialize(long)
-    df = long.withColumn("_r", half_even(F.col("value"))) \
-             .withColumn("_w", F.when(F.col("_r").isNull(), F.col("_r")).when(F.col("_r") > 0, F.col("_r")).otherwise(F.lit(0.0)))
-    grp = df.groupBy(*G).agg(strict_sum("_r").alias("_rsum"), strict_sum("_w").alias("_wtot"))
+    grp = _weighted(long).groupBy(*G).agg(strict_sum("_r").alias("_rsum"), strict_sum("_w").alias("_wtot"))
     tk = common_keys(grp, totals, G)
     grp = (grp.join(totals.select(*tk, "total"), tk, "inner")
               .select(*G, (half_even(F.col("total")) - F.col("_rsum")).alias("_d"), "_wtot"))
     # one row per (scenario, scheme, indicator, year): bounded by the run settings;
     # written once so later branches neither re-aggregate the series nor re-read the totals
-    grp = materialize(grp)
-    df = df.join(bounded(grp), G, "left")
-    need = F.col("_d").isNotNull() & (F.col("_d") != 0) & (F.col("_wtot") > 0)
     if method == "draw":
+        grp = materialize(grp)
+        df = _weighted(long).join(bounded(grp), G, "left")
+        need = F.col("_d").isNotNull() & (F.col("_d") != 0) & (F.col("_wtot") > 0)
         hits = _draw_counts(df.where(need), G, seed)
         out = df.join(hits, G + [GEO], "left")
         value = F.col("_r") + F.signum(F.col("_d")) * F.coalesce(F.col("_hits"), F.lit(0))
         return (out.withColumn("value", F.when(need, value).otherwise(F.col("_r")))
                    .select(*keys, GEO, "year", "value"))
-    quota = F.abs(F.col("_d")) * F.col("_w") / F.col("_wtot")
-    df = (df.withColumn("_need", need)
-            .withColumn("_b", F.when(need, F.floor(quota).cast("double")))
-            .withColumn("_frac", F.when(need, (quota - F.floor(quota)).cast("decimal(38,10)"))))
-    df = _largest_remainder_extra(df, G, grp)
+    df = _largest_remainder_extra(_quotas(long, G, materialize(_cut_bins(long, G, grp))), G)
     value = F.col("_r") + F.signum(F.col("_d")) * (F.col("_b") + F.col("_extra"))
     return (df.withColumn("value", F.when(F.col("_need"), value).otherwise(F.col("_r")))
               .select(*keys, GEO, "year", "value"))
