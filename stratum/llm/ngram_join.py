@@ -35,6 +35,9 @@ an empty result.
 
 from __future__ import annotations
 
+import re
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -152,9 +155,38 @@ def describe(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", F.xxhash64("text").alias("t")).mapInArrow(run, ddl)
 
 
-def total_sketch(described: DataFrame) -> np.ndarray:
-    """Sum of the tasks' sketches: ``SKETCH`` counters of 16 bits at any input
-    size (they saturate); a slice is summed in one task, batch by batch."""
+def write_slices(rows: DataFrame, run, name: str) -> str:
+    """The folder to which ``run`` brought slices: it makes ``(slice, bytes)`` of a
+    partition's batches, and tasks write them to the shared folder, so that they
+    pass neither through the driver nor through a broadcast."""
+    path = storage.folder(rows.sparkSession, name)
+
+    def write(batches):
+        for c, data in run(batches):
+            storage.write_atomic(f"{path}/slice-{c}", [data])
+            yield pa.RecordBatch.from_pydict({"c": [c]})
+
+    rows.repartition(SLICES, "c").mapInArrow(write, "c long").collect()       # SLICES small numbers
+    return path
+
+
+@lru_cache(2)
+def read_slices(path: str, each: int, dtype: str) -> np.ndarray:
+    """All slices one after the other, zeros for those never written; a worker
+    reads them once."""
+    from pyarrow import fs as pafs
+    fs, folder = storage.filesystem(path)
+    out = np.zeros((SLICES, each), dtype)
+    for f in fs.get_file_info(pafs.FileSelector(folder, allow_not_found=True)):
+        if c := re.fullmatch(r"slice-(\d+)", f.base_name):
+            with fs.open_input_stream(f.path) as source:
+                out[int(c[1])] = np.frombuffer(source.read(), dtype)
+    return out.ravel()
+
+
+def total_sketch(described: DataFrame) -> str:
+    """Folder of the sum of the tasks' sketches: ``SKETCH`` counters of 16 bits at
+    any input size (they saturate); a slice is summed in one task, batch by batch."""
     each = SKETCH // SLICES
 
     def add(batches):
@@ -164,22 +196,17 @@ def total_sketch(described: DataFrame) -> np.ndarray:
                 own = np.frombuffer(pa.decompress(bits.as_buffer(), each, "zstd"), np.uint8)
                 total = sums.setdefault(c, np.zeros(each, np.uint32))
                 total += own
-        if sums:
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([np.minimum(s, 65535).astype(np.uint16).tobytes() for s in sums.values()], pa.binary())], ["c", "bits"])
+        for c, s in sums.items():
+            yield c, np.minimum(s, 65535).astype("<u2").tobytes()
 
-    out = np.zeros((SLICES, each), np.uint16)
-    for r in described.where("kind = 1").select("c", "bits").repartition(SLICES, "c").mapInArrow(add, "c long, bits binary").collect():
-        out[r["c"]] = np.frombuffer(r["bits"], np.uint16)
-    return out.ravel()
+    return write_slices(described.where("kind = 1").select("c", "bits"), add, "ngram-sketch")
 
 
-def prefix_entries(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
+def prefix_entries(docs: DataFrame, sketch: str) -> DataFrame:
     """``token, c, n`` for each class and prefix shingle (a class may come from
     several tasks)."""
-    sent = docs.sparkSession.sparkContext.broadcast(sketch)     # SKETCH counters
-
     def run(batches):
-        freq, seen = sent.value, set()
+        freq, seen = read_slices(sketch, SKETCH // SLICES, "<u2"), set()
         for batch in batches:
             for part in T.split_batch(batch, "text"):
                 h, offs = shingle_sets(part.column("text"))
@@ -231,9 +258,9 @@ def shared_entries(entries: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, "token long, c long, n long")
 
 
-def filter_of(ids: DataFrame) -> np.ndarray:
-    """``FILTER_BITS`` bits, on at the places of ``id``: no id of ``ids`` is
-    ruled out by it, and most others are while ids are fewer than bits."""
+def filter_of(ids: DataFrame) -> str:
+    """Folder of ``FILTER_BITS`` bits, on at the places of ``id``: no id of ``ids``
+    is ruled out by it, and most others are while ids are fewer than bits."""
     each = FILTER_BITS // SLICES
 
     def run(batches):
@@ -241,26 +268,22 @@ def filter_of(ids: DataFrame) -> np.ndarray:
         for batch in batches:
             for c, part in ((c, batch.filter(pc.equal(batch.column("c"), c))) for c in pc.unique(batch.column("c")).to_pylist()):
                 on.setdefault(c, np.zeros(each, bool))[part.column("at").to_numpy()] = True
-        if on:
-            yield pa.RecordBatch.from_arrays([pa.array(list(on), pa.int64()), pa.array([np.packbits(x).tobytes() for x in on.values()], pa.binary())], ["c", "bits"])
+        for c, bits in on.items():
+            yield c, np.packbits(bits).tobytes()
 
     # FILTER_BITS distinct places at most, whatever the number of ids
     place = ids.select(F.pmod("id", F.lit(FILTER_BITS)).alias("p")).distinct()
-    slices = place.select(F.floor(F.col("p") / each).alias("c"), (F.col("p") % each).alias("at")).repartition(SLICES, "c")
-    out = np.zeros((SLICES, each // 8), np.uint8)
-    for r in slices.mapInArrow(run, "c long, bits binary").collect():
-        out[r["c"]] = np.frombuffer(r["bits"], np.uint8)
-    return out.ravel()
+    return write_slices(place.select(F.floor(F.col("p") / each).alias("c"), (F.col("p") % each).alias("at")), run, "ngram-filter")
 
 
 def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """``id, shingles`` of the classes ``ids`` (``id, t``: class, hash of one of
     its texts), made from the texts again: sets are not shuffled but for these
     classes, and few other texts are split into words."""
-    sent = docs.sparkSession.sparkContext.broadcast(filter_of(ids.select(F.col("t").alias("id"))))     # FILTER_BITS / 8 bytes
+    path = filter_of(ids.select(F.col("t").alias("id")))
 
     def run(batches):
-        on, seen = np.unpackbits(sent.value).astype(bool), set()
+        on, seen = np.unpackbits(read_slices(path, FILTER_BITS // SLICES // 8, "u1")).astype(bool), set()
         for batch in batches:
             keep = on[batch.column("t").to_numpy() % FILTER_BITS]
             for i in np.flatnonzero(keep):
@@ -310,20 +333,21 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def components(links: DataFrame) -> DataFrame:
     """``id, core``: the smallest id that links reach, for every id in ``links``
-    (``a, b``), by large-star and small-star rounds until nothing changes."""
-    edges = storage.stage(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), "links")
-    while True:
+    (``a, b``), by large-star and small-star rounds until nothing changes: until
+    number, sum and xor of the links' hashes, measured as they are written, stay."""
+    mark = F.xxhash64("a", "b")
+    marks = {"n": F.count(F.lit(1)), "x": F.bit_xor(mark), "s": F.sum(mark.cast("decimal(38,0)"))}
+    edges, state = storage.stage_measured(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), "links", marks)
+    before = None
+    while state != before:
         both = edges.union(edges.select("b", "a")).toDF("u", "v")
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("m").alias("a"), F.col("v").alias("b"))
         large = large.where("a < b").distinct()
         low = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(low, "b").select(F.col("m").alias("x"), F.explode(F.array("a", "b")).alias("y")).where("x < y").distinct()
-        after = storage.stage(small.toDF("a", "b"), "links")
-        same = after.exceptAll(edges).isEmpty() and after.count() == edges.count()
-        edges = after
-        if same:
-            break
+        before = state
+        edges, state = storage.stage_measured(small.toDF("a", "b"), "links", marks)
     return edges.select(F.col("b").alias("id"), F.col("a").alias("core")).union(edges.select("a", "a").distinct())
 
 
