@@ -105,11 +105,14 @@ class Model(NamedTuple):
             return out
         r = self.ratios(h, index, offs)
         size = np.diff(offs)
-        out[:, 0] = T.row_sums(r, offs) / np.maximum(size, 1)
+        some = size > 0
+        # each text summed by itself: no other row of the batch has an influence on the last digit
+        out[some, 0] = np.add.reduceat(r, offs[:-1][some]) / size[some]
         high = r[np.lexsort((r, np.repeat(np.arange(len(size)), size)))]       # ascending in each row
-        top = np.r_[0, np.cumsum(high)]
         width = np.minimum(TOP, size)
-        out[:, 1] = (top[offs[1:]] - top[offs[1:] - width]) / np.maximum(width, 1)
+        for k in range(TOP):
+            out[width > k, 1] += high[offs[1:][width > k] - 1 - k]
+        out[some, 1] /= width[some]
         return out
 
     def score(self, x: np.ndarray) -> np.ndarray:
@@ -209,16 +212,20 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mod
     order = np.argsort(key)
     pad = lambda a, v: np.asarray(a) if len(a) else np.array(v)
     both = lambda t, *c: pad(t[list(c)].to_numpy(np.float32), [[0.0, 0.0]])
+    # arrays that all discounts share, in memory and in the broadcast
+    words, follows = pad(table["word"].to_numpy(np.int64), [0]), both(table, *(f"follows_{c}" for c in classes))
+    spread, pairs, pair_n = pad(table["spread"].to_numpy(np.float32), [0.0]), pad(key[order], [0]), both(frequent.iloc[order], *classes)
     models = [Model(
-        words=pad(table["word"].to_numpy(np.int64), [0]), follows=both(table, *(f"follows_{c}" for c in classes)), kept=both(table, *(f"kept_{c}_{i}" for c in classes)),
-        leave=pad(np.where(table["context"] > 0, np.minimum(1, d * table["kinds"] / np.maximum(table["context"], 1)), 1.0), [1.0]),
-        spread=pad(table["spread"].to_numpy(np.float32), [0.0]), pairs=pad(key[order], [0]), pair_n=both(frequent.iloc[order], *classes),
+        words=words, follows=follows, kept=both(table, *(f"kept_{c}_{i}" for c in classes)),
+        leave=pad(np.where(table["context"] > 0, np.minimum(1, d * table["kinds"] / np.maximum(table["context"], 1)), 1.0).astype(np.float32), [1.0]),
+        spread=spread, pairs=pairs, pair_n=pair_n,
         total=np.maximum([sums[f"{c}_{i}"] or 0 for c in classes], 1.0), discount=d, back=min(1.0, d * sums["kinds"] / sums["n"]) if sums["n"] else 1.0,
         documents=float(documents), weights=np.zeros(3)) for i, d in enumerate(DISCOUNTS)]
-    held = features_of(rows.where("not fits").select("label", "text"), models, "label").toPandas()
-    x, y = np.array(held["x"].tolist()).reshape(-1, len(models), 2), held["label"].to_numpy(float)
-    half = np.arange(len(y)) % 2 == 0
-    loss = [log_loss(x[~half, i], y[~half], logistic(x[half, i], y[half])) for i in range(len(models))]
+    # in an order of the rows' own, so that neither the choice nor the sums depend on the tables' layout
+    held = features_of(rows.where("not fits").select("label", "text", F.xxhash64("text").alias("mark")), models, "mark", "label").toArrow().sort_by([("mark", "ascending"), ("label", "ascending")])
+    x, y = np.asarray(held["x"].combine_chunks().flatten()).reshape(-1, len(models), 2), held["label"].to_numpy().astype(float)
+    half = held["mark"].to_numpy() % 2 == 0
+    loss = [sum(log_loss(x[a, i], y[a], logistic(x[~a, i], y[~a])) for a in (half, ~half)) for i in range(len(models))]
     best = int(np.argmin(loss))
     return models[best]._replace(weights=logistic(x[:, best], y))
 
