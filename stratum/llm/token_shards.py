@@ -8,10 +8,11 @@ Files, in the shared folder:
   ascending ``doc_id``, as do documents in a shard.
 * ``index-N.mph``: index segments.  A key's segment is a hash; in a segment,
   levels of bit arrays give the key its slot (the rank of the first level's bit
-  that is the key's alone), and the slot stores a 32-bit fingerprint, shard,
-  ordinal and number of rows.  A lookup reads a bounded number of bits and one
-  slot, whatever the number of documents; unknown keys fail the fingerprint
-  but for one in 2**32.
+  that is the key's alone), and the slot stores a 32-bit fingerprint, shard, position and
+  number of ids, ordinal and number of rows.  A lookup reads a bounded number of
+  bits, one slot, the shard's last 16 bytes and the payload, whatever the number
+  of documents of index and shard; unknown keys fail the fingerprint but for one
+  in 2**32.
 
 Defined cases: null or empty text is the end id alone; a null ``doc_id`` sorts
 first and has a key of its own; rows that share a ``doc_id`` are adjacent in
@@ -40,7 +41,8 @@ END_ID = 0
 SEGMENT_KEYS = 16_384
 CACHE_ENTRIES = 400_000     # chunks remembered by a worker; only speed depends on it
 GAMMA = 2.0                 # bits of a level for each key that reaches it
-SLOT = np.dtype([("mark", "<u4"), ("shard", "<u4"), ("ordinal", "<u4"), ("rows", "<u4")])
+SLOT = np.dtype([("mark", "<u4"), ("shard", "<u4"), ("ordinal", "<u4"), ("rows", "<u4"), ("first", "<u8"), ("size", "<u8")])
+GAP = 1 << 16               # ids between documents that are read along rather than skipped
 
 
 class ChunkIds:
@@ -74,7 +76,8 @@ def chunk_ids(path: str) -> ChunkIds:
 
 
 def write_shards(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end_id: int = END_ID) -> DataFrame:
-    """Encode and write all rows; ``doc_id, shard, ordinal`` as a staged table."""
+    """Encode and write all rows; ``doc_id, shard, ordinal, first, size`` (place
+    among the shard's documents; position and number of its ids) as a staged table."""
     T.prepare(docs.sparkSession)
 
     def write(batches):
@@ -95,15 +98,17 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end_id:
             yield np.array([sum(map(len, ids))], "<u8").tobytes()
 
         storage.write_atomic(f"{path}/shard-{shard}.ids", parts())
-        at = 0
-        for column in ids:
+        at = first = 0
+        for column, size in zip(ids, sizes[1:]):
             n = len(column)
-            yield pa.RecordBatch.from_arrays([column, pa.array(np.full(n, shard, np.int64)), pa.array(np.arange(at, at + n))],
-                                             ["doc_id", "shard", "ordinal"])
+            ends = first + np.cumsum(size)
+            yield pa.RecordBatch.from_arrays([column, pa.array(np.full(n, shard, np.int64)), pa.array(np.arange(at, at + n)), pa.array(ends - size), pa.array(size)],
+                                             ["doc_id", "shard", "ordinal", "first", "size"])
             at += n
+            first += int(size.sum())
 
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return storage.stage(ordered.mapInArrow(write, "doc_id long, shard long, ordinal long"), "token-rows")
+    return storage.stage(ordered.mapInArrow(write, "doc_id long, shard long, ordinal long, first long, size long"), "token-rows")
 
 
 def key_hash(keys: pa.Array, level: int) -> np.ndarray:
@@ -148,19 +153,19 @@ class Segment:
         return (slot >= 0) & (record["mark"] == mark_of(keys)), record
 
     @classmethod
-    def build(cls, keys: pa.Array, shard, ordinal, rows) -> Segment:
+    def build(cls, keys: pa.Array, shard, ordinal, rows, first=0, size=0) -> Segment:
         """``keys`` are distinct.  A level keeps the keys that are alone at
         their bit; the others go on to the next."""
         levels, left = [], np.arange(len(keys))
         while len(left):
-            size = max(8, int(GAMMA * len(left)))
-            at = (key_hash(keys.take(pa.array(left)), len(levels)) % np.uint64(size)).astype(np.int64)
-            bits = np.bincount(at, minlength=size) == 1
+            width = max(8, int(GAMMA * len(left)))
+            at = (key_hash(keys.take(pa.array(left)), len(levels)) % np.uint64(width)).astype(np.int64)
+            bits = np.bincount(at, minlength=width) == 1
             levels.append(bits)
             left = left[~bits[at]]
         self = cls(levels, np.zeros(len(keys), SLOT))
         slot = self.slot_of(keys)
-        for name, values in (("mark", mark_of(keys)), ("shard", shard), ("ordinal", ordinal), ("rows", rows)):
+        for name, values in (("mark", mark_of(keys)), ("shard", shard), ("ordinal", ordinal), ("rows", rows), ("first", first), ("size", size)):
             self.slots[name][slot] = values
         return self
 
@@ -212,7 +217,7 @@ def write_index(rows: DataFrame, path: str) -> tuple[DataFrame, int]:
     number).  A segment has about ``SEGMENT_KEYS`` keys at any input size."""
     segments = max(1, -(-rows.count() // SEGMENT_KEYS))
     first = rows.groupBy("doc_id").agg(F.min("shard").alias("shard"), F.min("ordinal").alias("ordinal"),
-                                       F.count(F.lit(1)).alias("rows"))
+                                       F.count(F.lit(1)).alias("rows"), F.min("first").alias("first"), F.sum("size").alias("size"))
     keyed = first.withColumn("segment", segment_of(F.col("doc_id"), segments))
 
     def write(batches):
@@ -224,7 +229,7 @@ def write_index(rows: DataFrame, path: str) -> tuple[DataFrame, int]:
             nonlocal at
             for segment, t in whole_runs(batches, "segment"):
                 col = {c: t.column(c).combine_chunks() for c in t.column_names}
-                data = Segment.build(col["doc_id"], *(np.asarray(col[c]) for c in ("shard", "ordinal", "rows"))).dump()
+                data = Segment.build(col["doc_id"], *(np.asarray(col[c]) for c in SLOT.names[1:])).dump()
                 found.append((int(segment), name, at, len(data)))
                 at += len(data)
                 yield data
@@ -239,8 +244,8 @@ def write_index(rows: DataFrame, path: str) -> tuple[DataFrame, int]:
 
 
 def lookup(keys: DataFrame, path: str, directory: DataFrame, segments: int) -> DataFrame:
-    """``doc_id, shard, ordinal, rows`` of each ``doc_id`` of ``keys`` that the
-    index holds."""
+    """``doc_id, shard, ordinal, rows, first, size`` of each ``doc_id`` of ``keys``
+    that the index holds."""
     asked = keys.select("doc_id").withColumn("segment", segment_of(F.col("doc_id"), segments))
 
     def find(batches):
@@ -254,24 +259,46 @@ def lookup(keys: DataFrame, path: str, directory: DataFrame, segments: int) -> D
                     held, index = segment, Segment.load(f.read(size))
             keys = part.column("doc_id")
             found, record = index.get(keys)
-            out = [keys, *(pa.array(record[c].astype(np.int64)) for c in ("shard", "ordinal", "rows"))]
-            yield pa.RecordBatch.from_arrays(out, ["doc_id", "shard", "ordinal", "rows"]).filter(pa.array(found))
+            out = [keys, *(pa.array(record[c].astype(np.int64)) for c in SLOT.names[1:])]
+            yield pa.RecordBatch.from_arrays(out, ["doc_id", *SLOT.names[1:]]).filter(pa.array(found))
 
     located = asked.join(directory, "segment").repartition("segment").sortWithinPartitions("segment")
     return located.select("doc_id", "segment", "file", "at", "size").mapInArrow(
-        find, "doc_id long, shard long, ordinal long, rows long")
+        find, ", ".join(["doc_id long", *(f"{c} long" for c in SLOT.names[1:])]))
 
 
-def open_shard(path: str, shard: int):
-    """(open file, first position of each document and the end, id type)."""
-    fs, top = storage.filesystem(path)
-    f = fs.open_input_file(f"{top}/shard-{shard}.ids")
-    f.seek(f.size() - 8)
-    n = int(np.frombuffer(f.read(8), "<u8")[0])
-    f.seek(f.size() - 8 * (n + 2))
-    firsts = np.frombuffer(f.read(8 * (n + 1)), "<u8").astype(np.int64)
-    width = (f.size() - 8 * (n + 2)) // max(1, int(firsts[-1]))
-    return f, firsts, np.dtype("<u2" if width <= 2 else "<u4")
+class Shard:
+    """A shard's file: only its last 16 bytes are read to open it."""
+
+    def __init__(self, f):
+        self.f = f
+        size = f.size()
+        f.seek(size - 16)
+        self.ids, self.documents = map(int, np.frombuffer(f.read(16), "<u8"))
+        self.table = size - 8 * (self.documents + 2)        # where the documents' first positions are
+        self.dtype = np.dtype("<u2" if self.table <= 2 * self.ids else "<u4")
+
+    @classmethod
+    def open(cls, path: str, shard: int) -> Shard:
+        fs, top = storage.filesystem(path)
+        return cls(fs.open_input_file(f"{top}/shard-{shard}.ids"))
+
+    def read(self, first: int, size: int) -> np.ndarray:
+        """``size`` ids from the position ``first``."""
+        self.f.seek(first * self.dtype.itemsize)
+        return np.frombuffer(self.f.read(size * self.dtype.itemsize), self.dtype).astype("<u4")
+
+    def bounds(self, ordinal: int, rows: int) -> np.ndarray:
+        """First positions of ``rows`` documents, and the end."""
+        self.f.seek(self.table + 8 * ordinal)
+        return np.frombuffer(self.f.read(8 * (rows + 1)), "<u8").astype(np.int64)
+
+
+def near_runs(first: np.ndarray, size: np.ndarray) -> list[tuple[int, int]]:
+    """Slices of ascending documents that are read at once: those with more than
+    ``GAP`` ids between them are not."""
+    cuts = np.flatnonzero(first[1:] > first[:-1] + size[:-1] + GAP) + 1
+    return list(zip([0, *cuts.tolist()], [*cuts.tolist(), len(first)]))
 
 
 def shard_starts(rows: DataFrame, path: str) -> DataFrame:
@@ -281,9 +308,7 @@ def shard_starts(rows: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             n = []
             for shard in batch.column("shard").to_pylist():
-                f, firsts, _ = open_shard(path, shard)
-                f.close()
-                n.append(int(firsts[-1]))
+                n.append(Shard.open(path, shard).ids)
             yield pa.RecordBatch.from_arrays([batch.column("shard"), pa.array(n, pa.int64())], ["shard", "n"])
 
     each = rows.select("shard").distinct().mapInArrow(ends, "shard long, n long")
@@ -294,24 +319,29 @@ def shard_starts(rows: DataFrame, path: str) -> DataFrame:
 def read_documents(located: DataFrame, path: str, bases: DataFrame) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` read from the shards for every
     row that ``lookup`` located."""
-    each = located.select("doc_id", "shard", F.explode(F.expr("sequence(ordinal, ordinal + rows - 1)")).alias("ordinal"))
-
     def read(batches):
-        held, f = None, None
-        for shard, part in runs(batches, "shard"):
-            if shard != held:
-                held, (f, firsts, dtype) = shard, open_shard(path, int(shard))
-            order = part.column("ordinal").to_numpy()
-            a, b = firsts[order], firsts[order + 1]
-            f.seek(int(a.min()) * dtype.itemsize)
-            ids = np.frombuffer(f.read(int(b.max() - a.min()) * dtype.itemsize), dtype).astype("<u4")
-            lo = a - a.min()
-            crc = [zlib.crc32(ids[x:y].tobytes()) for x, y in zip(lo, lo + b - a)]
+        held, shard = None, None
+        for number, part in runs(batches, "shard"):
+            if number != held:
+                held, shard = number, Shard.open(path, int(number))
+            first, size, ordinal, rows = (part.column(c).to_numpy() for c in ("first", "size", "ordinal", "rows"))
+            keys, at, n, crc = [], [], [], []
+            for i, j in near_runs(first, size):
+                base = int(first[i])
+                ids = shard.read(base, int(first[j - 1] + size[j - 1]) - base)
+                for k in range(i, j):
+                    ends = [int(first[k]), int(first[k] + size[k])] if rows[k] == 1 else shard.bounds(int(ordinal[k]), int(rows[k])).tolist()
+                    for a, b in zip(ends, ends[1:]):
+                        keys.append(k)
+                        at.append(a)
+                        n.append(b - a)
+                        crc.append(zlib.crc32(ids[a - base:b - base].tobytes()))
+            keys = pa.array(keys, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("shard"), pa.array(a), pa.array(b - a), pa.array(crc, pa.int64())],
+                [part.column("doc_id").take(keys), part.column("shard").take(keys), pa.array(at, pa.int64()), pa.array(n, pa.int64()), pa.array(crc, pa.int64())],
                 ["doc_id", "shard", "at", "n_tokens", "ids_crc32"])
 
-    got = each.repartition("shard").sortWithinPartitions("shard", "ordinal").mapInArrow(
+    got = located.repartition("shard").sortWithinPartitions("shard", "ordinal").mapInArrow(
         read, "doc_id long, shard long, at long, n_tokens long, ids_crc32 long")
     return got.join(bases, "shard").select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
