@@ -20,6 +20,8 @@ class HierConfig:
     # "2016 values are 2017 for people": relabel of the base year on output
     relabel: tuple = ((2016, 2017),)
     indicators: tuple = ("hhpop", "hh", "emp")
+    # a geography without a value stops the interior adjustment (else it is only a diagnostics row)
+    stop_at_missing: bool = True
     round_interpolated: bool = False
     rounding: str = "largest_remainder"       # or "draw"
     seed: int = 0

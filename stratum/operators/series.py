@@ -142,7 +142,7 @@ def interpolate_rows(anchors: DataFrame, keys, years) -> DataFrame:
     return seg.withColumn("_year", F.explode(mine)).select(*keys, GEO, y.alias("year"), fitted.alias("value"))
 
 
-def adjust_rows(long: DataFrame, keys, totals: DataFrame | None, mode: str = "after_first") -> DataFrame:
+def adjust_rows(long: DataFrame, keys, totals: DataFrame | None, mode: str = "after_first", stop: bool = False) -> DataFrame:
     """H3 on rows: as ``adjust_to_totals``, where the fitted years of each group
     are those it has rows of.  The difference to the year before is taken in the
     partitioning that ``interpolate_rows`` leaves."""
@@ -160,9 +160,10 @@ def adjust_rows(long: DataFrame, keys, totals: DataFrame | None, mode: str = "af
     gap = F.col("total") - F.col("_s")
     if mode == "interior":
         moved_year = moved_year & (F.col("year") < F.col("_last"))
-        stop = lambda text: F.raise_error(F.concat(F.lit(text), F.col("year").cast("string")))
-        gap = (F.when(moved_year & F.col("total").isNull(), stop("no regional total for year "))
-                .when(moved_year & F.col("_s").isNull(), stop("a geography has no value for year ")).otherwise(gap))
+        fail = lambda text: F.raise_error(F.concat(F.lit(text), F.col("year").cast("string")))
+        if stop:
+            gap = F.when(moved_year & F.col("_s").isNull(), fail("a geography has no value for year ")).otherwise(gap)
+        gap = F.when(moved_year & F.col("total").isNull(), fail("no regional total for year ")).otherwise(gap)
     sums = sums.select(*keys, "year", F.when(moved_year, gap).alias("_g"), "_d")
     g = F.col("_g")
     moved = clip0(F.col("value") + ratio(F.col("_dif"), F.col("_d")) * g)
@@ -172,21 +173,26 @@ def adjust_rows(long: DataFrame, keys, totals: DataFrame | None, mode: str = "af
 
 def totals_wide(totals: DataFrame, years) -> DataFrame:
     """Long totals ``(scenario, indicator, year, total)`` -> one row per
-    ``(scenario, indicator)`` with ``t_<year>`` columns."""
+    ``(scenario, indicator)`` with ``t_<year>`` columns; two totals of one year
+    are an error."""
     tk = [c for c in totals.columns if c not in ("year", "total")]
     y = F.col("year")
-    return (totals.where(y.isin(*years)).groupBy(*tk)
-                  .agg(*[F.max(F.when(y == yr, F.col("total"))).alias(f"t_{yr}") for yr in years]))
+
+    def only(yr):
+        value = F.max(F.when(y == yr, F.col("total")))
+        return F.when(F.count_if(y == yr) > 1, F.raise_error(F.lit(f"several regional totals for year {yr}"))).otherwise(value).alias(f"t_{yr}")
+
+    return totals.where(y.isin(*years)).groupBy(*tk).agg(*[only(yr) for yr in years])
 
 
 def adjust_to_totals(wide: DataFrame, keys, years_to_fit, totals: DataFrame | None,
-                     mode: str = "after_first") -> DataFrame:
+                     mode: str = "after_first", stop: bool = False) -> DataFrame:
     """H3: move each fitted year onto the regional total.
 
     ``d = total_y - sum(v_y)``; ``v' = max(0, v + dif_y / sum(dif_y) * d)``,
     ``dif_y = v_y - v_prev`` from the unadjusted series.  ``mode="interior"``
-    (H3a): every year but the first and last; a missing total is an error, as
-    is a geography without a value.
+    (H3a): every year but the first and last; a missing total is an error, with
+    ``stop`` a geography without a value, too (else the year is left alone).
     ``mode="after_first"`` (H3b): every year but the first, years without a
     total are left alone.
     """
@@ -208,9 +214,10 @@ def adjust_to_totals(wide: DataFrame, keys, years_to_fit, totals: DataFrame | No
     for y in adj:
         gap = F.col(f"t_{y}") - F.col(f"_s_{y}")
         if mode == "interior":
-            gap = (F.when(F.col(f"t_{y}").isNull(), F.raise_error(F.lit(f"no regional total for year {y}")))
-                    .when(F.col(f"_s_{y}").isNull(), F.raise_error(F.lit(f"a geography has no value for year {y}")))
-                    .otherwise(gap))
+            if stop:
+                gap = F.when(F.col(f"_s_{y}").isNull(), F.raise_error(F.lit(f"a geography has no value for year {y}"))).otherwise(gap)
+            gap = F.when(F.col(f"t_{y}").isNull(),
+                         F.raise_error(F.lit(f"no regional total for year {y}"))).otherwise(gap)
         gaps.append(gap.alias(f"_g_{y}"))
     # one row per (scenario, scheme, indicator): bounded by the run settings
     factors = sums.select(*keys, *gaps, *[F.col(f"_d_{y}") for y in adj])
@@ -238,10 +245,10 @@ def to_long(wide: DataFrame, keys, years, relabel: dict | None = None) -> DataFr
 
 
 def fit_series(anchors: DataFrame, keys, anchor_years, years_to_fit, totals=None,
-               mode: str = "after_first", round_values: bool = False) -> DataFrame:
+               mode: str = "after_first", round_values: bool = False, stop: bool = False) -> DataFrame:
     """H1-H3 in one plan; returns the wide fitted table."""
     wide = interpolate(anchors, keys, anchor_years, years_to_fit)
-    wide = adjust_to_totals(wide, keys, years_to_fit, totals, mode)
+    wide = adjust_to_totals(wide, keys, years_to_fit, totals, mode, stop)
     return round_wide(wide, years_to_fit) if round_values else wide
 
 

@@ -66,7 +66,7 @@ def _series(pop: DataFrame, hh: DataFrame, emp: DataFrame, cfg: HierConfig, tota
         "emp": (emp, {y0: "emp_base", y1: "emp_target"}),
     }, RUN, "city_id")
     wide = S.fit_series(anchors, SERIES_KEYS, (y0, y1), cfg.years_to_fit, totals, "interior",
-                        cfg.round_interpolated)
+                        cfg.round_interpolated, cfg.stop_at_missing)
     long = S.unroll(wide, SERIES_KEYS, cfg.years_to_fit, totals, dict(cfg.relabel), cfg.rounding, cfg.seed)
     out = {"series": wide, "unrolled": S.assemble(long, SERIES_KEYS, cfg.indicators, "inner", "city_id"),
            "unplaced": _unplaced(long, totals, "unrolled")}

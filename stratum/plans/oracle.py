@@ -612,7 +612,7 @@ def oracle_sql() -> dict:
                                + series_ctes("anc", HIER_YEARS, "totals", "interior", {BASE_Y: BASE_Y + 1}, True),
                                assemble_sql("s_out", ("hhpop", "hh", "emp"), "inner", "city_id"))
     gf = [
-        """obs AS (SELECT x.scheme, p.county, x.rg_id, sum(p.pop_base - p.pop_ref) AS observed
+        f"""obs AS (SELECT x.scheme, p.county, x.rg_id, {ssum('p.pop_base - p.pop_ref')} AS observed
   FROM city_pop p JOIN xwalk x ON p.city_id = x.city_id GROUP BY x.scheme, p.county, x.rg_id)""",
         """j AS (SELECT g.scenario, o.scheme, g.county, g.rg_id, g.pop_gro_rg AS plan, o.observed,
     g.pop_gro_rg - o.observed AS rem FROM rg_growth g JOIN obs o ON g.county = o.county AND g.rg_id = o.rg_id)""",

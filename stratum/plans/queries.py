@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratum.functions.expr import strict_sum
 from stratum.operators import allocate as A
 from stratum.operators import control as C
 from stratum.operators import report as R
@@ -94,7 +95,7 @@ def q31_growth_floor(spark, sf):
                           inp.rgs_rg).select("scenario", "county", "rg_id", F.col("pop_gro_rg").alias("plan"))
     city = A.attach_group(inp.city_pop, inp.crosswalk)
     observed = city.groupBy("scheme", "county", "rg_id").agg(
-        F.sum(F.col("pop_base") - F.col("pop_ref")).alias("observed"))
+        strict_sum(F.col("pop_base") - F.col("pop_ref")).alias("observed"))
     return publish(A.growth_floor(plan, observed, "pop"))
 
 

@@ -58,7 +58,8 @@ FORECAST_LABELS = {  # fixed row labels of the wide forecast table
 
 def read_forecast(wide: DataFrame, years) -> DataFrame:
     """Wide forecast (label rows, ``<year>Q2`` columns) -> one row per
-    year with ``pop, hhpop, hh, emp`` for the requested years."""
+    year with ``pop, hhpop, hh, emp`` for the requested years.  Two rows with the
+    same label are an error."""
     qcols = [c for c in wide.columns if re.fullmatch(r"\d{4}Q2", c)]
     wanted = [c for c in qcols if int(c[:4]) in set(years)]
     ids = [c for c in ("scenario", "X1", "X2") if c in wide.columns]
@@ -71,7 +72,13 @@ def read_forecast(wide: DataFrame, years) -> DataFrame:
         label = F.when(cond, F.lit(ind)) if label is None else label.when(cond, F.lit(ind))
     long = long.withColumn("indicator", label).where(F.col("indicator").isNotNull())
     keys = [c for c in ("scenario",) if c in wide.columns] + ["year"]
-    return long.groupBy(*keys).pivot("indicator", list(FORECAST_LABELS)).agg(F.max("value"))
+
+    def only(ind):
+        mine = F.col("indicator") == ind
+        return (F.when(F.count_if(mine) > 1, F.raise_error(F.lit(f"several forecast rows for {ind}")))
+                 .otherwise(F.max(F.when(mine, F.col("value")))).cast("double").alias(ind))
+
+    return long.groupBy(*keys).agg(*[only(i) for i in FORECAST_LABELS])
 
 
 def write_tables(tables: dict, out_dir: str, fmt: str = "parquet", mode: str = "overwrite",

@@ -26,7 +26,8 @@ REF_YEAR, BASE_YEAR, TARGET_YEAR = 1995, 1996, 2000
 SCENARIOS = ("base", "flat")
 
 HIER = HierConfig(reference_year=REF_YEAR, base_year=BASE_YEAR, target_year=TARGET_YEAR,
-                  years_to_fit=(1996, 1998, 1999, 2000), relabel=((1996, 1997),))
+                  years_to_fit=(1996, 1998, 1999, 2000), relabel=((1996, 1997),),
+                  stop_at_missing=False)       # some stand-in groups have no weight
 TARGETS = TargetsConfig(ref_base_year=REF_YEAR, base_year=BASE_YEAR, target_year=TARGET_YEAR,
                         years_to_fit=(1995, 1996, 1998, 1999, 2000),
                         annual_years=tuple(range(1995, 2001)))

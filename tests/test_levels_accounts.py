@@ -103,7 +103,8 @@ def test_interior_stops_at_a_geography_without_a_value(spark, bad):
     a = series_anchors(spark).unionByName(spark.createDataFrame([("s", "x", "pop", 9, None, *bad)], series_anchors(spark).schema))
     tot = totals(spark, [(y, 100) for y in YEARS])
     with pytest.raises(Exception, match="a geography has no value for year 2020"):
-        S.fit_series(a, KEYS, (2018, 2020, 2050), YEARS, tot, "interior").collect()
+        S.fit_series(a, KEYS, (2018, 2020, 2050), YEARS, tot, "interior", stop=True).collect()
+    assert S.fit_series(a, KEYS, (2018, 2020, 2050), YEARS, tot, "interior").count() == 4
     assert S.fit_series(a, KEYS, (2018, 2020, 2050), YEARS, tot, "after_first").count() == 4
 
 
@@ -113,3 +114,12 @@ def test_hier_run_gives_its_accounts(spark):
                                        "scenario string, indicator string, year int, total double")
     rows = M.run_hier(inp, HierConfig())["accounts"].collect()
     assert len(rows) == 3 * 8 and all(r.residual == 0 for r in rows) and {r.reason for r in rows} <= {"balanced", "clipped"}
+
+
+def test_repeated_totals_and_forecast_rows_are_errors(spark):
+    from stratum.sources.io import read_forecast
+    with pytest.raises(Exception, match="several regional totals for year 2030"):
+        S.fit_series(series_anchors(spark), KEYS, (2018, 2020, 2050), YEARS, totals(spark, [(2030, 1), (2030, 2)]), "after_first").collect()
+    sheet_ = spark.createDataFrame([("Population", "", 1.0), ("Population", "", 2.0)], "X1 string, X2 string, `2020Q2` double")
+    with pytest.raises(Exception, match="several forecast rows for pop"):
+        read_forecast(sheet_, [2020]).collect()
