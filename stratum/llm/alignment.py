@@ -56,6 +56,7 @@ from stratum.llm.toxicity import most_frequent
 A = public_tokenizers.path("byte_bpe_50k.json")
 B = public_tokenizers.path("piece_bpe_32k.model")
 TABLE_PAIRS = 1 << 18
+PART_BYTES = 4 << 20        # of text aligned at once
 CACHE_ENTRIES = 400_000     # pieces of text remembered by a worker; only speed depends on it
 _COUNTS = "n_a long, n_b long, n_groups long, n_links long"
 
@@ -67,24 +68,42 @@ class Coder:
         self.known: dict[bytes, int] = {}
         self.flat, self.lens, self.whole = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, bool)
         self.size = np.array([len(b) for b in self.bytes_of], np.int64)
-        self.names = [str(i) for i in range(len(self.bytes_of))]
+        self.names = np.array([str(i) for i in range(len(self.bytes_of))], object)
+        self.place = np.cumsum(self.size) - self.size
+        self.data = np.frombuffer(b"".join(self.bytes_of), np.uint8)
 
     def encode(self, pieces: list[bytes]) -> list[list[int]]:
         raise NotImplementedError
 
+    def same_bytes(self, pieces: list[bytes], ids: np.ndarray, lens: np.ndarray) -> np.ndarray:
+        """Whether the joined bytes of each piece's ids are the piece."""
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        whole = T.row_sums(self.size[ids], np.r_[0, np.cumsum(lens)]) == size
+        some = np.flatnonzero(whole & (size > 0))
+        kept = np.repeat(whole, lens)
+        made = T.ragged_take(self.data, self.place[ids[kept]], self.size[ids[kept]])
+        given = np.frombuffer(b"".join([pieces[i] for i in some]), np.uint8)
+        if len(some):
+            whole[some] = ~np.logical_or.reduceat(made != given, np.cumsum(size[some]) - size[some])
+        return whole
+
     def take(self, pieces: list[bytes], index: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of the indexed pieces in order: (ids, number of ids for each, whether
         the ids' bytes are the piece's for each)."""
-        new = [c for c in pieces if c not in self.known]
+        known, base = self.known, len(self.lens)
+        row = np.fromiter((known.get(c, -1) for c in pieces), np.int64, len(pieces))
+        fresh = np.flatnonzero(row < 0)
+        new = [pieces[i] for i in fresh]
         ids = self.encode(new)
-        whole = np.fromiter((b"".join([self.bytes_of[i] for i in x]) == c for x, c in zip(ids, new)), bool, len(new))
-        number = self.known | dict(zip(new, range(len(self.known), len(self.known) + len(new))))
-        flat = np.r_[self.flat, np.fromiter(chain.from_iterable(ids), np.int32)]
-        lens = np.r_[self.lens, np.fromiter(map(len, ids), np.int64, len(ids))]
-        whole = np.r_[self.whole, whole]
-        if len(number) <= CACHE_ENTRIES:
-            self.known, self.flat, self.lens, self.whole = number, flat, lens, whole
-        row = np.fromiter((number[c] for c in pieces), np.int64, len(pieces))[index]
+        more = np.fromiter(map(len, ids), np.int64, len(ids))
+        own = np.fromiter(chain.from_iterable(ids), np.int32, int(more.sum()))
+        row[fresh] = base + np.arange(len(new))
+        flat, lens = np.r_[self.flat, own], np.r_[self.lens, more]
+        whole = np.r_[self.whole, self.same_bytes(new, own, more)]
+        if base + len(new) <= CACHE_ENTRIES:
+            known.update(zip(new, range(base, base + len(new))))
+            self.flat, self.lens, self.whole = flat, lens, whole
+        row = row[index]
         starts = np.cumsum(lens) - lens
         return T.ragged_take(flat, starts[row], lens[row]), lens[row], whole[row]
 
@@ -143,6 +162,13 @@ def space_chunks(column):
     return known, index, np.searchsorted(where, offs)
 
 
+def with_space(column) -> pa.Array:
+    """A space before each text; null and empty ones are a space alone."""
+    data, offs = T.buffers(column)
+    out = np.insert(data, offs[:-1], np.uint8(32))
+    return T.pieces(out, offs[:-1] + np.arange(len(offs) - 1))
+
+
 def align(a: list[int], b: list[int]) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, int]]]:
     """Of two ascending arrays of ends whose last is the same: runs of
     one-to-one groups (first of each side, length) and irregular groups (first
@@ -151,70 +177,91 @@ def align(a: list[int], b: list[int]) -> tuple[list[tuple[int, int, int]], list[
     i = j = 0
     n, m = len(a), len(b)
     while i < n:
-        if a[i] == b[j]:
-            run = step = 1
-            while step:                                     # probe ahead on this diagonal
-                if i + run + step <= n and j + run + step <= m and a[i + run:i + run + step] == b[j + run:j + run + step]:
+        p, q = a[i], b[j]
+        if p == q:
+            most = min(n - i, m - j)
+            run = 1
+            if most > 1 and a[i + 1] == b[j + 1]:           # probe ahead on this diagonal
+                run = step = 2
+                while run + step <= most and a[i + run:i + run + step] == b[j + run:j + run + step]:
                     run += step
                     step *= 2
-                else:
-                    break
-            step //= 2
-            while step:                                     # the run ends within the last probe
-                if i + run + step <= n and j + run + step <= m and a[i + run:i + run + step] == b[j + run:j + run + step]:
-                    run += step
-                step //= 2
+                while step > 1:                             # the run ends within the last probe
+                    step //= 2
+                    if run + step <= most and a[i + run:i + run + step] == b[j + run:j + run + step]:
+                        run += step
             runs.append((i, j, run))
             i += run
             j += run
         else:
             x, y = i, j
-            while a[x] != b[y]:
-                if a[x] < b[y]:
+            while p != q:
+                if p < q:
                     x += 1
+                    p = a[x]
                 else:
                     y += 1
+                    q = b[y]
             groups.append((i, x + 1, j, y + 1))
             i, j = x + 1, y + 1
     return runs, groups
 
 
-def group_string(a: list[str], b: list[str], runs, groups) -> str:
-    """``a1,a2|b1;a3|b2,b3``: the groups' ids in order."""
-    found = [(i, ";".join(map("|".join, zip(a[i:i + k], b[j:j + k])))) for i, j, k in runs]
-    found += [(i, f"{','.join(a[i:x])}|{','.join(b[j:y])}") for i, x, j, y in groups]
-    found.sort()
-    return ";".join([s for _, s in found])
-
-
-def links_of(row: np.ndarray, a: np.ndarray, b: np.ndarray, runs: np.ndarray, groups: list, width: int):
-    """Distinct (row, pair) with their number of links, sorted: ``runs`` (first
-    of each side, length) over all rows' tokens, ``groups`` (row, ids of each
+def numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct values, index of each value among them), unsorted."""
+    d = pa.array(values).dictionary_encode()
+    return d.dictionary.to_numpy(), d.indices.to_numpy().astype(np.int64)
+
+
+def group_strings(names: list[list[str]], at: np.ndarray, pairs: np.ndarray, groups: list, cuts: np.ndarray, width: int) -> list[str]:
+    """``a1,a2|b1;a3|b2,b3`` of each document: the one-to-one ``pairs`` at the A
+    tokens ``at``, the irregular ``groups``, and the documents' first A tokens
+    ``cuts``; ``names`` has the ids of both sides as text.  A pair's string is
+    made once."""
+    a, b = names
+    known, index = numbered(pairs)
+    shown = np.array([f"{x}|{y}" for x, y in zip((known // width).tolist(), (known % width).tolist())], object)
+    strings = np.empty(len(a), object)                       # at each group's first A token
+    strings[at] = shown[index] if len(index) else shown
+    first = np.array([g[1] for g in groups], np.int64)
+    strings[first] = np.array([f"{','.join(a[i:x])}|{','.join(b[j:y])}" for _, i, x, j, y in groups], object)
+    used = np.zeros(len(a), bool)
+    used[at] = used[first] = True
+    ends = np.r_[0, np.cumsum(used)][cuts].tolist()
+    strings = strings[used].tolist()
+    return [";".join(strings[p:q]) for p, q in zip(ends, ends[1:])]
+
+
+def links_of(rows: np.ndarray, pairs: np.ndarray, a: np.ndarray, b: np.ndarray, groups: list, width: int):
+    """Distinct (row, pair) with their number of links, sorted by row: the
+    one-to-one ``pairs`` of ``rows`` and those of ``groups`` (row, ids of each
     side).  A pair is ``a * width + b``."""
-    k = runs[:, 2]
-    within = np.arange(int(k.sum())) - np.repeat(np.cumsum(k) - k, k)
-    at, bt = np.repeat(runs[:, 0], k) + within, np.repeat(runs[:, 1], k) + within
-    rows, pairs, n = [row[at]], [a[at].astype(np.int64) * width + b[bt]], [np.ones(len(at), np.int64)]
-    sizes = {}
-    for r, i, x, j, y in groups:                             # of equal shape: together
-        if (x - i) * (y - j) <= 64:
-            sizes.setdefault((x - i, y - j), []).append((r, i, j))
-        else:
-            (u, nu), (v, nv) = (np.unique(s, return_counts=True) for s in (a[i:x], b[j:y]))
-            pairs.append((u[:, None].astype(np.int64) * width + v).ravel())
-            n.append((nu[:, None] * nv).ravel())
-            rows.append(np.full(len(u) * len(v), r))
+    rows, pairs, large = [rows], [pairs], []
+    sizes: dict = {}
+    for g in groups:                                         # of equal shape: together
+        p, q = g[2] - g[1], g[4] - g[3]
+        if p * q <= 64:
+            sizes.setdefault((p, q), []).append(g)
+        else:                                                # distinct ids with their products
+            (u, nu), (v, nv) = (np.unique(s, return_counts=True) for s in (a[g[1]:g[2]], b[g[3]:g[4]]))
+            large.append((np.full(len(u) * len(v), g[0]), (u[:, None].astype(np.int64) * width + v).ravel(), (nu[:, None] * nv).ravel()))
     for (p, q), same in sizes.items():
-        r, i, j = np.array(same).T
+        r, i, _, j, _ = np.array(same).T
         both = a[i[:, None] + np.arange(p)].astype(np.int64)[:, :, None] * width + b[j[:, None] + np.arange(q)][:, None, :]
         pairs.append(both.ravel())
         rows.append(np.repeat(r, p * q))
-        n.append(np.ones(both.size, np.int64))
-    rows, pairs, n = map(np.concatenate, (rows, pairs, n))
-    order = np.lexsort((pairs, rows))
-    rows, pairs, n = rows[order], pairs[order], n[order]
-    first = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]) | (pairs[1:] != pairs[:-1])]) if len(rows) else np.zeros(0, np.int64)
-    return rows[first], pairs[first], np.add.reduceat(n, first) if len(first) else n
+    single = sum(map(len, rows))
+    rows, pairs = (np.concatenate([*x, *(g[k] for g in large)]) for k, x in enumerate((rows, pairs)))
+    known, index = numbered(pairs)
+    key = rows * max(1, len(known)) + index                  # rows of one part: far below 2^63
+    found, n = np.unique(key[:single], return_counts=True)
+    if large:
+        found, n = np.r_[found, key[single:]], np.r_[n, np.concatenate([g[2] for g in large])]
+        order = np.argsort(found)
+        found, n = found[order], n[order]
+        first = np.flatnonzero(np.r_[True, found[1:] != found[:-1]])
+        found, n = found[first], np.add.reduceat(n, first)
+    return found // max(1, len(known)), known[found % max(1, len(known))], n
 
 
 def aligned_documents(docs: DataFrame, path_a: str = A, path_b: str = B) -> DataFrame:
@@ -233,35 +280,36 @@ def _aligned(docs, path_a, path_b, name, form) -> DataFrame:
     def run(batches):
         ca, cb = coder(path_a), coder(path_b)
         for batch in batches:
-            for part in T.split_batch(batch, "text", 4 << 20):
-                text = part.column("text").cast(pa.large_string())
-                text = pc.if_else(pc.equal(pc.binary_length(text), 0), pa.scalar(None, pa.large_string()), text)
-                spaced = pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), text, pa.scalar("", pa.large_string()))
+            for part in T.split_batch(batch, "text", PART_BYTES):
+                spaced = with_space(part.column("text"))
                 rows, sides = part.num_rows, []
-                fine = np.asarray(text.is_valid())
+                fine = np.asarray(pc.greater(pc.binary_length(part.column("text")), 0).fill_null(False))
                 for c, (known, index, offs) in ((ca, T.chunks(spaced)), (cb, space_chunks(spaced))):
                     ids, lens, whole = c.take(known, index)
                     fine = fine & (T.row_sums(~whole, offs) == 0)
                     at = np.r_[0, np.cumsum(T.row_sums(lens, offs))]
                     sides.append((ids, at, np.cumsum(c.size[ids])))
                 (a, at_a, end_a), (b, at_b, end_b) = sides
-                runs, groups, out, counts = [], [], [], np.zeros((rows, 4), np.int64)
+                runs, groups, counts = [], [], np.zeros((rows, 4), np.int64)
+                ends = [e - np.r_[0, e][np.repeat(at[:-1], np.diff(at))] for e, at in ((end_a, at_a), (end_b, at_b))]     # in each document
                 for r in np.flatnonzero(fine).tolist():
                     i, x, j, y = int(at_a[r]), int(at_a[r + 1]), int(at_b[r]), int(at_b[r + 1])
-                    base_a, base_b = (int(e[k - 1]) if k else 0 for e, k in ((end_a, i), (end_b, j)))
-                    one, many = align((end_a[i:x] - base_a).tolist(), (end_b[j:y] - base_b).tolist())
-                    na, nb = ([c.names[t] for t in s.tolist()] for c, s in ((ca, a[i:x]), (cb, b[j:y])))
-                    out.append((r, form(group_string(na, nb, one, many))))
-                    single = sum(k for _, _, k in one)
-                    counts[r] = x - i, y - j, single + len(many), single + sum((q - p) * (v - u) for p, q, u, v in many)
+                    one, many = align(ends[0][i:x].tolist(), ends[1][j:y].tolist())
+                    single = sum([k for _, _, k in one])
+                    counts[r] = x - i, y - j, single + len(many), single + sum([(q - p) * (v - u) for p, q, u, v in many])
                     runs += [(i + p, j + u, k) for p, u, k in one]
                     groups += [(r, i + p, i + q, j + u, j + v) for p, q, u, v in many]
+                from_a, from_b, k = np.array(runs, np.int64).reshape(-1, 3).T
+                within = np.arange(int(k.sum())) - np.repeat(np.cumsum(k) - k, k)
+                from_a, from_b = np.repeat(from_a, k) + within, np.repeat(from_b, k) + within
+                ones = a[from_a].astype(np.int64) * width + b[from_b]
+                names = [c.names[s].tolist() for c, s in ((ca, a), (cb, b))]
+                strings = group_strings(names, from_a, ones, groups, at_a, width)
                 row = np.repeat(np.arange(rows), np.diff(at_a))
-                of, pairs, links = links_of(row, a, b, np.array(runs, np.int64).reshape(-1, 3), groups, width)
+                of, pairs, links = links_of(row[from_a], ones, a, b, groups, width)
                 cuts = np.searchsorted(of, np.arange(rows + 1)).astype(np.int32)
-                strings = dict(out)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("row"), part.column("doc_id"), *(pa.array(c) for c in counts.T), pa.array([strings.get(r, "") for r in range(rows)], pa.string()),
+                    [part.column("row"), part.column("doc_id"), *(pa.array(c) for c in counts.T), pa.array([form(s) if k else "" for s, k in zip(strings, fine.tolist())], pa.string()),
                      pa.ListArray.from_arrays(cuts, pa.array(pairs, pa.int64()).cast(code)), pa.ListArray.from_arrays(cuts, pa.array(links, pa.int64()))],
                     ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", name, "pairs", "links"])
 

@@ -150,7 +150,9 @@ def brute_align(docs):
 
 
 @pytest.mark.parametrize(("name", "table_pairs"), [("docs", alignment.TABLE_PAIRS), ("odd", 0), ("odd", 50)])
-def test_alignment(name, table_pairs, request):
+def test_alignment(name, table_pairs, request, monkeypatch):
+    if table_pairs == 0:                          # many slices of a batch
+        monkeypatch.setattr(alignment, "PART_BYTES", 300)
     df = request.getfixturevalue(name)
     if name == "docs":
         df = df.where("n_chars < 6000")
