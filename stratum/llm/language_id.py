@@ -131,7 +131,8 @@ def sample(docs: DataFrame, passages: int = PASSAGES) -> DataFrame:
     share = rows.groupBy(F.col("lang").alias("of")).agg((F.lit(float(OVERDRAW * passages)) / F.sum("n")).alias("share"))
     draw = lambda i: F.pmod(F.xxhash64(F.col("t"), i), F.lit(1 << 30))
     drawn = F.filter(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda i: draw(i) < F.col("share") * (1 << 30))
-    cut = rows.join(share, F.col("lang") == F.col("of")).select("lang", "text", "t", F.explode(drawn).alias("i")).select(
+    # a row for each language, less than the sample that is sent to all tasks anyway
+    cut = rows.join(F.broadcast(share), F.col("lang") == F.col("of")).select("lang", "text", "t", F.explode(drawn).alias("i")).select(
         "lang", F.substring("text", (F.col("i") * PASSAGE + 1).cast("int"), F.lit(PASSAGE)).alias("passage"), draw(F.col("i")).alias("h"))
     own = cut.groupBy("lang", "passage").agg(F.min("h").alias("h"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "passage"))
