@@ -25,6 +25,7 @@ from stratum.session import materialize
 GEO = "geo_id"
 DRAW_CHUNK = 100_000
 REM_BINS = 4096
+ROWS_A_TASK = 1 << 19
 
 
 def _a(y):
@@ -35,6 +36,24 @@ def _v(y):
     return f"v_{y}"
 
 
+def deal(staged: DataFrame, keys, rows: int = ROWS_A_TASK) -> DataFrame:
+    """Rows of a staged table, dealt by ``keys`` to tasks of about ``rows`` rows.
+
+    An aggregation by these and other keys then holds a bounded number of groups
+    in a task at any size of the table.  Without this it is as large as the
+    task's input: a few MB of a scan or a join that become millions of rows, one
+    for each scenario, scheme, indicator and year.  ``staged`` is counted, so it
+    must be written already (``materialize``)."""
+    return staged.repartition(max(1, -(-staged.count() // rows)), *keys)
+
+
+def deal_geos(staged: DataFrame) -> DataFrame:
+    """``deal`` for ``fit_series`` and ``assemble``: by geography, of which a
+    table has many; the rows of one are bounded by the run settings, and
+    together they take less room in files than apart."""
+    return deal(staged, [GEO])
+
+
 def stack_anchors(parts: dict, keys, geo: str) -> DataFrame:
     """Union per-indicator tables into ``(keys, indicator, geo_id, a_<year>…)``.
 

@@ -2,8 +2,8 @@
 
 Each function takes the input tables (any number of scenarios and schemes)
 and returns a dict of DataFrames.  Jobs that run before a sink: the checkpoints
-of the allocated cities, of the raked RGs, and of the series in whole-number
-rounding (with its ranking).
+of the allocated cities, of the raked RGs, of the anchors, and of the series in
+whole-number rounding (with its ranking) and after it.
 """
 
 from __future__ import annotations
@@ -65,10 +65,16 @@ def _series(pop: DataFrame, hh: DataFrame, emp: DataFrame, cfg: HierConfig, tota
         "hh": (hh, {y0: "hh_base", y1: "hh_target"}),
         "emp": (emp, {y0: "emp_base", y1: "emp_target"}),
     }, RUN, "city_id")
+    staged = totals is not None            # without totals no job runs before a sink
+    if staged:
+        anchors = S.deal_geos(materialize(anchors))
     wide = S.fit_series(anchors, SERIES_KEYS, (y0, y1), cfg.years_to_fit, totals, "interior",
                         cfg.round_interpolated, cfg.stop_at_missing)
     long = S.unroll(wide, SERIES_KEYS, cfg.years_to_fit, totals, dict(cfg.relabel), cfg.rounding, cfg.seed)
-    out = {"series": wide, "unrolled": S.assemble(long, SERIES_KEYS, cfg.indicators, "inner", "city_id"),
+    if staged:
+        long = materialize(long)
+    dealt = S.deal_geos(long) if staged else long
+    out = {"series": wide, "unrolled": S.assemble(dealt, SERIES_KEYS, cfg.indicators, "inner", "city_id"),
            "unplaced": _unplaced(long, totals, "unrolled")}
     if totals is not None:
         raw = S.interpolate(anchors, SERIES_KEYS, (y0, y1), cfg.years_to_fit)
@@ -183,6 +189,7 @@ def run_targets(targets: DataFrame, totals: DataFrame | None, cfg: TargetsConfig
     # every anchor is a fitted year: a fitted year's share of the growth since the
     # fitted year before it is its share of the growth since the year before it,
     # so the fitted series is the yearly one at its years
+    anchors = S.deal_geos(materialize(anchors))
     years = cfg.annual_years if annual and set(cfg.anchors) <= set(fit) <= set(cfg.annual_years) and fit[0] == cfg.annual_years[0] else fit
     wide = S.fit_series(anchors, SERIES_KEYS, cfg.anchors, years, totals, "after_first", cfg.round_interpolated)
     # one long series, ranked once: both tables, the roll-up and the diagnostics are filters of it
@@ -193,7 +200,7 @@ def run_targets(targets: DataFrame, totals: DataFrame | None, cfg: TargetsConfig
     if totals is not None:
         raw = S.interpolate(anchors, SERIES_KEYS, cfg.anchors, fit)
         out["accounts"] = S.accounts(raw, out["series"], published, SERIES_KEYS, fit, totals)
-    out["unrolled"] = S.assemble(published, SERIES_KEYS, cfg.indicators, "outer", "subreg_id")
+    out["unrolled"] = S.assemble(S.deal_geos(published), SERIES_KEYS, cfg.indicators, "outer", "subreg_id")
     out["diagnostics"] = out["diagnostics"].unionByName(_unplaced(published, totals, "unrolled"))
     if annual:
         yearly = long.drop("published")
@@ -204,7 +211,7 @@ def run_targets(targets: DataFrame, totals: DataFrame | None, cfg: TargetsConfig
         else:
             out["annual_series"] = wide
         out["diagnostics"] = out["diagnostics"].unionByName(_unplaced(yearly, totals, "annual_unrolled"))
-        out["annual_unrolled"] = S.assemble(yearly, SERIES_KEYS, cfg.indicators, "outer", "subreg_id")
+        out["annual_unrolled"] = S.assemble(S.deal_geos(yearly), SERIES_KEYS, cfg.indicators, "outer", "subreg_id")
         out["unrolled_regional"] = S.regional_rollup(out["annual_unrolled"], RUN, cfg.indicators)
     out["diagnostics"] = out["diagnostics"].unionByName(_series_diagnostics(out["series"]))
     return out

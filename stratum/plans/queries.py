@@ -237,7 +237,7 @@ def _hier_anchors(spark, sf):
                                "hh": (pop, {y0: "hh_base", y1: "hh_target"}),
                                "emp": (emp, {y0: "emp_base", y1: "emp_target"})},
                               ["scenario", "scheme"], "city_id")
-    return anchors, inp.totals
+    return S.deal_geos(materialize(anchors)), inp.totals
 
 
 def _targets_anchors(spark, sf):
@@ -250,7 +250,7 @@ def _targets_anchors(spark, sf):
         "emp": (t, {a0: "emp_by", a1: "emp_base", a2: "emp_target"}),
         "pop": (t, {a0: "pop_by", a1: "pop_base", a2: "pop_target"})}, ["scenario", "scheme"], "city_id")
     totals = tpch.totals(tpch.ref(spark, sf), after_year=TGT.base_year)
-    return anchors, totals
+    return S.deal_geos(materialize(anchors)), totals
 
 
 def _long_out(long: DataFrame, geo="city_id") -> DataFrame:
@@ -313,9 +313,9 @@ def q26_assemble_outer(spark, sf):
 def _part_unrolled(spark, sf):
     anchors, totals = tpch.part_series(spark, sf)
     years = TGT.annual_years
-    wide = S.fit_series(anchors, KEYS, TGT.anchors, years, totals, "after_first")
-    long = S.unroll(wide, KEYS, years, totals)
-    return S.assemble(long, KEYS, TGT.indicators, "outer", "subreg_id")
+    wide = S.fit_series(S.deal_geos(materialize(anchors)), KEYS, TGT.anchors, years, totals, "after_first")
+    long = materialize(S.unroll(wide, KEYS, years, totals))
+    return S.assemble(S.deal_geos(long), KEYS, TGT.indicators, "outer", "subreg_id")
 
 
 def q27_annual_series(spark, sf):
