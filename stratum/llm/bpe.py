@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import struct
 import zlib
 from functools import lru_cache
 
@@ -44,7 +45,8 @@ BUCKETS = 4096
 MIN_SEEN = 8
 LONG_BYTES = 48              # longer words are not folded: the fold is quadratic
 TABLE_ROWS = 1 << 15
-CACHE_ENTRIES = 400_000      # rare words remembered by a worker; only speed depends on it
+CACHE_ENTRIES = 200_000      # rare words remembered by a worker; only speed depends on it
+DECODE_BYTES = 1 << 18       # decoded at once: the index arrays take 24 times as much
 FOLD_ROWS = 256              # words folded in a row, which share one copy of the maps
 
 
@@ -140,27 +142,34 @@ def fold_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     return rows.repartition("part").select(F.inline(folded))
 
 
+def as_bytes(ids) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordIds:
-    """Ids of chunks: folded words from a table, others by merging."""
+    """Ids of chunks: folded words from a table, others by merging.  Ids are kept
+    as bytes (little-endian, 32 bits): each Python worker of an executor has a
+    table of its own."""
 
-    def __init__(self, path: str, folded: dict[str, list[int]]):
+    def __init__(self, path: str, folded: dict[str, bytes]):
         ranks = ranks_of(path)
         self.folded = folded
         self.single = [ranks[bytes([b])] for b in range(256)]
         self.merges = {}
         for piece, rank in ranks.items():
+            found = rank, rank
             for i in range(1, len(piece)):
                 left, right = ranks.get(piece[:i]), ranks.get(piece[i:])
                 if left is not None and right is not None:
-                    self.merges[left, right] = (rank, rank)
+                    self.merges[left, right] = found
         self.pattern = regex.compile(public_tokenizers.PATTERN)
-        self.words: dict[str, list[int]] = {}
+        self.words: dict[str, bytes] = {}
         by_id = sorted(ranks, key=ranks.get)
         self.piece_len = np.array([len(p) for p in by_id])
         self.piece_at = np.cumsum(self.piece_len) - self.piece_len
         self.piece_bytes = np.frombuffer(b"".join(by_id), np.uint8)
 
-    def word(self, word: str) -> list[int]:
+    def word(self, word: str) -> bytes:
         ids = self.words.get(word)
         if ids is None:
             raw = word.encode()
@@ -168,7 +177,7 @@ class WordIds:
             if ids is None:
                 ids = [self.single[b] for b in raw]
                 count_merges(ids, self.merges)
-                ids = [i for i in ids if i >= 0]
+                ids = as_bytes([i for i in ids if i >= 0])
             if len(self.words) < CACHE_ENTRIES and len(raw) < 64:
                 self.words[word] = ids
         return ids
@@ -176,9 +185,9 @@ class WordIds:
     def encode(self, column) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in order, row offsets)."""
         known, index, offs = T.chunks(column)
-        each = [[i for w in self.pattern.findall(c.decode()) for i in self.word(w)] for c in known]
-        lens = np.fromiter(map(len, each), np.int64, len(each))
-        flat = np.fromiter((i for ids in each for i in ids), np.uint32, int(lens.sum()))
+        each = [b"".join([self.word(w) for w in self.pattern.findall(c.decode())]) for c in known]
+        lens = np.fromiter(map(len, each), np.int64, len(each)) // 4
+        flat = np.frombuffer(b"".join(each), "<u4")
         starts = np.cumsum(lens) - lens
         sizes = T.row_sums(lens[index], offs) if len(index) else np.zeros(len(column), np.int64)
         return T.ragged_take(flat, starts[index], lens[index]), np.r_[0, np.cumsum(sizes)]
@@ -187,6 +196,16 @@ class WordIds:
         """Bytes of the pieces of ``ids``, in order."""
         return T.ragged_take(self.piece_bytes, self.piece_at[ids], self.piece_len[ids])
 
+    def decoded(self, ids: np.ndarray, offs: np.ndarray, limit: int = DECODE_BYTES):
+        """Bytes of each row in turn, decoded for about ``limit`` bytes at a time."""
+        size = T.row_sums(self.piece_len[ids], offs)
+        part = (np.cumsum(size) - size) // limit
+        cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(size) else part
+        for a, b in zip(cuts, [*cuts[1:], len(size)]):
+            out, ends = self.decode(ids[offs[a]:offs[b]]), np.r_[0, np.cumsum(size[a:b])]
+            for x, y in zip(ends[:-1], ends[1:]):
+                yield out[x:y]
+
 
 _CODERS: dict = {}
 
@@ -218,7 +237,7 @@ def _coded(docs, path, table_rows, schema, form, keep=()) -> DataFrame:
     T.prepare(spark)
     ranks = ranks_of(path)
     words = most_frequent(storage.stage(frequent_words(docs), "bpe-words"), F.col("n"), table_rows)
-    folded = {r["word"]: list(r["ids"]) for r in fold_words(words.select("word"), ranks).collect()}    # table_rows at most
+    folded = {r["word"]: as_bytes(r["ids"]) for r in fold_words(words.select("word"), ranks).collect()}    # table_rows at most
     sent = spark.sparkContext.broadcast(folded)
     schema = StructType.fromDDL(schema)
     for c in keep:
@@ -230,11 +249,9 @@ def _coded(docs, path, table_rows, schema, form, keep=()) -> DataFrame:
         for batch in batches:
             for part in T.split_batch(batch, "text", 4 << 20):
                 ids, offs = c.encode(part.column("text"))
-                size = T.row_sums(c.piece_len[ids], offs) if len(ids) else np.zeros(part.num_rows, np.int64)
-                out, ends = c.decode(ids), np.r_[0, np.cumsum(size)]
                 little = ids.astype("<u4")
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(np.diff(offs)), pa.array([form(little[a:b]) for a, b in zip(offs[:-1], offs[1:])]),
-                     pa.array([form(out[a:b]) for a, b in zip(ends[:-1], ends[1:])]), *(part.column(k) for k in keep)], names)
+                     pa.array([form(x) for x in c.decoded(ids, offs)]), *(part.column(k) for k in keep)], names)
 
     return docs.select("doc_id", "text", *keep).mapInArrow(code, schema)
