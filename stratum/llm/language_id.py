@@ -174,11 +174,9 @@ _KNOWN: dict = {}
 
 def identifier(sent) -> Identifier:
     """This worker's automata of a broadcast sample."""
-    key = sent.id if hasattr(sent, "id") else id(sent)
-    if key not in _KNOWN:
-        _KNOWN.clear()
-        _KNOWN[key] = Identifier(sent.value)
-    return _KNOWN[key]
+    if _KNOWN.get("sent") is not sent:             # held, so that no other broadcast takes its address
+        _KNOWN.update(sent=sent, made=Identifier(sent.value))
+    return _KNOWN["made"]
 
 
 def identify_languages(docs: DataFrame, passages: int = PASSAGES) -> DataFrame:

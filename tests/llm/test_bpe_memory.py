@@ -5,7 +5,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 
-from stratum.llm import bpe
+from stratum.llm import bpe, language_id
 
 CODER = bpe.WordIds(bpe.RANKS, {})
 
@@ -31,3 +31,13 @@ def test_remembered_words_are_bytes():
     table = bpe.WordIds(bpe.RANKS, {bpe.as_symbols(b" ab"): bpe.as_bytes([1, 300, 49_000])})
     assert table.encode(pa.array([" ab"], pa.string()))[0].tolist() == [1, 300, 49_000]
     assert all(isinstance(x, bytes) for x in (*CODER.words.values(), *table.words.values()))
+
+
+def test_another_broadcast_is_never_taken_for_the_last(monkeypatch):
+    class Sent:
+        def __init__(self, value):
+            self.value = value
+
+    monkeypatch.setattr(language_id, "Identifier", lambda value: value)
+    monkeypatch.setattr(language_id, "_KNOWN", {})
+    assert [language_id.identifier(Sent(i)) for i in range(50)] == list(range(50))      # addresses used to come again
