@@ -56,8 +56,9 @@ from stratum.llm.toxicity import most_frequent
 A = public_tokenizers.path("byte_bpe_50k.json")
 B = public_tokenizers.path("piece_bpe_32k.model")
 TABLE_PAIRS = 1 << 18
-PART_BYTES = 4 << 20        # of text aligned at once
-CACHE_ENTRIES = 400_000     # pieces of text remembered by a worker; only speed depends on it
+PART_BYTES = 1 << 20        # of text aligned at once; its arrays and strings take many times as much
+CACHE_ENTRIES = 150_000     # pieces of text remembered by a worker, for each tokenizer; only speed depends on it
+ENCODE_PIECES = 2048        # tokenised at once: what the libraries return takes far more than the ids
 _COUNTS = "n_a long, n_b long, n_groups long, n_links long"
 
 
@@ -75,6 +76,16 @@ class Coder:
     def encode(self, pieces: list[bytes]) -> list[list[int]]:
         raise NotImplementedError
 
+    def encoded(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces in order, number of ids of each), tokenised
+        ``ENCODE_PIECES`` at a time."""
+        flat, lens = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for i in range(0, len(pieces), ENCODE_PIECES):
+            ids = self.encode(pieces[i:i + ENCODE_PIECES])
+            lens.append(np.fromiter(map(len, ids), np.int64, len(ids)))
+            flat.append(np.fromiter(chain.from_iterable(ids), np.int32, int(lens[-1].sum())))
+        return np.concatenate(flat), np.concatenate(lens)
+
     def same_bytes(self, pieces: list[bytes], ids: np.ndarray, lens: np.ndarray) -> np.ndarray:
         """Whether the joined bytes of each piece's ids are the piece."""
         size = np.fromiter(map(len, pieces), np.int64, len(pieces))
@@ -94,9 +105,7 @@ class Coder:
         row = np.fromiter((known.get(c, -1) for c in pieces), np.int64, len(pieces))
         fresh = np.flatnonzero(row < 0)
         new = [pieces[i] for i in fresh]
-        ids = self.encode(new)
-        more = np.fromiter(map(len, ids), np.int64, len(ids))
-        own = np.fromiter(chain.from_iterable(ids), np.int32, int(more.sum()))
+        own, more = self.encoded(new)
         row[fresh] = base + np.arange(len(new))
         flat, lens = np.r_[self.flat, own], np.r_[self.lens, more]
         whole = np.r_[self.whole, self.same_bytes(new, own, more)]
