@@ -2,10 +2,12 @@
 
 Distinct words (matches of the split pattern) are encoded by Spark's
 higher-order functions: a fold over a word's byte pieces merges, step by step,
-the leftmost adjacent pair of the lowest rank, looked up in a rank map that is
-a literal of the plan (an array of small maps, picked by hash, since a lookup
-in one map is linear).  Each task then replaces words by their ids.  Decoding
-concatenates the binary pieces of the ids.
+the leftmost adjacent pair of the lowest rank, looked up in a rank map (an array
+of small maps, picked by hash, since a lookup in one map is linear).  The ranks
+are a file of the shared folder, one row that each task is sent: as a literal
+they were copied with every step of planning, and filled the driver's heap.
+Each task then replaces words by their ids.  Decoding concatenates the binary
+pieces of the ids.
 
 The folded words are those that occur ``MIN_SEEN`` times in an Arrow batch
 anywhere, the most frequent ``TABLE_ROWS`` of them at most, so what is sent to
@@ -66,13 +68,24 @@ def as_symbols(piece: bytes) -> str:
     return piece.decode("latin-1").translate(byte_text())
 
 
-def rank_maps(ranks: dict[bytes, int], buckets: int = BUCKETS) -> Column:
-    """The literal rank map, as an array of small maps of pieces to ranks."""
+def rank_text(ranks: dict[bytes, int], buckets: int = BUCKETS) -> str:
+    """Pieces and ranks as lines, the buckets of the rank map apart."""
     held = [[] for _ in range(buckets)]
     for piece, rank in ranks.items():
         held[zlib.crc32(as_symbols(piece).encode()) % buckets].append(f"{as_symbols(piece)}\t{rank}")
-    literal = F.lit("\x01".join("\n".join(b) for b in held))
-    return F.transform(F.split(literal, "\x01"), lambda b: F.str_to_map(b, F.lit("\n"), F.lit("\t")).cast("map<string,int>"))
+    return "\x01".join("\n".join(b) for b in held)
+
+
+def rank_maps(text: Column) -> Column:
+    """The rank map of a ``rank_text``, as an array of small maps of pieces to ranks."""
+    return F.transform(F.split(text, "\x01"), lambda b: F.str_to_map(b, F.lit("\n"), F.lit("\t")).cast("map<string,int>"))
+
+
+def rank_table(spark, ranks: dict[bytes, int]) -> DataFrame:
+    """``ranks``: one row, the ``rank_text``, read from a file of the shared folder."""
+    path = storage.folder(spark, "bpe-ranks")
+    storage.write_atomic(f"{path}/ranks.txt", [rank_text(ranks).encode()])
+    return spark.read.text(path, wholetext=True).withColumnRenamed("value", "ranks")
 
 
 def bind(value: Column, body) -> Column:
@@ -138,8 +151,9 @@ def fold_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """``word, ids`` for each ``word`` in byte symbols."""
     n = max(1, -(-words.count() // FOLD_ROWS))
     rows = words.groupBy(F.pmod(F.xxhash64("word"), F.lit(n)).alias("part")).agg(F.collect_list("word").alias("words"))   # FOLD_ROWS each, by hash
-    folded = bind(rank_maps(ranks), lambda maps: F.transform("words", lambda w: F.struct(w.alias("word"), fold_word(w, maps).alias("ids"))))
-    return rows.repartition("part").select(F.inline(folded))
+    folded = bind(rank_maps(F.col("ranks")), lambda maps: F.transform("words", lambda w: F.struct(w.alias("word"), fold_word(w, maps).alias("ids"))))
+    sent = F.broadcast(rank_table(words.sparkSession, ranks))
+    return rows.repartition("part").crossJoin(sent).select(F.inline(folded))
 
 
 def as_bytes(ids) -> bytes:
